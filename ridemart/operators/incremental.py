@@ -2,12 +2,12 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ridemart.sources.tables import new_rows_only
 
 # The keys of one batch are broadcast only when their measured size stays under this.
-BROADCAST_KEY_BYTES = 32 * 1024 * 1024
+BROADCAST_KEY_BYTES = 128 * 1024 * 1024
 _ROW_OVERHEAD_BYTES = 64
 
 
@@ -28,11 +28,14 @@ def distinct_keys(rows: DataFrame, *columns: str, name: str) -> DataFrame:
     return values.filter(F.col(name).isNotNull()).distinct()
 
 
+def key_bytes(key: str) -> Column:
+    """Aggregate: what a key column would take as a broadcast hash table."""
+    return F.coalesce(F.sum(F.octet_length(F.col(key)) + F.lit(_ROW_OVERHEAD_BYTES)), F.lit(0))
+
+
 def keys_fit_broadcast(rows: DataFrame, key: str) -> bool:
     """Measure the key column: may it be sent to every executor?"""
-    size = F.sum(F.octet_length(F.col(key)) + F.lit(_ROW_OVERHEAD_BYTES))
-    measured = rows.agg(size.alias("size")).first()["size"] or 0
-    return measured <= BROADCAST_KEY_BYTES
+    return rows.agg(key_bytes(key)).first()[0] <= BROADCAST_KEY_BYTES
 
 
 def new_keys_only(
@@ -55,7 +58,7 @@ def new_keys_only(
 def dedup_stream(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     """De-duplicate inside one streaming query for as long as it lives, without any time bound.
 
-    The state holds every key ever seen; use the RocksDB state store. ``merge_new`` needs no state
-    and also sees what other queries wrote.
+    The state holds every key the query has seen, spread over the executors; use the RocksDB state
+    store. A batch then costs lookups for its own keys only, however long the history is.
     """
     return rows.dropDuplicates(list(keys))

@@ -87,17 +87,20 @@ def with_times(rolled: DataFrame, star: Star, *attributes: str) -> DataFrame:
     return rolled.join(star.time.select("time_key", *attributes), "time_key", "left")
 
 
-def with_geography(rows: DataFrame, star: Star, end: str, **attributes: str) -> DataFrame:
-    """Join the one geography dimension in the role of ``start`` or ``end``.
+def geography_role(star: Star, end: str) -> DataFrame:
+    """The one geography dimension in the role of ``start`` or ``end``, its columns prefixed so."""
+    return star.geography.select(
+        F.col("geo_hash").alias(f"{end}_geo_key"),
+        F.col("lat").alias(f"{end}_lat"),
+        F.col("lon").alias(f"{end}_lon"),
+        F.col("parent_geo_res6").alias(f"{end}_region"),
+        F.col("parent_geo_res5").alias(f"{end}_district"),
+    )
 
-    ``attributes`` maps new column names to the dimension's; each gets the role as prefix.
-    """
+
+def with_geography(rows: DataFrame, star: Star, end: str, *attributes: str) -> DataFrame:
     key = f"{end}_geo_key"
-    role = star.geography.select(
-        F.col("geo_hash").alias(key),
-        *[F.col(column).alias(f"{end}_{name}") for name, column in attributes.items()],
-    )
-    return rows.join(role, key, "left")
+    return rows.join(geography_role(star, end).select(key, *attributes), key, "left")
 
 
 def by_region(
@@ -115,21 +118,20 @@ def by_region(
         return rollup(star.fact, *keys)
     rolled = rollup(star.fact, *[f"{end}_geo_key" for end in ends])
     for end in ends:
-        rolled = with_geography(rolled, star, end, region="parent_geo_res6")
+        rolled = with_geography(rolled, star, end, f"{end}_region")
     return resum(rolled, *names)
 
 
 def wide(star: Star) -> DataFrame:
-    """The fact with every dimension joined, geography twice; what is not selected is not read.
+    """The fact with every dimension joined, geography twice, for free-form questions.
 
     Dates join on the month as well, so that a filter on a date attribute prunes the fact's partitions.
+    Prefer ``slice_fact`` where sums are wanted: it sums before it joins.
     """
     rows = star.fact.join(star.date, ["date_key", "month_key"], "left")
     rows = rows.join(star.time, "time_key", "left").join(star.bucket, "duration_bucket_key", "left")
     for end in ENDS:
-        rows = with_geography(
-            rows, star, end, lat="lat", lon="lon", region="parent_geo_res6", district="parent_geo_res5",
-        )
+        rows = rows.join(geography_role(star, end), f"{end}_geo_key", "left")
     return rows
 
 
@@ -141,9 +143,10 @@ _COMPARE = {
     ">": lambda column, value: column > value,
     ">=": lambda column, value: column >= value,
 }
+Conditions = Mapping[str, object]
 
 
-def slice_rows(rows: DataFrame, conditions: Mapping[str, object]) -> DataFrame:
+def slice_rows(rows: DataFrame, conditions: Conditions) -> DataFrame:
     """Rows that meet a condition per column: a list of values, or an (operator, value) pair."""
     for name, wanted in conditions.items():
         if isinstance(wanted, tuple):
@@ -154,6 +157,35 @@ def slice_rows(rows: DataFrame, conditions: Mapping[str, object]) -> DataFrame:
     return rows
 
 
+def slice_fact(star: Star, conditions: Conditions, *by: str) -> DataFrame:
+    """A rollup by any attributes of the ``wide`` star under conditions on any of them.
+
+    Date conditions go first, as a semi join that prunes the fact's months. The rest works on the
+    fact summed by just the foreign keys that the named attributes need.
+    """
+    dated = {name: wanted for name, wanted in conditions.items() if name in star.date.columns}
+    fact = star.fact
+    if dated:
+        days = slice_rows(star.date, dated).select("date_key", "month_key")
+        fact = fact.join(days, ["date_key", "month_key"], "left_semi")
+    rest = {name: wanted for name, wanted in conditions.items() if name not in dated}
+
+    needed = dict.fromkeys([*rest, *by])
+    dims = {
+        "date_key": star.date, "time_key": star.time, "duration_bucket_key": star.bucket,
+        **{f"{end}_geo_key": geography_role(star, end) for end in ENDS},
+    }
+    used = {key: [name for name in needed if name in dim.columns] for key, dim in dims.items()}
+    unknown = [name for name in needed if not any(name in names for names in used.values())]
+    if unknown:
+        raise ValueError(f"unknown attributes: {', '.join(unknown)}")
+    used = {key: names for key, names in used.items() if names}
+    rows = rollup(fact, *used)
+    for key, names in used.items():
+        rows = rows.join(dims[key].select(key, *[name for name in names if name != key]), key, "left")
+    return resum(slice_rows(rows, rest), *by)
+
+
 def share_of_total(measure: str) -> Column:
     """Share of a column in its sum over all rows. For aggregated rows: the window is one task."""
     return F.col(measure) / F.sum(measure).over(Window.partitionBy())

@@ -1,6 +1,6 @@
 """The dashboard's questions, each one a function of the star."""
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -84,16 +84,18 @@ def avg_duration_by_bucket(star: Star) -> DataFrame:
 
 def trips_by_start_cell(star: Star) -> DataFrame:
     """Bubble map: trips per centroid of the start cell."""
-    cells = ops.with_geography(ops.rollup(star.fact, "start_geo_key"), star, "start", lat="lat", lon="lon")
+    cells = ops.with_geography(ops.rollup(star.fact, "start_geo_key"), star, "start", "start_lat", "start_lon")
     return _trips(cells, "start_lon", "start_lat")
 
 
 # --- top 10 ---
 
-def top_regions(star: Star, end: str, n: int = 10, region: RegionFunction = None) -> DataFrame:
+def top_regions(
+    star: Star, end: str, n: int = 10, region: RegionFunction = None, ties: str = "key",
+) -> DataFrame:
     name = f"{end}_region"
     trips = _trips(ops.by_region(star, end, region=region), name)
-    return ops.top_n(trips, TRIPS, n, tie_break=[name])
+    return ops.top_n(trips, TRIPS, n, tie_break=[name], ties=ties)
 
 
 def top_start_regions(star: Star, **options) -> DataFrame:
@@ -132,10 +134,7 @@ def heat_intensity(star: Star) -> DataFrame:
 
 # --- slices ---
 
-def sliced_trips(star: Star, conditions: Mapping[str, object], *by: str) -> DataFrame:
-    """Any attributes under any conditions, such as a chosen bar filtering the other charts."""
-    rows = ops.slice_rows(ops.wide(star), conditions)
-    rolled = ops.rollup(rows, *by)
-    return rolled.groupBy(*by).agg(
-        ops.total_trips().alias(TRIPS), F.round(ops.avg_duration_min(), ROUND).alias("avg_duration_min"),
-    )
+def sliced_trips(star: Star, conditions: ops.Conditions, *by: str) -> DataFrame:
+    """Trips by any attributes under any conditions, such as a chosen bar filtering other charts."""
+    average = F.round(ops.avg_duration_min(), ROUND).alias("avg_duration_min")
+    return ops.slice_fact(star, conditions, *by).groupBy(*by).agg(ops.total_trips().alias(TRIPS), average)

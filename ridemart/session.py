@@ -14,6 +14,7 @@ def local_session(cpus: int | str = 8, name: str = "ridemart", **config: object)
     builder = (
         SparkSession.builder.master(f"local[{cpus}]").appName(name)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.sql.session.timeZone", "UTC")

@@ -4,13 +4,15 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ridemart.functions.geo import geo_cell
 from ridemart.operators.clean import CellFunction, clean_rides, is_valid, split_valid_rejects
-from ridemart.operators.incremental import dedup_first, keys_fit_broadcast, new_keys_only
-from ridemart.schemas import FEED, METRICS
+from ridemart.operators.incremental import (
+    BROADCAST_KEY_BYTES, dedup_first, dedup_stream, key_bytes, new_keys_only,
+)
+from ridemart.schemas import FEED, METRICS, ORIGIN
 from ridemart.sources.tables import read_table, replace_batch
 
 SURVIVOR_ORDER = ("start_time", "trip_duration_sec")
@@ -22,6 +24,11 @@ class Feed:
 
     ``source`` must carry the run: a query restarted on a new checkpoint counts its batches from 0
     again, so it needs a new source name or it would replace the partitions of the old one.
+
+    ``dedup`` is "stored" to check each batch against everything the feeds have written, or "state"
+    to rely on the streaming query's own state: a batch then never looks at the history, and ids that
+    another feed has written are left to the union. State takes valid rides only, so rejects and
+    metrics need "stored".
     """
 
     source: str
@@ -30,6 +37,13 @@ class Feed:
     metrics: str | None = None
     other_targets: Sequence[str] = ()
     cell_fn: CellFunction = field(default=geo_cell)
+    dedup: str = "stored"
+
+    def __post_init__(self) -> None:
+        if self.dedup not in ("stored", "state"):
+            raise ValueError(f"dedup must be 'stored' or 'state', not {self.dedup!r}")
+        if self.dedup == "state" and (self.rejects or self.metrics):
+            raise ValueError("rejects and metrics need dedup='stored'")
 
 
 def stored_trip_ids(batch: DataFrame, batch_id: int, feed: Feed) -> DataFrame | None:
@@ -55,38 +69,41 @@ def merge_new(rides: DataFrame, batch_id: int, feed: Feed, persist: bool = True)
     if persist:
         rides = rides.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        counts = _count(rides) if feed.metrics else None
-        if counts is not None and counts["rows_in"] == 0:
+        stored = stored_trip_ids(rides, batch_id, feed) if feed.dedup == "stored" else None
+        size = _measure(rides) if feed.metrics or stored is not None else None
+        if size is not None and size["rows_in"] == 0:
             return
-        if feed.rejects:
+        if feed.rejects and (size is None or size["rows_in"] > size["valid"]):
             _, rejects = split_valid_rejects(rides)
             replace_batch(rejects, feed.rejects, feed.source, batch_id)
         fresh = dedup_first(clean_rides(rides, feed.cell_fn), ["trip_id"], SURVIVOR_ORDER)
-        stored = stored_trip_ids(rides, batch_id, feed)
         if stored is not None:
-            valid = rides.filter(is_valid())
-            fresh = new_keys_only(
-                fresh, stored, "trip_id", small=keys_fit_broadcast(valid, "trip_id"), raw=valid,
-            )
+            small = size["key_bytes"] <= BROADCAST_KEY_BYTES
+            fresh = new_keys_only(fresh, stored, "trip_id", small=small, raw=rides.filter(is_valid()))
         written = replace_batch(fresh, feed.target, feed.source, batch_id)
-        if counts is not None:
-            _write_metrics(rides, counts, written, batch_id, feed)
+        if feed.metrics:
+            _write_metrics(rides, size, written, batch_id, feed)
     finally:
         if persist:
             rides.unpersist()
 
 
-def _count(rides: DataFrame):
-    return rides.agg(
-        F.count(F.lit(1)).alias("rows_in"), F.count_if(~F.coalesce(is_valid(), F.lit(False))).alias("rejected"),
+def _measure(rides: DataFrame):
+    """Counts and key size of a batch, in one pass that also fills its cache."""
+    checked = rides.select(is_valid().alias("ok"), F.when(is_valid(), F.col("trip_id")).alias("id"))
+    return checked.agg(
+        F.count(F.lit(1)).alias("rows_in"),
+        F.count_if(F.col("ok")).alias("valid"),
+        key_bytes("id").alias("key_bytes"),
     ).first()
 
 
-def _write_metrics(rides: DataFrame, counts, written: int, batch_id: int, feed: Feed) -> None:
-    duplicates = counts["rows_in"] - counts["rejected"] - written
-    row = (counts["rows_in"], counts["rejected"], duplicates, written, feed.source, batch_id)
-    metrics = rides.sparkSession.createDataFrame([row], METRICS)
-    replace_batch(metrics.drop("source", "batch_id"), feed.metrics, feed.source, batch_id)
+def _write_metrics(rides: DataFrame, size, written: int, batch_id: int, feed: Feed) -> None:
+    rejected, duplicates = size["rows_in"] - size["valid"], size["valid"] - written
+    columns = [field for field in METRICS if field.name not in ORIGIN.names]
+    row = (size["rows_in"], rejected, duplicates, written)
+    metrics = rides.sparkSession.createDataFrame([row], T.StructType(columns))
+    replace_batch(metrics, feed.metrics, feed.source, batch_id)
 
 
 def micro_batch_sink(feed: Feed, persist: bool = True) -> Callable[[DataFrame, int], None]:
@@ -98,6 +115,8 @@ def start_feed(
     rides: DataFrame, feed: Feed, checkpoint: str, persist: bool = True, **trigger: object,
 ) -> StreamingQuery:
     """Run a stream of raw rides into Silver; ``availableNow=True`` for a bounded run."""
+    if feed.dedup == "state":
+        rides = dedup_stream(rides.filter(is_valid()), ["trip_id"])
     writer = (
         rides.writeStream.queryName(feed.source)
         .foreachBatch(micro_batch_sink(feed, persist))
