@@ -4,9 +4,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ridemart.schemas import RAW
 
-EPOCH = "timestamp_ntz'1970-01-01 00:00:00'"
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -30,8 +27,8 @@ def _after(start: Column, seconds: Column) -> Column:
 
 
 def _whole_second(ts: Column) -> Column:
-    epoch = F.expr(EPOCH)
-    return _after(epoch, F.timestamp_diff("SECOND", epoch, ts))
+    midnight = ts.cast("date").cast("timestamp_ntz")
+    return midnight + F.make_dt_interval(F.lit(0), F.hour(ts), F.minute(ts), F.second(ts))
 
 
 def rides_events(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,10 +9,13 @@ from ridemart.schemas import BANDS, OTHER_PERIOD, PERIODS, RUSH_HOURS, WEEKEND_D
 
 
 def epoch_seconds(ts: Column) -> Column:
-    """Whole seconds since 1970, rounded down. Never depends on the session time zone."""
-    micros = F.timestamp_diff("MICROSECOND", F.expr("timestamp_ntz'1970-01-01 00:00:00'"), ts)
-    whole = micros - F.pmod(micros, F.lit(1_000_000))
-    return F.call_function("div", whole, F.lit(1_000_000))
+    """Whole seconds since 1970, rounded down, read off the clock fields.
+
+    Taking the difference of two timestamps would convert them to the session's time zone on the way,
+    which moves the hour that a change to summer time skips.
+    """
+    days = F.unix_date(ts.cast("date")).cast("bigint")
+    return days * 86400 + F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
 
 
 def duration_seconds(start: Column, end: Column) -> Column:

@@ -39,9 +39,6 @@ def load_star(spark: SparkSession, gold: str) -> Star:
 
 # --- measures: over the sums that ``rollup`` carries, so that they hold at any grain ---
 
-SUMS = ("trips", "same_cell", "duration_sec", "timed")
-
-
 def total_trips() -> Column:
     return F.sum("trips")
 
@@ -68,15 +65,9 @@ def rollup(fact: DataFrame, *keys: str | Column) -> DataFrame:
     )
 
 
-def resum(rolled: DataFrame, *keys: str) -> DataFrame:
-    """A rollup brought to a coarser grain."""
-    return rolled.groupBy(*keys).agg(*[F.sum(name).alias(name) for name in SUMS])
-
-
 def by_attributes(fact: DataFrame, dim: DataFrame, key: str, *attributes: str) -> DataFrame:
-    """A rollup by attributes of one dimension."""
-    found = rollup(fact, key).join(dim.select(key, *attributes), key, "left")
-    return resum(found, *attributes)
+    """A rollup by the key of one dimension, with attributes of that dimension to group by."""
+    return rollup(fact, key).join(dim.select(key, *attributes), key, "left")
 
 
 def with_dates(rolled: DataFrame, star: Star, *attributes: str) -> DataFrame:
@@ -104,22 +95,22 @@ def with_geography(rows: DataFrame, star: Star, end: str, *attributes: str) -> D
 
 
 def by_region(
-    star: Star, *ends: str, region: Callable[[Column], Column] | None = cell_region,
+    star: Star, *ends: str, name: str, region: Callable[[Column], Column] | None = cell_region,
+    label: Callable[..., Column] = lambda region: region,
 ) -> DataFrame:
-    """A rollup by the region of the start and/or the end.
+    """A rollup with the column ``name``: ``label`` of the regions of the given ends.
 
-    The native grid's region is a prefix of the cell, which needs no join. With ``region=None`` it
-    comes from the geography dimension, joined once per end to the fact summed by cell: the way for a
-    grid plugged in from outside.
+    The native grid's region is a prefix of the cell, which needs no join: one shuffle, at the grain
+    of the answer. With ``region=None`` it comes from the geography dimension, joined once per end to
+    the fact summed by cell: the way for a grid plugged in from outside.
     """
-    names = [f"{end}_region" for end in ends]
+    keys = [f"{end}_geo_key" for end in ends]
     if region is not None:
-        keys = [region(F.col(f"{end}_geo_key")).alias(name) for end, name in zip(ends, names)]
-        return rollup(star.fact, *keys)
-    rolled = rollup(star.fact, *[f"{end}_geo_key" for end in ends])
+        return rollup(star.fact, label(*[region(F.col(key)) for key in keys]).alias(name))
+    rolled = rollup(star.fact, *keys)
     for end in ends:
         rolled = with_geography(rolled, star, end, f"{end}_region")
-    return resum(rolled, *names)
+    return rolled.withColumn(name, label(*[F.col(f"{end}_region") for end in ends]))
 
 
 def wide(star: Star) -> DataFrame:
@@ -158,7 +149,7 @@ def slice_rows(rows: DataFrame, conditions: Conditions) -> DataFrame:
 
 
 def slice_fact(star: Star, conditions: Conditions, *by: str) -> DataFrame:
-    """A rollup by any attributes of the ``wide`` star under conditions on any of them.
+    """A rollup to group by any attributes of the ``wide`` star, under conditions on any of them.
 
     Date conditions go first, as a semi join that prunes the fact's months. The rest works on the
     fact summed by just the foreign keys that the named attributes need.
@@ -183,7 +174,7 @@ def slice_fact(star: Star, conditions: Conditions, *by: str) -> DataFrame:
     rows = rollup(fact, *used)
     for key, names in used.items():
         rows = rows.join(dims[key].select(key, *[name for name in names if name != key]), key, "left")
-    return resum(slice_rows(rows, rest), *by)
+    return slice_rows(rows, rest)
 
 
 def share_of_total(measure: str) -> Column:
@@ -216,8 +207,9 @@ def hour_column(hour: int) -> str:
 
 
 def day_by_hour(star: Star) -> DataFrame:
-    rolled = with_times(with_dates(rollup(star.fact, "date_key", "time_key"), star, "day_name"), star, "hour")
-    return resum(rolled, "day_name", "hour")
+    """A rollup to group by ``day_name`` and ``hour``."""
+    rolled = with_dates(rollup(star.fact, "date_key", "time_key"), star, "day_name")
+    return with_times(rolled, star, "hour")
 
 
 def pivot_hours(rolled: DataFrame) -> DataFrame:

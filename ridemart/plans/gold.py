@@ -14,7 +14,7 @@ from ridemart.schemas import (
     RUN_PROGRESS, STAR_TABLES, TIME_TABLE, UNIFIED,
 )
 from ridemart.sources.tables import (
-    append_ledger, new_rows_only, read_ledger, read_table, replace_partitions, seed_table,
+    append_ledger, constant_rows, new_rows_only, read_ledger, read_table, replace_partitions, seed_table,
 )
 
 PROGRESS_TABLE = "loaded_runs"
@@ -33,7 +33,7 @@ def dim_time(spark: SparkSession) -> DataFrame:
 
 
 def dim_duration_bucket(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(BANDS), DIM_DURATION_BUCKET)
+    return constant_rows(spark, BANDS, DIM_DURATION_BUCKET)
 
 
 def fact_columns(silver: DataFrame) -> DataFrame:
@@ -138,7 +138,7 @@ def build_gold(
         written = read_table(spark, fact_path, FACT_STORED).filter(F.col("run_id") > loaded)
         extend_dimension(spark, gold, DATE_TABLE, written, new_dates)
         extend_dimension(spark, gold, GEOGRAPHY_TABLE, written, new_cells)
-    append_ledger(spark.createDataFrame([(newest,)], RUN_PROGRESS), progress)
+    append_ledger(constant_rows(spark, [(newest,)], RUN_PROGRESS), progress)
     return added
 
 

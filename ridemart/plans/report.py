@@ -38,10 +38,9 @@ def pct_same_region(star: Star) -> DataFrame:
 
 def pct_same_region_res6(star: Star, region: RegionFunction = cell_region) -> DataFrame:
     """Share of trips that start and end in one region, one level up from the cell."""
-    regions = ops.by_region(star, "start", "end", region=region)
-    same = F.when(F.col("start_region") == F.col("end_region"), F.col("trips")).otherwise(0)
-    share = F.sum(same) / F.sum("trips")
-    return regions.agg(F.round(share, ROUND).alias("pct_same_region_res6"))
+    same = ops.by_region(star, "start", "end", name="same", region=region, label=lambda a, b: a == b)
+    share = F.sum(F.when(F.col("same"), F.col("trips")).otherwise(0)) / F.sum("trips")
+    return same.agg(F.round(share, ROUND).alias("pct_same_region_res6"))
 
 
 # --- one attribute ---
@@ -94,7 +93,7 @@ def top_regions(
     star: Star, end: str, n: int = 10, region: RegionFunction = None, ties: str = "key",
 ) -> DataFrame:
     name = f"{end}_region"
-    trips = _trips(ops.by_region(star, end, region=region), name)
+    trips = _trips(ops.by_region(star, end, name=name, region=region), name)
     return ops.top_n(trips, TRIPS, n, tie_break=[name], ties=ties)
 
 
@@ -108,10 +107,8 @@ def top_end_regions(star: Star, **options) -> DataFrame:
 
 def top_routes(star: Star, n: int = 10, region: RegionFunction = cell_region) -> DataFrame:
     """The busiest routes between regions, listed by route."""
-    regions = ops.by_region(star, "start", "end", region=region)
-    route = route_region(F.col("start_region"), F.col("end_region")).alias("route_region")
-    trips = _trips(regions.select(route, "trips"), "route_region")
-    best = ops.top_n(trips, TRIPS, n, tie_break=["route_region"])
+    routes = ops.by_region(star, "start", "end", name="route_region", region=region, label=route_region)
+    best = ops.top_n(_trips(routes, "route_region"), TRIPS, n, tie_break=["route_region"])
     return best.orderBy("route_region")
 
 

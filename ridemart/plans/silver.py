@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ridemart.operators.incremental import dedup_first, keys_fit_broadcast, new_keys_only
 from ridemart.schemas import FEED, FEED_PROGRESS, UNIFIED
 from ridemart.sources.tables import (
-    append_ledger, last_partition, path_exists, read_ledger, read_table, replace_partitions,
+    append_ledger, constant_rows, last_partition, path_exists, read_ledger, read_table, replace_partitions,
 )
 
 log = logging.getLogger(__name__)
@@ -73,5 +73,5 @@ def union_silver(spark: SparkSession, feeds: Sequence[str], unified: str, progre
     run = F.lit(run_id).cast("bigint").alias("run_id")
     added = replace_partitions(rows.select(*FEED.names, run), unified, ["run_id"])
     done = [(row["source"], row["batch_id"], run_id) for row in batches]
-    append_ledger(spark.createDataFrame(done, FEED_PROGRESS), progress)
+    append_ledger(constant_rows(spark, done, FEED_PROGRESS), progress)
     return added

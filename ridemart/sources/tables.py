@@ -31,6 +31,18 @@ def last_partition(spark: SparkSession, path: str, column: str) -> int:
     return max((int(name[len(prefix):]) for name in names if name.startswith(prefix)), default=0)
 
 
+def constant_rows(spark: SparkSession, rows: Sequence[Sequence[object]], schema: T.StructType) -> DataFrame:
+    """A few literal rows as a plan constant, without a Python task."""
+    def literal(value: object, field: T.StructField):
+        return F.lit(value).cast(field.dataType).alias(field.name)
+
+    one = spark.range(1)
+    if not rows:
+        return one.filter(F.lit(False)).select(*[literal(None, field) for field in schema])
+    structs = [F.struct(*[literal(value, field) for value, field in zip(row, schema)]) for row in rows]
+    return one.select(F.inline(F.array(*structs)))
+
+
 def read_table(
     spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
 ) -> DataFrame | None:
@@ -50,7 +62,7 @@ def read_star_table(spark: SparkSession, gold: str, name: str) -> DataFrame:
 def read_ledger(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A ledger of what has been handled; an empty one when there is none yet."""
     table = read_table(spark, path, schema)
-    return spark.createDataFrame([], schema) if table is None else table
+    return constant_rows(spark, [], schema) if table is None else table
 
 
 def append_ledger(rows: DataFrame, path: str) -> None:

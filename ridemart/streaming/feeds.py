@@ -13,7 +13,7 @@ from ridemart.operators.incremental import (
     BROADCAST_KEY_BYTES, dedup_first, dedup_stream, key_bytes, new_keys_only,
 )
 from ridemart.schemas import FEED, METRICS, ORIGIN
-from ridemart.sources.tables import read_table, replace_batch
+from ridemart.sources.tables import constant_rows, read_table, replace_batch
 
 SURVIVOR_ORDER = ("start_time", "trip_duration_sec")
 
@@ -102,7 +102,7 @@ def _write_metrics(rides: DataFrame, size, written: int, batch_id: int, feed: Fe
     rejected, duplicates = size["rows_in"] - size["valid"], size["valid"] - written
     columns = [field for field in METRICS if field.name not in ORIGIN.names]
     row = (size["rows_in"], rejected, duplicates, written)
-    metrics = rides.sparkSession.createDataFrame([row], T.StructType(columns))
+    metrics = constant_rows(rides.sparkSession, [row], T.StructType(columns))
     replace_batch(metrics, feed.metrics, feed.source, batch_id)
 
 
