@@ -23,12 +23,12 @@ def _coordinates(a: Column, b: Column, c: Column, d: Column) -> dict[str, Column
 
 
 def _after(start: Column, seconds: Column) -> Column:
-    return start + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
+    return start + F.expr("INTERVAL '1' SECOND") * seconds.cast("bigint")
 
 
 def _whole_second(ts: Column) -> Column:
     midnight = ts.cast("date").cast("timestamp_ntz")
-    return midnight + F.make_dt_interval(F.lit(0), F.hour(ts), F.minute(ts), F.second(ts))
+    return _after(midnight, F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts))
 
 
 def rides_events(spark: SparkSession, sf_dir: str) -> DataFrame:

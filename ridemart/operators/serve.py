@@ -1,12 +1,13 @@
 """Serving: catalog tables over the mart, several SQL statements at once, CSV export."""
 
 import re
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from ridemart.schemas import STAR_TABLES, UNIFIED
-from ridemart.sources.tables import read_table
+from ridemart.sources.tables import path_exists, read_table
 
 UNIFIED_NAME = "silver_unified_rides"
 SERVED = {UNIFIED_NAME: ("silver/unified_rides", UNIFIED)} | {
@@ -14,8 +15,13 @@ SERVED = {UNIFIED_NAME: ("silver/unified_rides", UNIFIED)} | {
 }
 
 
-def partition_columns(name: str) -> list[str]:
-    return {UNIFIED_NAME: ["run_id"], "gold_fact_trip": ["month_key", "run_id"]}.get(name, [])
+PARTITIONS = {UNIFIED_NAME: ("run_id",), "gold_fact_trip": ("month_key", "run_id")}
+# Columns that serve the loading of the mart and stay out of its exports.
+INTERNAL_COLUMNS = ("run_id", "month_key", "source", "batch_id")
+
+
+def exported_schema(schema: T.StructType) -> T.StructType:
+    return T.StructType([field for field in schema if field.name not in INTERNAL_COLUMNS])
 
 
 def register_mart(spark: SparkSession, base: str, database: str | None = None) -> list[str]:
@@ -24,9 +30,9 @@ def register_mart(spark: SparkSession, base: str, database: str | None = None) -
     With a database they become external tables in the catalog, which outlive the session; without
     one they are temporary views.
     """
-    names = []
     if database is not None:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    names = []
     for name, (folder, schema) in SERVED.items():
         location = f"{base}/{folder}"
         rows = read_table(spark, location, schema)
@@ -35,22 +41,34 @@ def register_mart(spark: SparkSession, base: str, database: str | None = None) -
         if database is None:
             rows.createOrReplaceTempView(name)
         else:
-            name = f"{database}.{name}"
-            _create_external_table(spark, name, location, schema, partition_columns(name.split(".")[-1]))
+            name = _external_table(spark, f"{database}.{name}", location, schema, PARTITIONS.get(name, ()))
         names.append(name)
     return names
 
 
-def _create_external_table(
-    spark: SparkSession, name: str, location: str, schema: T.StructType, partitions: list[str],
-) -> None:
+def register_exports(spark: SparkSession, base: str, database: str) -> list[str]:
+    """External tables over the exported CSV files, headers skipped."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    return [
+        _external_table(spark, f"{database}.{name}", f"{base}/export/{name}", exported_schema(schema), fmt="csv")
+        for name, (_, schema) in SERVED.items()
+        if path_exists(spark, f"{base}/export/{name}")
+    ]
+
+
+def _external_table(
+    spark: SparkSession, name: str, location: str, schema: T.StructType, partitions: Sequence[str] = (),
+    fmt: str = "parquet",
+) -> str:
     columns = ", ".join(f"{field.name} {field.dataType.simpleString()}" for field in schema)
+    header = "OPTIONS (header 'true')" if fmt == "csv" else ""
     partitioned = f"PARTITIONED BY ({', '.join(partitions)})" if partitions else ""
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet {partitioned} LOCATION '{location}'"
+        f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING {fmt} {header} {partitioned} LOCATION '{location}'"
     )
     if partitions:
         spark.catalog.recoverPartitions(name)
+    return name
 
 
 # A quoted text, a comment, or a statement's end, whichever comes first.
@@ -89,6 +107,6 @@ def export_mart(spark: SparkSession, base: str) -> dict[str, int]:
     for name, (folder, schema) in SERVED.items():
         rows = read_table(spark, f"{base}/{folder}", schema)
         if rows is not None:
-            exported = rows.drop("run_id", "month_key", "source", "batch_id")
+            exported = rows.drop(*INTERNAL_COLUMNS)
             counts[name] = export_csv(exported, f"{base}/export/{name}", single_file="_dim_" in name)
     return counts

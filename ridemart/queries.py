@@ -227,7 +227,7 @@ def build_mart(spark: SparkSession, sf_dir: str) -> MartPaths:
     """Bring the order rides through all layers into stored tables under the shared folder."""
     paths = MartPaths(new_folder(spark, "mart"))
     rides = fixtures.rides_orders(spark, sf_dir)
-    merge_new(rides, 0, paths.feed("orders", audit=False), persist=False)
+    merge_new(rides, 0, paths.feed("orders", audit=False, dedup="union"), persist=False)
     refresh_mart(spark, paths)
     return paths
 
@@ -344,7 +344,7 @@ def _run_csv_feed(spark: SparkSession, rides: DataFrame, days: tuple[str, ...],
 def _run_line_feed(spark: SparkSession, rides: DataFrame, days: tuple[str, ...], feed: Feed, folder: str) -> None:
     """The same for messages, one CSV line each."""
     for arrived in _arrivals(rides, days):
-        ride_sources.to_csv_lines(arrived).write.mode("append").text(f"{folder}/lines")
+        ride_sources.publish_rides(arrived, "text", path=f"{folder}/lines")
         lines = ride_sources.read_lines_stream(spark, "text", path=f"{folder}/lines")
         rides_stream = ride_sources.parse_ride_lines(lines)
         start_feed(rides_stream, feed, f"{folder}/lines-checkpoint", availableNow=True).awaitTermination()
@@ -398,7 +398,7 @@ def stream_state_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def landed_rides(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages landed as headed CSV files and read back."""
     folder = new_folder(spark, "landing")
-    ride_sources.to_csv_lines(fixtures.rides_events(spark, sf_dir)).write.text(f"{folder}/lines")
+    ride_sources.publish_rides(fixtures.rides_events(spark, sf_dir), "text", path=f"{folder}/lines")
     lines = ride_sources.read_lines_stream(spark, "text", path=f"{folder}/lines")
     rides = ride_sources.parse_ride_lines(lines)
     land_rides(rides, f"{folder}/bronze", f"{folder}/checkpoint", bounded=True).awaitTermination()

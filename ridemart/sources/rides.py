@@ -50,6 +50,14 @@ def to_csv_lines(rides: DataFrame) -> DataFrame:
     return rides.select(F.concat_ws(",", *fields).alias("value"))
 
 
+def publish_rides(rides: DataFrame, fmt: str = "kafka", **options: object) -> None:
+    """Send rides as messages: to a topic with the connector's options, or as ``text`` to a ``path``."""
+    writer = to_csv_lines(rides).write.mode("append").format(fmt)
+    for name, value in options.items():
+        writer = writer.option(name, str(value))
+    writer.save()
+
+
 def read_ride_files(spark: SparkSession, *paths: str) -> DataFrame:
     """Headed CSV files of raw rides."""
     return spark.read.schema(RAW).option("header", True).csv(list(paths))

@@ -25,10 +25,13 @@ class Feed:
     ``source`` must carry the run: a query restarted on a new checkpoint counts its batches from 0
     again, so it needs a new source name or it would replace the partitions of the old one.
 
-    ``dedup`` is "stored" to check each batch against everything the feeds have written, or "state"
-    to rely on the streaming query's own state: a batch then never looks at the history, and ids that
-    another feed has written are left to the union. State takes valid rides only, so rejects and
-    metrics need "stored".
+    ``dedup`` says who removes repeated ids from the feed's table:
+
+    - "stored": each batch is checked against everything the feeds have written.
+    - "state": the streaming query's own state; a batch then never looks at the history, and ids that
+      another feed has written are left to the union. State takes valid rides only, so rejects and
+      metrics need another choice.
+    - "union": nobody before the union; the feed is written without any shuffle. For bulk loads.
     """
 
     source: str
@@ -40,10 +43,10 @@ class Feed:
     dedup: str = "stored"
 
     def __post_init__(self) -> None:
-        if self.dedup not in ("stored", "state"):
-            raise ValueError(f"dedup must be 'stored' or 'state', not {self.dedup!r}")
+        if self.dedup not in ("stored", "state", "union"):
+            raise ValueError(f"dedup must be 'stored', 'state' or 'union', not {self.dedup!r}")
         if self.dedup == "state" and (self.rejects or self.metrics):
-            raise ValueError("rejects and metrics need dedup='stored'")
+            raise ValueError("state keeps no rejects and no metrics")
 
 
 def stored_trip_ids(batch: DataFrame, batch_id: int, feed: Feed) -> DataFrame | None:
@@ -76,7 +79,9 @@ def merge_new(rides: DataFrame, batch_id: int, feed: Feed, persist: bool = True)
         if feed.rejects and (size is None or size["rows_in"] > size["valid"]):
             _, rejects = split_valid_rejects(rides)
             replace_batch(rejects, feed.rejects, feed.source, batch_id)
-        fresh = dedup_first(clean_rides(rides, feed.cell_fn), ["trip_id"], SURVIVOR_ORDER)
+        fresh = clean_rides(rides, feed.cell_fn)
+        if feed.dedup != "union":
+            fresh = dedup_first(fresh, ["trip_id"], SURVIVOR_ORDER)
         if stored is not None:
             small = size["key_bytes"] <= BROADCAST_KEY_BYTES
             fresh = new_keys_only(fresh, stored, "trip_id", small=small, raw=rides.filter(is_valid()))

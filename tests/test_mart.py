@@ -10,7 +10,7 @@ from ridemart.plans import gold as gold_plan, mart, silver as silver_plan
 from ridemart.plans.gold import build_gold
 from ridemart.plans.mart import MartPaths, refresh_mart, run_mart
 from ridemart.plans.silver import union_silver
-from ridemart.schemas import DIM_DATE, DIM_GEOGRAPHY, FACT, FACT_STORED, UNIFIED
+from ridemart.schemas import DIM_DATE, DIM_GEOGRAPHY, FACT, FACT_STORED, FEED, UNIFIED
 from ridemart.sources.tables import last_partition, read_table
 from ridemart.streaming.feeds import merge_new
 
@@ -70,6 +70,16 @@ def test_union_settles_ids_both_feeds_took(spark, rides, folder):
     assert unified_ids(spark, paths) == ["a", "b", "e"]
 
 
+def test_bulk_feeds_leave_duplicates_to_the_union(spark, rides, folder):
+    paths = MartPaths(folder)
+    feed = paths.feed("bulk", audit=False, dedup="union")
+    merge_new(rides(ride("a"), ride("a"), ride("b"), ride(None)), 0, feed, persist=False)
+    merge_new(rides(ride("b")), 1, feed, persist=False)
+    assert read_table(spark, feed.target, FEED).count() == 4
+    assert union(spark, paths) == 2
+    assert unified_ids(spark, paths) == ["a", "b"]
+
+
 @pytest.mark.parametrize("limit", [None, -1])
 def test_union_crash_before_its_ledger(spark, rides, folder, monkeypatch, limit):
     from ridemart.operators import incremental
