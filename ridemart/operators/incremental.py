@@ -1,14 +1,32 @@
 """Unbounded de-duplication against what is already stored."""
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ridemart.sources.tables import new_rows_only
+from ridemart.sources.tables import new_rows_only, staged
 
-# The keys of one batch are broadcast only when their measured size stays under this.
+# A batch's keys are broadcast only when their measured size stays under this.
 BROADCAST_KEY_BYTES = 128 * 1024 * 1024
 _ROW_OVERHEAD_BYTES = 64
+# Beyond that, a Bloom filter of the keys still pays off up to this many of them.
+BLOOM_FILTER_KEYS = 30_000_000
+_BITS_PER_KEY = 10
+_BLOOM = "spark.sql.optimizer.runtime.bloomFilter"
+
+
+@dataclass(frozen=True)
+class KeySize:
+    """How many keys a batch has, repeated ones included, and what they take as a hash table."""
+
+    rows: int
+    bytes: int
+
+    @property
+    def fits_broadcast(self) -> bool:
+        return self.bytes <= BROADCAST_KEY_BYTES
 
 
 def dedup_first(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -23,9 +41,10 @@ def dedup_first(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> D
 
 
 def distinct_keys(rows: DataFrame, *columns: str, name: str) -> DataFrame:
-    """The distinct non-NULL values of several columns of one type, in one pass over the rows."""
-    values = rows.select(F.explode(F.array(*columns)).alias(name))
-    return values.filter(F.col(name).isNotNull()).distinct()
+    """The distinct non-NULL values of one column, or of several of one type, in one pass."""
+    one = len(columns) == 1
+    values = F.col(columns[0]) if one else F.explode(F.array(*columns))
+    return rows.select(values.alias(name)).filter(F.col(name).isNotNull()).distinct()
 
 
 def key_bytes(key: str) -> Column:
@@ -33,26 +52,61 @@ def key_bytes(key: str) -> Column:
     return F.coalesce(F.sum(F.octet_length(F.col(key)) + F.lit(_ROW_OVERHEAD_BYTES)), F.lit(0))
 
 
-def keys_fit_broadcast(rows: DataFrame, key: str) -> bool:
-    """Measure the key column: may it be sent to every executor?"""
-    return rows.agg(key_bytes(key)).first()[0] <= BROADCAST_KEY_BYTES
+def measure_keys(rows: DataFrame, key: str) -> KeySize:
+    return KeySize(*rows.agg(F.count(F.col(key)), key_bytes(key)).first())
 
 
-def new_keys_only(
-    rows: DataFrame, stored: DataFrame, key: str, *, small: bool = False, raw: DataFrame | None = None,
-) -> DataFrame:
-    """Rows whose key is not stored yet. Keys must be unique and non-NULL in ``rows``.
+def seen_keys(stored: DataFrame, wanted: DataFrame, key: str, broadcast: bool) -> DataFrame:
+    """Those of the wanted (string) keys that are stored: never more than were wanted.
 
-    With ``small`` (see ``keys_fit_broadcast``) the batch's keys go to the stored table instead of the
-    stored keys going through a shuffle: the history is then only scanned, and what comes back is no
-    larger than the batch. Otherwise both sides are joined by key. ``raw`` may name a cheaper frame
-    with the same keys as ``rows``, such as the batch before de-duplication.
+    The history is only scanned when the wanted keys are broadcast. Otherwise it is a join by key, for
+    which Spark can put a Bloom filter of the wanted keys into the scan, see ``bloom_filter``.
+    """
+    history, wanted = stored.select(key), wanted.select(key)
+    if broadcast:
+        return F.broadcast(history.join(F.broadcast(wanted), key, "left_semi").distinct())
+    # The comparison holds for every key but NULL. Spark looks for one before it makes the filter.
+    return history.join(wanted.filter(F.col(key) >= ""), key, "left_semi")
+
+
+@contextmanager
+def bloom_filter(spark: SparkSession, keys: int) -> Iterator[None]:
+    """Let the joins planned inside use a Bloom filter made for this many keys."""
+    if keys > BLOOM_FILTER_KEYS:
+        yield
+        return
+    bits = max(keys, 1) * _BITS_PER_KEY
+    wanted = {
+        "enabled": "true", "creationSideThreshold": "1t", "expectedNumItems": keys, "maxNumItems": keys,
+        "numBits": bits, "maxNumBits": bits,
+    }
+    before = {name: spark.conf.get(f"{_BLOOM}.{name}") for name in wanted}
+    try:
+        for name, value in wanted.items():
+            spark.conf.set(f"{_BLOOM}.{name}", str(value))
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(f"{_BLOOM}.{name}", value)
+
+
+def write_new(
+    rows: DataFrame, stored: DataFrame | None, key: str, write: Callable[[DataFrame], int],
+    raw: DataFrame, size: KeySize | None = None,
+) -> int:
+    """Write the rows whose key is not stored yet, in the way that suits their number.
+
+    ``rows`` are unique by key and ``raw`` is the batch they came from, with the same keys. The
+    history, which may be far larger than any batch, is never shuffled up to ``BLOOM_FILTER_KEYS``. A
+    large batch is set down once as a table, so that its keys are unique and cheap to read twice.
     """
-    if not small:
-        return new_rows_only(rows, stored, [key])
-    wanted = (rows if raw is None else raw).select(key)
-    seen = stored.select(key).join(F.broadcast(wanted), key, "left_semi").distinct()
-    return new_rows_only(rows, F.broadcast(seen), [key])
+    if stored is None:
+        return write(rows)
+    size = size or measure_keys(raw, key)
+    if size.fits_broadcast:
+        return write(new_rows_only(rows, seen_keys(stored, raw, key, broadcast=True), [key]))
+    with staged(rows) as unique, bloom_filter(rows.sparkSession, size.rows):
+        return write(new_rows_only(unique, seen_keys(stored, unique, key, broadcast=False), [key]))
 
 
 def dedup_stream(rows: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -6,9 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ridemart.functions import ride
 from ridemart.functions.geo import DISTRICT_LEVEL, REGION_LEVEL, cell_lat, cell_lon, cell_parent
-from ridemart.operators.incremental import (
-    dedup_first, distinct_keys, keys_fit_broadcast, new_keys_only,
-)
+from ridemart.operators.incremental import dedup_first, distinct_keys, write_new
 from ridemart.schemas import (
     BANDS, BUCKET_TABLE, DATE_TABLE, DIM_DURATION_BUCKET, FACT_STORED, FACT_TABLE, GEOGRAPHY_TABLE,
     RUN_PROGRESS, STAR_TABLES, TIME_TABLE, UNIFIED,
@@ -124,15 +122,14 @@ def build_gold(
         return 0
 
     fact_path = f"{gold}/{FACT_TABLE}"
-    fresh = pending
+    fresh, stored = pending, None
     if not unique:
         fresh = dedup_first(pending, ["trip_id"], ["run_id", "start_time", "trip_duration_sec"])
-        stored = read_table(spark, fact_path, FACT_STORED)
-        if stored is not None:
-            small = keys_fit_broadcast(pending, "trip_id")
-            history = stored.filter(F.col("run_id") <= loaded)
-            fresh = new_keys_only(fresh, history, "trip_id", small=small, raw=pending)
-    added = write_fact(fact_columns(fresh), fact_path)
+        history = read_table(spark, fact_path, FACT_STORED)
+        stored = None if history is None else history.filter(F.col("run_id") <= loaded)
+    added = write_new(
+        fresh, stored, "trip_id", lambda rows: write_fact(fact_columns(rows), fact_path), raw=pending,
+    )
     if added:
         # The dimensions' keys come from the columns just written: narrow, encoded, already unique.
         written = read_table(spark, fact_path, FACT_STORED).filter(F.col("run_id") > loaded)

@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ridemart.operators.incremental import dedup_first, keys_fit_broadcast, new_keys_only
+from ridemart.operators.incremental import dedup_first, write_new
 from ridemart.schemas import FEED, FEED_PROGRESS, UNIFIED
 from ridemart.sources.tables import (
     append_ledger, constant_rows, last_partition, path_exists, read_ledger, read_table, replace_partitions,
@@ -38,13 +38,9 @@ def not_merged_yet(progress: DataFrame) -> Column | None:
     )
 
 
-def merge_feeds(pending: DataFrame, unified: DataFrame | None) -> DataFrame:
-    """One row per id among the pending rows, without the ids that are unified already."""
-    first = dedup_first(pending, ["trip_id"], UNION_ORDER)
-    if unified is None:
-        return first
-    small = keys_fit_broadcast(pending, "trip_id")
-    return new_keys_only(first, unified, "trip_id", small=small, raw=pending)
+def merge_feeds(pending: DataFrame) -> DataFrame:
+    """One row per id among the pending rows."""
+    return dedup_first(pending, ["trip_id"], UNION_ORDER)
 
 
 def union_silver(spark: SparkSession, feeds: Sequence[str], unified: str, progress: str) -> int | None:
@@ -69,9 +65,11 @@ def union_silver(spark: SparkSession, feeds: Sequence[str], unified: str, progre
     if not batches:
         return 0
     run_id = last_partition(spark, unified, "run_id") + 1
-    rows = merge_feeds(pending, read_table(spark, unified, UNIFIED))
     run = F.lit(run_id).cast("bigint").alias("run_id")
-    added = replace_partitions(rows.select(*FEED.names, run), unified, ["run_id"])
+    added = write_new(
+        merge_feeds(pending), read_table(spark, unified, UNIFIED), "trip_id",
+        lambda rows: replace_partitions(rows.select(*FEED.names, run), unified, ["run_id"]), raw=pending,
+    )
     done = [(row["source"], row["batch_id"], run_id) for row in batches]
     append_ledger(constant_rows(spark, done, FEED_PROGRESS), progress)
     return added

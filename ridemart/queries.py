@@ -115,17 +115,18 @@ def dedup_first_rides(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def new_trips_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stream feed's rides whose ids the batch feed does not have."""
-    arrived = _silver(stream_feed(spark, sf_dir))
     stored = clean.clean_rides(batch_feed(spark, sf_dir))
-    return incremental.new_keys_only(arrived, stored, "trip_id")
+    return new_rows_only(_silver(stream_feed(spark, sf_dir)), stored, ["trip_id"])
 
 
 def new_trips_small_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same by sending the batch's keys to the stored rides, when their size allows."""
+    """The same by sending the batch's keys to the stored rides, when their measured size allows."""
     raw = stream_feed(spark, sf_dir).filter(clean.is_valid())
     stored = clean.clean_rides(batch_feed(spark, sf_dir))
-    small = incremental.keys_fit_broadcast(raw, "trip_id")
-    return incremental.new_keys_only(_silver(raw), stored, "trip_id", small=small, raw=raw)
+    fits = incremental.measure_keys(raw, "trip_id").fits_broadcast
+    wanted = raw if fits else incremental.distinct_keys(raw, "trip_id", name="trip_id")
+    seen = incremental.seen_keys(stored, wanted, "trip_id", broadcast=fits)
+    return new_rows_only(_silver(raw), seen, ["trip_id"])
 
 
 def silver_union(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -135,7 +136,7 @@ def silver_union(spark: SparkSession, sf_dir: str) -> DataFrame:
         clean.clean_rides(feed(spark, sf_dir)).withColumns(origin | {"source": F.lit(source)})
         for source, feed in feeds
     ]
-    return silver.merge_feeds(silver.union_feeds(rows), None).select(*SILVER.names, "source")
+    return silver.merge_feeds(silver.union_feeds(rows)).select(*SILVER.names, "source")
 
 
 def new_files(spark: SparkSession, sf_dir: str) -> DataFrame:

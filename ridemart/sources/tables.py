@@ -1,11 +1,13 @@
 """Stored tables: typed reads, key ledgers, seeds, and replay-safe partition writes."""
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from ridemart.schemas import ORIGIN, STAR_TABLES
+from ridemart.session import new_folder
 
 
 def _hadoop_path(spark: SparkSession, path: str):
@@ -75,6 +77,19 @@ def new_rows_only(rows: DataFrame, known: DataFrame, keys: Sequence[str]) -> Dat
     return rows.join(known.select(*keys), list(keys), "left_anti")
 
 
+@contextmanager
+def staged(rows: DataFrame) -> Iterator[DataFrame]:
+    """The rows as a table of their own under the shared folder, for as long as the block runs."""
+    spark = rows.sparkSession
+    path = new_folder(spark, "staged")
+    rows.write.parquet(path)
+    try:
+        yield spark.read.schema(rows.schema).parquet(path)
+    finally:
+        files, hadoop_path = _hadoop_path(spark, path)
+        files.delete(hadoop_path, True)
+
+
 def seed_table(rows: DataFrame, path: str) -> None:
     """Write a small constant table unless it is already there."""
     rows.coalesce(1).write.mode("ignore").parquet(path)

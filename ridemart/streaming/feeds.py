@@ -9,9 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ridemart.functions.geo import geo_cell
 from ridemart.operators.clean import CellFunction, clean_rides, is_valid, split_valid_rejects
-from ridemart.operators.incremental import (
-    BROADCAST_KEY_BYTES, dedup_first, dedup_stream, key_bytes, new_keys_only,
-)
+from ridemart.operators.incremental import KeySize, dedup_first, dedup_stream, key_bytes, write_new
 from ridemart.schemas import FEED, METRICS, ORIGIN
 from ridemart.sources.tables import constant_rows, read_table, replace_batch
 
@@ -82,10 +80,10 @@ def merge_new(rides: DataFrame, batch_id: int, feed: Feed, persist: bool = True)
         fresh = clean_rides(rides, feed.cell_fn)
         if feed.dedup != "union":
             fresh = dedup_first(fresh, ["trip_id"], SURVIVOR_ORDER)
-        if stored is not None:
-            small = size["key_bytes"] <= BROADCAST_KEY_BYTES
-            fresh = new_keys_only(fresh, stored, "trip_id", small=small, raw=rides.filter(is_valid()))
-        written = replace_batch(fresh, feed.target, feed.source, batch_id)
+        written = write_new(
+            fresh, stored, "trip_id", lambda rows: replace_batch(rows, feed.target, feed.source, batch_id),
+            raw=rides.filter(is_valid()), size=size and KeySize(size["valid"], size["key_bytes"]),
+        )
         if feed.metrics:
             _write_metrics(rides, size, written, batch_id, feed)
     finally:

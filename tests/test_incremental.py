@@ -4,16 +4,15 @@ from pyspark.sql import functions as F
 
 from ridemart.operators import incremental
 from ridemart.schemas import FEED, METRICS, REJECTS, SILVER
-from ridemart.sources.tables import read_table
-from ridemart.streaming import feeds
+from ridemart.sources.tables import path_exists, read_table
 from ridemart.streaming.feeds import Feed, merge_new
 
 
 @pytest.fixture(params=["small", "large"])
 def batch_size(request, monkeypatch):
-    """Both ways of looking up known keys: the batch's keys sent to the history, and a join."""
+    """Both ways of looking up known keys: the batch's keys sent to the history, and a staged join."""
     if request.param == "large":
-        monkeypatch.setattr(feeds, "BROADCAST_KEY_BYTES", -1)
+        monkeypatch.setattr(incremental, "BROADCAST_KEY_BYTES", -1)
     return request.param
 
 
@@ -48,26 +47,69 @@ def test_a_hot_key_is_reduced_before_the_shuffle(spark):
     assert plan.index("SortAggregate") < plan.index("Exchange") < plan.index("partial_min")
 
 
-@pytest.mark.parametrize("small", [True, False])
-def test_new_keys(spark, small):
-    rows = spark.createDataFrame([("a",), ("b",), ("c",)], "k string")
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_seen_keys(spark, broadcast):
+    wanted = spark.createDataFrame([("a",), ("b",), ("c",), (None,)], "k string")
     stored = spark.createDataFrame([("b",), ("b",), ("x",), (None,)], "k string")
-    assert as_set(incremental.new_keys_only(rows, stored, "k", small=small)) == {("a",), ("c",)}
+    assert as_set(incremental.seen_keys(stored, wanted, "k", broadcast)) == {("b",)}
+
+
+@pytest.mark.parametrize("limits", [(10**9, 10**9), (-1, 10**9), (-1, -1)])
+def test_write_new_by_every_way(spark, monkeypatch, limits):
+    monkeypatch.setattr(incremental, "BROADCAST_KEY_BYTES", limits[0])
+    monkeypatch.setattr(incremental, "BLOOM_FILTER_KEYS", limits[1])
+    raw = spark.createDataFrame([("a",), ("b",), ("b",), ("c",)], "k string")
+    stored = spark.createDataFrame([("b",), ("x",), (None,)], "k string")
+    written = []
+    write = lambda rows: written.append(as_set(rows)) or len(written[0])
+    assert incremental.write_new(raw.distinct(), stored, "k", write, raw=raw) == 2
+    assert written == [{("a",), ("c",)}]
 
 
 def test_small_batches_leave_the_history_unshuffled(spark, sf):
     history = spark.read.parquet(f"{sf}/orders.parquet").select(F.col("o_orderkey").cast("string").alias("k"))
     rows = spark.range(50).select(F.col("id").cast("string").alias("k"))
-    plan = plan_of(incremental.new_keys_only(rows, history, "k", small=True))
+    plan = plan_of(incremental.seen_keys(history, rows, "k", broadcast=True))
     assert "BroadcastHashJoin" in plan and "LeftSemi" in plan and "SortMergeJoin" not in plan
 
 
+def test_large_batches_filter_the_history_as_it_is_read(spark, folder):
+    """Thresholds are set to zero, as the filter is meant for histories of many gigabytes."""
+    spark.range(1000).select(F.col("id").cast("string").alias("k")).write.parquet(f"{folder}/history")
+    history = spark.read.parquet(f"{folder}/history")
+    rows = spark.range(50).select(F.col("id").cast("string").alias("k"))
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0",
+    }
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        with incremental.staged(rows) as unique, incremental.bloom_filter(spark, 50):
+            seen = incremental.seen_keys(history, unique, "k", broadcast=False)
+            assert "might_contain" in plan_of(seen) and "50, 500" in plan_of(seen)
+            assert seen.count() == 50
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert spark.conf.get("spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold") == "10485760b"
+
+
 def test_key_size_is_measured(spark, monkeypatch):
     rows = spark.range(100).select(F.col("id").cast("string").alias("k"))
-    assert incremental.keys_fit_broadcast(rows, "k")
+    size = incremental.measure_keys(rows, "k")
+    assert size.rows == 100 and size.bytes == 190 + 6400 and size.fits_broadcast
     monkeypatch.setattr(incremental, "BROADCAST_KEY_BYTES", 1000)
-    assert not incremental.keys_fit_broadcast(rows, "k")
-    assert incremental.keys_fit_broadcast(rows.limit(0), "k")
+    assert not size.fits_broadcast
+    assert incremental.measure_keys(rows.limit(0), "k") == incremental.KeySize(0, 0)
+
+
+def test_staged_rows_go_away(spark):
+    with incremental.staged(spark.range(10)) as rows:
+        path = rows.inputFiles()[0].rsplit("/", 1)[0]
+        assert rows.count() == 10 and path_exists(spark, path)
+    assert not path_exists(spark, path)
 
 
 def test_distinct_keys_of_two_columns(spark):
