@@ -30,16 +30,17 @@ def test_bad_lines_never_raise(spark):
     rows = parse(
         spark, "t2,40.7,-74.0", GOOD + ",extra", "", "   ", header, GOOD.replace("40.7,", "zz,"),
         GOOD.replace("2024-01-05 10:00:00", "yesterday"), GOOD.replace("t1", ""), GOOD.replace("40.7,", " 40.7 ,"),
+        GOOD + "\r",
     ).collect()
-    assert len(rows) == 7  # blank lines are gone
-    short, extra, head, bad_lat, bad_time, no_id, spaces = rows
+    assert len(rows) == 8  # blank lines are gone
+    short, extra, head, bad_lat, bad_time, no_id, spaces, windows = rows
     assert short.start_lon == -74.0 and short.end_lat is None and short.distance is None
     assert extra.distance == 2.5
     assert head.start_lat is None and head.start_time is None
     assert bad_lat.start_lat is None and bad_lat.end_lat == 40.75
     assert bad_time.start_time is None and bad_time.end_time is not None
     assert no_id.trip_id is None
-    assert spaces.start_lat == 40.7
+    assert spaces.start_lat == 40.7 and windows.distance == 2.5
 
 
 def test_lines_round_trip(spark, sf):
