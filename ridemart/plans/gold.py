@@ -12,7 +12,8 @@ from ridemart.schemas import (
     RUN_PROGRESS, STAR_TABLES, TIME_TABLE, UNIFIED,
 )
 from ridemart.sources.tables import (
-    append_ledger, constant_rows, new_rows_only, read_ledger, read_table, replace_partitions, seed_table,
+    append_ledger, constant_rows, new_rows_only, partition_folders, read_ledger, read_partitions, read_table,
+    replace_partitions, seed_table,
 )
 
 PROGRESS_TABLE = "loaded_runs"
@@ -112,30 +113,29 @@ def build_gold(
     seed_table(dim_duration_bucket(spark), f"{gold}/{BUCKET_TABLE}")
 
     progress = f"{gold}/{PROGRESS_TABLE}"
-    loaded = read_ledger(spark, progress, RUN_PROGRESS).agg(F.max("run_id")).first()[0] or 0
-    silver = read_table(spark, unified, UNIFIED)
-    if silver is None:
-        return 0
-    pending = silver.filter((F.col("run_id") > loaded) & F.col("trip_id").isNotNull())
-    newest = pending.agg(F.max("run_id")).first()[0]
-    if newest is None:
+    loaded = {row["run_id"] for row in read_ledger(spark, progress, RUN_PROGRESS).collect()}
+    folders = partition_folders(spark, unified, ["run_id"])
+    runs = {int(run): folder for (run,), folder in folders.items() if int(run) not in loaded}
+    if not runs:
         return 0
+    pending = read_partitions(spark, unified, UNIFIED, runs.values()).filter(F.col("trip_id").isNotNull())
+    is_pending = F.col("run_id").isin(*runs)
 
     fact_path = f"{gold}/{FACT_TABLE}"
     fresh, stored = pending, None
     if not unique:
         fresh = dedup_first(pending, ["trip_id"], ["run_id", "start_time", "trip_duration_sec"])
         history = read_table(spark, fact_path, FACT_STORED)
-        stored = None if history is None else history.filter(F.col("run_id") <= loaded)
+        stored = None if history is None else history.filter(~is_pending)
     added = write_new(
         fresh, stored, "trip_id", lambda rows: write_fact(fact_columns(rows), fact_path), raw=pending,
     )
     if added:
         # The dimensions' keys come from the columns just written: narrow, encoded, already unique.
-        written = read_table(spark, fact_path, FACT_STORED).filter(F.col("run_id") > loaded)
+        written = read_table(spark, fact_path, FACT_STORED).filter(is_pending)
         extend_dimension(spark, gold, DATE_TABLE, written, new_dates)
         extend_dimension(spark, gold, GEOGRAPHY_TABLE, written, new_cells)
-    append_ledger(constant_rows(spark, [(newest,)], RUN_PROGRESS), progress)
+    append_ledger(constant_rows(spark, [(run,) for run in sorted(runs)], RUN_PROGRESS), progress)
     return added
 
 

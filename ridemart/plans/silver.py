@@ -4,12 +4,13 @@ import logging
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ridemart.operators.incremental import dedup_first, write_new
-from ridemart.schemas import FEED, FEED_PROGRESS, UNIFIED
+from ridemart.schemas import FEED, FEED_PROGRESS, ORIGIN, UNIFIED
 from ridemart.sources.tables import (
-    append_ledger, constant_rows, last_partition, path_exists, read_ledger, read_table, replace_partitions,
+    append_ledger, constant_rows, partition_folders, path_exists, read_ledger, read_partitions, read_table,
+    replace_partitions,
 )
 
 log = logging.getLogger(__name__)
@@ -20,22 +21,12 @@ def union_feeds(feeds: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, feeds)
 
 
-def not_merged_yet(progress: DataFrame) -> Column | None:
-    """Feed batches past the last one merged, per source; None when nothing was merged so far.
-
-    Batch numbers of a source only grow, so one number per source says it all. The condition is on
-    partition columns, hence old batches are never opened.
-    """
-    merged = progress.groupBy("source").agg(F.max("batch_id").alias("last")).collect()
-    if not merged:
-        return None
-    unseen_source = ~F.col("source").isin(*[row["source"] for row in merged])
-    return reduce(
-        lambda condition, row: condition
-        | ((F.col("source") == row["source"]) & (F.col("batch_id") > row["last"])),
-        merged,
-        unseen_source,
-    )
+def unmerged_batches(spark: SparkSession, feed: str, progress: DataFrame) -> dict[tuple[str, int], str]:
+    """Folders of a feed's batches that the ledger does not list."""
+    merged = {(row["source"], row["batch_id"]) for row in progress.select(*ORIGIN.names).collect()}
+    folders = partition_folders(spark, feed, ORIGIN.names)
+    found = {(source, int(batch_id)): folder for (source, batch_id), folder in folders.items()}
+    return {batch: folder for batch, folder in found.items() if batch not in merged}
 
 
 def merge_feeds(pending: DataFrame) -> DataFrame:
@@ -46,30 +37,31 @@ def merge_feeds(pending: DataFrame) -> DataFrame:
 def union_silver(spark: SparkSession, feeds: Sequence[str], unified: str, progress: str) -> int | None:
     """Add the feeds' new rides to ``unified`` as the next run; returns the number of rides added.
 
-    A feed that does not exist yet is skipped; None means that no feed exists. The progress ledger
-    only saves work: uniqueness rests on the ids in ``unified``, so a crash between the write and the
-    ledger costs a second look at the same batches and nothing else.
+    A feed that does not exist yet is skipped; None means that no feed exists. The progress ledger of
+    batches only saves work: uniqueness rests on the ids in ``unified``, so a crash between the write
+    and the ledger costs a second look at the same batches and nothing else.
     """
     present = [path for path in feeds if path_exists(spark, path)]
     for path in set(feeds) - set(present):
         log.warning("feed %s does not exist, skipped", path)
     if not present:
         return None
-    pending = union_feeds([read_table(spark, path, FEED) for path in present])
-    pending = pending.filter(F.col("trip_id").isNotNull())
-    unmerged = not_merged_yet(read_ledger(spark, progress, FEED_PROGRESS))
-    if unmerged is not None:
-        pending = pending.filter(unmerged)
-
-    batches = pending.groupBy("source").agg(F.max("batch_id").alias("batch_id")).collect()
-    if not batches:
+    merged = read_ledger(spark, progress, FEED_PROGRESS)
+    unmerged = {path: unmerged_batches(spark, path, merged) for path in present}
+    parts = [
+        read_partitions(spark, path, FEED, folders.values()) for path, folders in unmerged.items() if folders
+    ]
+    if not parts:
         return 0
-    run_id = last_partition(spark, unified, "run_id") + 1
+    pending = union_feeds(parts).filter(F.col("trip_id").isNotNull())
+
+    runs = partition_folders(spark, unified, ["run_id"])
+    run_id = max((int(run) for run, in runs), default=0) + 1
     run = F.lit(run_id).cast("bigint").alias("run_id")
     added = write_new(
         merge_feeds(pending), read_table(spark, unified, UNIFIED), "trip_id",
         lambda rows: replace_partitions(rows.select(*FEED.names, run), unified, ["run_id"]), raw=pending,
     )
-    done = [(row["source"], row["batch_id"], run_id) for row in batches]
+    done = [(*batch, run_id) for folders in unmerged.values() for batch in folders]
     append_ledger(constant_rows(spark, done, FEED_PROGRESS), progress)
     return added

@@ -222,6 +222,7 @@ def new_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- questions over the stored star ---
 
 _marts: dict[tuple[str, str], MartPaths] = {}
+_stars: dict[tuple[str, str], Star] = {}
 
 
 def build_mart(spark: SparkSession, sf_dir: str) -> MartPaths:
@@ -242,7 +243,11 @@ def stored_mart(spark: SparkSession, sf_dir: str) -> MartPaths:
 
 
 def stored_star(spark: SparkSession, sf_dir: str) -> Star:
-    return load_star(spark, stored_mart(spark, sf_dir).gold)
+    """Its star, whose file listings are kept for all questions."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _stars:
+        _stars[key] = load_star(spark, stored_mart(spark, sf_dir).gold)
+    return _stars[key]
 
 
 def _question(ask: Callable[[Star], DataFrame]) -> Query:

@@ -1,6 +1,6 @@
 """Stored tables: typed reads, key ledgers, seeds, and replay-safe partition writes."""
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
@@ -20,17 +20,30 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return files.exists(hadoop_path)
 
 
-def last_partition(spark: SparkSession, path: str, column: str) -> int:
-    """The highest value among the folders ``column=<integer>`` directly under ``path``, 0 for none.
+def partition_folders(spark: SparkSession, path: str, columns: Sequence[str]) -> dict[tuple[str, ...], str]:
+    """The partitions of a stored table: folder by partition values.
 
-    One folder listing: neither the table's files nor their footers are touched.
+    Folder names only, one listing per level: neither the table's files nor their footers are touched.
     """
-    files, hadoop_path = _hadoop_path(spark, path)
-    if not files.exists(hadoop_path):
-        return 0
-    names = [status.getPath().getName() for status in files.listStatus(hadoop_path)]
-    prefix = f"{column}="
-    return max((int(name[len(prefix):]) for name in names if name.startswith(prefix)), default=0)
+    files, root = _hadoop_path(spark, path)
+    if not files.exists(root):
+        return {}
+    found = {(): path}
+    for column in columns:
+        below = {}
+        for values, folder in found.items():
+            for status in files.listStatus(_hadoop_path(spark, folder)[1]):
+                name = status.getPath().toString()
+                label, _, value = name.rpartition("/")[2].partition("=")
+                if label == column and value:
+                    below[(*values, value)] = name
+        found = below
+    return found
+
+
+def read_partitions(spark: SparkSession, path: str, schema: T.StructType, folders: Iterable[str]) -> DataFrame:
+    """Some partitions of a stored table. The others are not even listed."""
+    return spark.read.schema(schema).option("basePath", path).parquet(*folders)
 
 
 def constant_rows(spark: SparkSession, rows: Sequence[Sequence[object]], schema: T.StructType) -> DataFrame:
@@ -92,7 +105,9 @@ def staged(rows: DataFrame) -> Iterator[DataFrame]:
 
 def seed_table(rows: DataFrame, path: str) -> None:
     """Write a small constant table unless it is already there."""
-    rows.coalesce(1).write.mode("ignore").parquet(path)
+    stored = read_table(rows.sparkSession, path, rows.schema)
+    if stored is None or stored.isEmpty():
+        rows.coalesce(1).write.mode("overwrite").parquet(path)
 
 
 def replace_partitions(rows: DataFrame, path: str, columns: Sequence[str]) -> int:

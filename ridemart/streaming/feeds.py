@@ -1,5 +1,6 @@
 """Feeds into Silver: the micro-batch sink and the streaming queries around it."""
 
+import re
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
@@ -41,6 +42,8 @@ class Feed:
     dedup: str = "stored"
 
     def __post_init__(self) -> None:
+        if not re.fullmatch(r"[\w.-]+", self.source):
+            raise ValueError(f"a source name may hold letters, digits, '_', '.' and '-', not {self.source!r}")
         if self.dedup not in ("stored", "state", "union"):
             raise ValueError(f"dedup must be 'stored', 'state' or 'union', not {self.dedup!r}")
         if self.dedup == "state" and (self.rejects or self.metrics):

@@ -162,5 +162,7 @@ def test_empty_batch_writes_nothing(spark, rides, folder):
 def test_feed_options_are_checked(folder):
     with pytest.raises(ValueError):
         Feed("a", folder, dedup="never")
+    with pytest.raises(ValueError):
+        Feed("a/b", folder)
     with pytest.raises(ValueError):
         feed(folder, dedup="state")

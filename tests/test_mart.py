@@ -10,8 +10,8 @@ from ridemart.plans import gold as gold_plan, mart, silver as silver_plan
 from ridemart.plans.gold import build_gold
 from ridemart.plans.mart import MartPaths, refresh_mart, run_mart
 from ridemart.plans.silver import union_silver
-from ridemart.schemas import DIM_DATE, DIM_GEOGRAPHY, FACT, FACT_STORED, FEED, UNIFIED
-from ridemart.sources.tables import last_partition, read_table
+from ridemart.schemas import DIM_DATE, DIM_GEOGRAPHY, FACT, FACT_STORED, FEED, FEED_PROGRESS, UNIFIED
+from ridemart.sources.tables import partition_folders, read_partitions, read_table, seed_table
 from ridemart.streaming.feeds import merge_new
 
 FACTS = [name for name in FACT.names]
@@ -53,7 +53,18 @@ def test_union_runs(spark, rides, folder):
     merge_new(rides(ride("d")), 1, batch)
     assert union(spark, paths) == 2
     assert unified_ids(spark, paths) == ["a", "b", "c", "d"]
-    assert last_partition(spark, paths.unified, "run_id") == 2
+    assert set(partition_folders(spark, paths.unified, ["run_id"])) == {("1",), ("2",)}
+
+
+def test_batches_may_come_out_of_order(spark, rides, folder):
+    paths = MartPaths(folder)
+    merge_new(rides(ride("a")), 5, paths.feed("b"))
+    assert union(spark, paths) == 1
+    merge_new(rides(ride("b")), 3, paths.feed("b"))
+    merge_new(rides(ride("c")), 10, paths.feed("b"))
+    assert union(spark, paths) == 2
+    assert unified_ids(spark, paths) == ["a", "b", "c"]
+    assert refresh_mart(spark, paths) == {"unified": 0, "fact": 3}
 
 
 def test_union_settles_ids_both_feeds_took(spark, rides, folder):
@@ -96,6 +107,27 @@ def test_union_crash_before_its_ledger(spark, rides, folder, monkeypatch, limit)
     assert unified_ids(spark, paths) == ["a", "b", "c"]
 
 
+def test_only_new_batches_are_opened(spark, rides, folder):
+    paths = MartPaths(folder)
+    merge_new(rides(ride("a")), 0, paths.feed("b"))
+    union(spark, paths)
+    merge_new(rides(ride("b")), 1, paths.feed("b"))
+    progress = read_table(spark, paths.unified_progress, FEED_PROGRESS)
+    folders = silver_plan.unmerged_batches(spark, paths.batch_output, progress)
+    assert set(folders) == {("b", 1)}
+    pending = read_partitions(spark, paths.batch_output, FEED, folders.values())
+    assert as_set(pending, "trip_id", "source", "batch_id") == {("b", "b", 1)}
+    assert all("batch_id=1/" in name for name in pending.inputFiles())
+
+
+def test_a_half_written_seed_is_written_again(spark, folder):
+    spark.range(0).selectExpr("CAST(id AS int) AS time_key").write.parquet(f"{folder}/dim_time")
+    seed_table(gold_plan.dim_time(spark), f"{folder}/dim_time")
+    assert spark.read.parquet(f"{folder}/dim_time").count() == 24
+    seed_table(gold_plan.dim_time(spark).limit(1), f"{folder}/dim_time")
+    assert spark.read.parquet(f"{folder}/dim_time").count() == 24
+
+
 def test_star_rows(spark, rides, folder):
     paths = MartPaths(folder)
     saturday = ride("a", "2024-01-06 08:00:00", "2024-01-06 08:05:00", end_lat=40.7, end_lon=-74.0)
