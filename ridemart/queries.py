@@ -11,7 +11,7 @@ from ridemart.operators import clean, incremental, serve, star as star_ops
 from ridemart.operators.star import Star, load_star
 from ridemart.plans import gold, report, silver
 from ridemart.plans.mart import MartPaths, refresh_mart
-from ridemart.schemas import FACT, FILE_MANIFEST, RAW, SILVER, FEED, METRICS
+from ridemart.schemas import FACT, FEED, METRICS, RAW, SILVER
 from ridemart.session import new_folder
 from ridemart.sources import rides as ride_sources
 from ridemart.sources.tables import append_ledger, new_rows_only, read_table
@@ -166,11 +166,11 @@ def fact_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold.new_dates(_orders_fact(spark, sf_dir), None)
+    return gold.new_dates(stored_star(spark, sf_dir).fact, None)
 
 
 def dim_geography(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold.new_cells(_orders_fact(spark, sf_dir), None)
+    return gold.new_cells(stored_star(spark, sf_dir).fact, None)
 
 
 def dim_time(spark: SparkSession, sf_dir: str) -> DataFrame:

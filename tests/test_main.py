@@ -34,7 +34,8 @@ def test_stages_from_the_command_line(spark, rides, folder, capsys):
 def test_topics_are_asked_of_the_connector(spark, folder):
     topic = ["--topic", "rides", "--bootstrap-servers", "broker:9092", "--max-offsets", "100"]
     for stage in (
-        ["lines", "--base", folder, "--checkpoint", folder, "--source", "l1"], ["land", "--output", folder, "--checkpoint", folder],
+        ["lines", "--base", folder, "--checkpoint", folder, "--source", "l1"],
+        ["land", "--output", folder, "--checkpoint", folder],
     ):
         with pytest.raises(PySparkException, match="kafka"):
             main([*stage, *topic])

@@ -112,7 +112,9 @@ def test_flat_heat_has_no_scale(spark):
 
 
 def test_slices(small):
-    trips = lambda conditions, *by: as_set(report.sliced_trips(small, conditions, *by).drop("avg_duration_min"))
+    def trips(conditions, *by):
+        return as_set(report.sliced_trips(small, conditions, *by).drop("avg_duration_min"))
+
     assert trips({}, "hour") == {(10, 3), (17, 1), (3, 1)}
     assert trips({"day_name": ["Friday"], "month": ("<", 2)}, "hour") == {(10, 3)}
     assert trips({"bucket_label": ["60+ min", "0-5 min"]}, "day_type") == {("Weekend", 1), ("Weekday", 1)}
