@@ -300,6 +300,22 @@ ORACLE: dict[str, str] = {
     "stream_silver": f"{EVENTS_KEPT} SELECT {SILVER_COLUMNS} FROM kept",
     "stream_replay_silver": f"{EVENTS_KEPT} SELECT {SILVER_COLUMNS} FROM kept",
     "stream_state_dedup": f"{EVENTS_KEPT} SELECT trip_id FROM kept",
+    "stream_rejects": f"""{_with(RIDES_EVENTS)}
+        SELECT trip_id, start_time, reject_reason, source, batch_id FROM (
+          SELECT *, CASE WHEN end_time <= start_time THEN 'end not after start'
+                         WHEN start_lat IS NULL OR end_lon IS NULL THEN 'no coordinate' END AS reject_reason
+          FROM (SELECT *, 'batch-1' AS source, {_batch_number(BATCH_ARRIVALS)} AS batch_id
+                FROM rides_events WHERE {_before}
+                UNION ALL
+                SELECT *, 'stream-1', {_batch_number(STREAM_ARRIVALS)} FROM rides_events WHERE {_since}))
+        WHERE reject_reason IS NOT NULL""",
+    "fact_two_runs": f"""{EVENTS_KEPT}, {_fact('fact', 'kept')}
+        SELECT *, CASE WHEN {_before} THEN 1 ELSE 2 END::bigint AS run_id FROM fact""",
+    "dim_date_two_runs": f"""{EVENTS_KEPT}
+        SELECT {DATE_ATTRIBUTES} FROM (SELECT DISTINCT start_time::date AS d FROM kept)""",
+    "dim_geography_two_runs": f"""{EVENTS_KEPT}
+        SELECT {CELL_ATTRIBUTES}
+        FROM (SELECT start_geo_hash AS geo_hash FROM kept UNION SELECT end_geo_hash FROM kept)""",
     "stream_metrics": f"""{EVENTS_KEPT},
     feeds AS (
       SELECT *, 'batch-1' AS source, {_batch_number(BATCH_ARRIVALS)} AS batch_id FROM rides_events WHERE {_before}

@@ -15,7 +15,7 @@ SERVED = {UNIFIED_NAME: ("silver/unified_rides", UNIFIED)} | {
 }
 
 
-PARTITIONS = {UNIFIED_NAME: ("run_id",), "gold_fact_trip": ("month_key", "run_id")}
+PARTITIONS = {UNIFIED_NAME: ("run_id",), "gold_fact_trip": ("run_id", "month_key")}
 # Columns that serve the loading of the mart and stay out of its exports.
 INTERNAL_COLUMNS = ("run_id", "month_key", "source", "batch_id")
 

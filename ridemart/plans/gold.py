@@ -17,7 +17,7 @@ from ridemart.sources.tables import (
 )
 
 PROGRESS_TABLE = "loaded_runs"
-FACT_PARTITIONS = ("month_key", "run_id")
+FACT_PARTITIONS = ("run_id", "month_key")
 
 
 def dim_time(spark: SparkSession) -> DataFrame:
@@ -119,28 +119,33 @@ def build_gold(
     if not runs:
         return 0
     pending = read_partitions(spark, unified, UNIFIED, runs.values()).filter(F.col("trip_id").isNotNull())
-    is_pending = F.col("run_id").isin(*runs)
 
     fact_path = f"{gold}/{FACT_TABLE}"
     fresh, stored = pending, None
     if not unique:
         fresh = dedup_first(pending, ["trip_id"], ["run_id", "start_time", "trip_duration_sec"])
-        history = read_table(spark, fact_path, FACT_STORED)
-        stored = None if history is None else history.filter(~is_pending)
+        stored = read_fact_runs(spark, fact_path, lambda run: run not in runs)
     added = write_new(
         fresh, stored, "trip_id", lambda rows: write_fact(fact_columns(rows), fact_path), raw=pending,
     )
     if added:
         # The dimensions' keys come from the columns just written: narrow, encoded, already unique.
-        written = read_table(spark, fact_path, FACT_STORED).filter(is_pending)
+        written = read_fact_runs(spark, fact_path, lambda run: run in runs)
         extend_dimension(spark, gold, DATE_TABLE, written, new_dates)
         extend_dimension(spark, gold, GEOGRAPHY_TABLE, written, new_cells)
     append_ledger(constant_rows(spark, [(run,) for run in sorted(runs)], RUN_PROGRESS), progress)
     return added
 
 
+def read_fact_runs(spark: SparkSession, path: str, wanted: Callable[[int], bool]) -> DataFrame | None:
+    """The stored fact rows of some runs, None when there are none. Other runs' files are not listed."""
+    runs = partition_folders(spark, path, ["run_id"])
+    folders = [folder for (run,), folder in runs.items() if wanted(int(run))]
+    return read_partitions(spark, path, FACT_STORED, folders) if folders else None
+
+
 def write_fact(fact: DataFrame, path: str) -> int:
-    """Store fact rows by month and run, in date order inside each file.
+    """Store fact rows by run and month, in date order inside each file.
 
     The rebalance brings a month's rows together and lets AQE cut a month that holds far more rows
     than others into several tasks; date order lets a date filter skip row groups.

@@ -11,7 +11,7 @@ from ridemart.operators import clean, incremental, serve, star as star_ops
 from ridemart.operators.star import Star, load_star
 from ridemart.plans import gold, report, silver
 from ridemart.plans.mart import MartPaths, refresh_mart
-from ridemart.schemas import FACT, FEED, METRICS, RAW, SILVER
+from ridemart.schemas import DIM_DATE, FACT, FEED, METRICS, RAW, REJECTS, SILVER
 from ridemart.session import new_folder
 from ridemart.sources import rides as ride_sources
 from ridemart.sources.tables import append_ledger, new_rows_only, read_table
@@ -297,6 +297,36 @@ STORED_QUESTIONS = {
 }
 
 
+# --- a star that grew in two runs ---
+
+_grown: dict[tuple[str, str], Star] = {}
+
+
+def grown_star(spark: SparkSession, sf_dir: str) -> Star:
+    """The event rides' star: the batch feed is loaded first, the stream feed in a second run."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _grown:
+        paths = MartPaths(new_folder(spark, "grown"))
+        merge_new(batch_feed(spark, sf_dir), 0, paths.feed("batch-1", audit=False))
+        refresh_mart(spark, paths)
+        merge_new(stream_feed(spark, sf_dir), 0, paths.feed("stream-1", stream=True, audit=False))
+        refresh_mart(spark, paths)
+        _grown[key] = load_star(spark, paths.gold)
+    return _grown[key]
+
+
+def fact_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return grown_star(spark, sf_dir).fact.select(*FACT.names, "run_id")
+
+
+def dim_date_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return grown_star(spark, sf_dir).date.select(*DIM_DATE.names)
+
+
+def dim_geography_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return grown_star(spark, sf_dir).geography
+
+
 # --- serving ---
 
 def sql_script(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -379,6 +409,13 @@ def stream_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, paths.metrics, METRICS)
 
 
+def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rides that each micro-batch of both feeds turned away, and why."""
+    paths = _run_both_feeds(spark, sf_dir)
+    rejects = read_table(spark, paths.rejects, REJECTS)
+    return rejects.select("trip_id", "start_time", "reject_reason", "source", "batch_id")
+
+
 def stream_replay_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A producer that loops over the same lines, and a sink called twice for one batch."""
     folder = new_folder(spark, "replay")
@@ -416,8 +453,9 @@ DIRECT = (
     geo_cells, cell_centroids, cell_parents,
     dedup_first_rides, new_trips_anti, new_trips_small_batch, silver_union, new_files,
     fact_trip, dim_date, dim_geography, dim_time, dim_duration_bucket, band_range_join, new_dates, new_cells,
+    fact_two_runs, dim_date_two_runs, dim_geography_two_runs,
     sql_script, count_all_sql, export_counts,
-    stream_silver, stream_metrics, stream_replay_silver, stream_state_dedup, landed_rides,
+    stream_silver, stream_metrics, stream_rejects, stream_replay_silver, stream_state_dedup, landed_rides,
 )
 
 
