@@ -16,6 +16,7 @@ SERVED = {UNIFIED_NAME: ("silver/unified_rides", UNIFIED)} | {
 
 
 PARTITIONS = {UNIFIED_NAME: ("run_id",), "gold_fact_trip": ("run_id", "month_key")}
+SINGLE_FILES = ("gold_dim_date", "gold_dim_time", "gold_dim_duration_bucket")
 # Columns that serve the loading of the mart and stay out of its exports.
 INTERNAL_COLUMNS = ("run_id", "month_key", "source", "batch_id")
 
@@ -102,11 +103,11 @@ def export_csv(rows: DataFrame, path: str, single_file: bool = False) -> int:
 
 
 def export_mart(spark: SparkSession, base: str) -> dict[str, int]:
-    """Export every table of the mart below ``base``/export; dimensions as one file each."""
+    """Export every table of the mart below ``base``/export; those of a fixed size as one file each."""
     counts = {}
     for name, (folder, schema) in SERVED.items():
         rows = read_table(spark, f"{base}/{folder}", schema)
         if rows is not None:
             exported = rows.drop(*INTERNAL_COLUMNS)
-            counts[name] = export_csv(exported, f"{base}/export/{name}", single_file="_dim_" in name)
+            counts[name] = export_csv(exported, f"{base}/export/{name}", single_file=name in SINGLE_FILES)
     return counts

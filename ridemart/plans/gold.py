@@ -1,6 +1,7 @@
 """The star schema: a trip fact and four dimensions, extended with new keys only."""
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -18,6 +19,7 @@ from ridemart.sources.tables import (
 
 PROGRESS_TABLE = "loaded_runs"
 FACT_PARTITIONS = ("run_id", "month_key")
+CellDescription = Callable[[DataFrame], DataFrame]
 
 
 def dim_time(spark: SparkSession) -> DataFrame:
@@ -93,21 +95,25 @@ def new_dates(fact: DataFrame, stored: DataFrame | None) -> DataFrame:
     return date_attributes(keys if stored is None else new_rows_only(keys, stored, ["date_key"]))
 
 
-def new_cells(fact: DataFrame, stored: DataFrame | None) -> DataFrame:
+def new_cells(
+    fact: DataFrame, stored: DataFrame | None, describe_cells: CellDescription = cell_attributes,
+) -> DataFrame:
     """dim_geography rows for the cells that are not in ``stored``."""
     keys = cells_of(fact)
-    return cell_attributes(keys if stored is None else new_rows_only(keys, stored, ["geo_hash"]))
+    return describe_cells(keys if stored is None else new_rows_only(keys, stored, ["geo_hash"]))
 
 
 def build_gold(
     spark: SparkSession, unified: str, gold: str, unique: bool = False,
+    describe_cells: CellDescription = cell_attributes,
 ) -> int:
     """Load the unified runs that the star does not hold yet; returns the number of trips added.
 
     A unified run never changes, and a trip keeps its run number in the fact's partitions, so a
     repeated load replaces what a crashed one left behind. Say ``unique`` when ``unified`` holds one
     row per trip id across all its runs, as ``union_silver`` makes sure; the load is then a single
-    pass without a join against the fact's history.
+    pass without a join against the fact's history. A grid plugged in by ``cell_fn`` brings its own
+    ``describe_cells``, from ``geo_hash`` values to dim_geography rows.
     """
     seed_table(dim_time(spark), f"{gold}/{TIME_TABLE}")
     seed_table(dim_duration_bucket(spark), f"{gold}/{BUCKET_TABLE}")
@@ -132,7 +138,9 @@ def build_gold(
         # The dimensions' keys come from the columns just written: narrow, encoded, already unique.
         written = read_fact_runs(spark, fact_path, lambda run: run in runs)
         extend_dimension(spark, gold, DATE_TABLE, written, new_dates)
-        extend_dimension(spark, gold, GEOGRAPHY_TABLE, written, new_cells)
+        extend_dimension(
+            spark, gold, GEOGRAPHY_TABLE, written, partial(new_cells, describe_cells=describe_cells),
+        )
     append_ledger(constant_rows(spark, [(run,) for run in sorted(runs)], RUN_PROGRESS), progress)
     return added
 

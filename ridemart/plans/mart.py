@@ -5,7 +5,7 @@ from dataclasses import dataclass
 from pyspark.sql import SparkSession
 
 from ridemart.operators.serve import export_mart
-from ridemart.plans.gold import build_gold
+from ridemart.plans.gold import CellDescription, build_gold, cell_attributes
 from ridemart.plans.silver import union_silver
 from ridemart.streaming.feeds import Feed
 
@@ -53,16 +53,20 @@ class MartPaths:
         )
 
 
-def refresh_mart(spark: SparkSession, paths: MartPaths) -> dict[str, int | None]:
+def refresh_mart(
+    spark: SparkSession, paths: MartPaths, describe_cells: CellDescription = cell_attributes,
+) -> dict[str, int | None]:
     """Union the feeds, then extend the star. An error in one step stops the chain."""
     feeds = [paths.batch_output, paths.stream_output]
     unified = union_silver(spark, feeds, paths.unified, paths.unified_progress)
     # The union has just made sure that ids are unique across all runs.
-    loaded = build_gold(spark, paths.unified, paths.gold, unique=True)
+    loaded = build_gold(spark, paths.unified, paths.gold, unique=True, describe_cells=describe_cells)
     return {"unified": unified, "fact": loaded}
 
 
-def run_mart(spark: SparkSession, paths: MartPaths) -> dict[str, int]:
+def run_mart(
+    spark: SparkSession, paths: MartPaths, describe_cells: CellDescription = cell_attributes,
+) -> dict[str, int]:
     """``refresh_mart`` and the export; returns the exported row counts."""
-    refresh_mart(spark, paths)
+    refresh_mart(spark, paths, describe_cells)
     return export_mart(spark, paths.base)

@@ -9,6 +9,8 @@ from pyspark.sql import types as T
 from ridemart.schemas import ORIGIN, STAR_TABLES
 from ridemart.session import new_folder
 
+MAX_PLAN_ROWS = 100
+
 
 def _hadoop_path(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -47,7 +49,10 @@ def read_partitions(spark: SparkSession, path: str, schema: T.StructType, folder
 
 
 def constant_rows(spark: SparkSession, rows: Sequence[Sequence[object]], schema: T.StructType) -> DataFrame:
-    """A few literal rows as a plan constant, without a Python task."""
+    """Literal rows: a few become a plan constant, without a Python task."""
+    if len(rows) > MAX_PLAN_ROWS:
+        return spark.createDataFrame(rows, schema)
+
     def literal(value: object, field: T.StructField):
         return F.lit(value).cast(field.dataType).alias(field.name)
 

@@ -6,12 +6,12 @@ from pyspark.sql import functions as F
 
 from ridemart import fixtures
 from ridemart.operators.star import load_star
-from ridemart.plans import gold as gold_plan, mart, silver as silver_plan
+from ridemart.plans import gold as gold_plan, mart, report, silver as silver_plan
 from ridemart.plans.gold import build_gold
 from ridemart.plans.mart import MartPaths, refresh_mart, run_mart
 from ridemart.plans.silver import union_silver
 from ridemart.schemas import DIM_DATE, DIM_GEOGRAPHY, FACT, FACT_STORED, FEED, FEED_PROGRESS, UNIFIED
-from ridemart.sources.tables import partition_folders, read_partitions, read_table, seed_table
+from ridemart.sources.tables import constant_rows, partition_folders, read_partitions, read_table, seed_table
 from ridemart.streaming.feeds import merge_new
 
 FACTS = [name for name in FACT.names]
@@ -120,6 +120,13 @@ def test_only_new_batches_are_opened(spark, rides, folder):
     assert all("batch_id=1/" in name for name in pending.inputFiles())
 
 
+def test_many_constant_rows(spark):
+    rows = [("s", number, 1) for number in range(300)]
+    assert as_set(constant_rows(spark, rows, FEED_PROGRESS)) == set(rows)
+    assert as_set(constant_rows(spark, rows[:3], FEED_PROGRESS)) == set(rows[:3])
+    assert constant_rows(spark, [], FEED_PROGRESS).isEmpty()
+
+
 def test_a_half_written_seed_is_written_again(spark, folder):
     spark.range(0).selectExpr("CAST(id AS int) AS time_key").write.parquet(f"{folder}/dim_time")
     seed_table(gold_plan.dim_time(spark), f"{folder}/dim_time")
@@ -237,6 +244,29 @@ def test_chain_with_export(spark, sf, folder):
     assert_keys_resolve(spark, paths)
 
 
+def rounded_cell(lat, lon):
+    return F.concat_ws("/", F.round(lat, 2), F.round(lon, 2))
+
+
+def describe_rounded(cells):
+    part = [F.split_part("geo_hash", F.lit("/"), F.lit(number)).cast("double") for number in (1, 2)]
+    parents = [F.concat_ws("/", *[F.round(value, digits) for value in part]) for digits in (1, 0)]
+    return cells.select("geo_hash", *part, *parents).toDF(*DIM_GEOGRAPHY.names)
+
+
+def test_a_mart_on_another_grid(spark, sf, folder):
+    paths = MartPaths(folder)
+    merge_new(fixtures.rides_events(spark, sf), 0, paths.feed("e", cell_fn=rounded_cell))
+    refresh_mart(spark, paths, describe_cells=describe_rounded)
+    assert_keys_resolve(spark, paths)
+    star = load_star(spark, paths.gold)
+    places = as_set(star.geography, "geo_hash", "parent_geo_res6")
+    assert all(len(place.split("/")) == 2 and region.count(".") == 2 for place, region in places)
+    routes = report.top_routes(star, region=None).collect()
+    assert len(routes) == 10 and all("/" in row.route_region for row in routes)
+    assert report.trips_by_start_cell(star).agg(F.sum("total_trips")).first()[0] == star.fact.count()
+
+
 def test_a_failing_step_stops_the_chain(spark, sf, folder, monkeypatch):
     paths = MartPaths(folder)
     merge_new(fixtures.rides_events(spark, sf), 0, paths.feed("e"))
