@@ -43,12 +43,12 @@ class MartPaths:
         return f"{self.base}/gold"
 
     def feed(self, source: str, stream: bool = False, audit: bool = True, **options) -> Feed:
-        """A feed into this mart that also sees what the other kind of feed has written."""
+        """A feed into this mart that also sees what the other kind of feed and the union have written."""
         target, other = self.batch_output, self.stream_output
         if stream:
             target, other = other, target
         return Feed(
-            source, target, other_targets=(other,),
+            source, target, other_targets=(other,), unified=self.unified, progress=self.unified_progress,
             rejects=self.rejects if audit else None, metrics=self.metrics if audit else None, **options,
         )
 

@@ -7,10 +7,10 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ridemart.operators.incremental import dedup_first, write_new
-from ridemart.schemas import FEED, FEED_PROGRESS, ORIGIN, UNIFIED
+from ridemart.schemas import FEED, FEED_PROGRESS, UNIFIED
 from ridemart.sources.tables import (
-    append_ledger, constant_rows, partition_folders, path_exists, read_ledger, read_partitions, read_table,
-    replace_partitions,
+    append_ledger, batch_folders, constant_rows, merged_batches, partition_folders, path_exists,
+    read_partitions, read_table, replace_partitions,
 )
 
 log = logging.getLogger(__name__)
@@ -21,14 +21,6 @@ def union_feeds(feeds: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, feeds)
 
 
-def unmerged_batches(spark: SparkSession, feed: str, progress: DataFrame) -> dict[tuple[str, int], str]:
-    """Folders of a feed's batches that the ledger does not list."""
-    merged = {(row["source"], row["batch_id"]) for row in progress.select(*ORIGIN.names).collect()}
-    folders = partition_folders(spark, feed, ORIGIN.names)
-    found = {(source, int(batch_id)): folder for (source, batch_id), folder in folders.items()}
-    return {batch: folder for batch, folder in found.items() if batch not in merged}
-
-
 def merge_feeds(pending: DataFrame) -> DataFrame:
     """One row per id among the pending rows."""
     return dedup_first(pending, ["trip_id"], UNION_ORDER)
@@ -46,8 +38,8 @@ def union_silver(spark: SparkSession, feeds: Sequence[str], unified: str, progre
         log.warning("feed %s does not exist, skipped", path)
     if not present:
         return None
-    merged = read_ledger(spark, progress, FEED_PROGRESS)
-    unmerged = {path: unmerged_batches(spark, path, merged) for path in present}
+    merged = merged_batches(spark, progress)
+    unmerged = {path: batch_folders(spark, path, skip=merged) for path in present}
     parts = [
         read_partitions(spark, path, FEED, folders.values()) for path, folders in unmerged.items() if folders
     ]

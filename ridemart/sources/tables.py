@@ -6,7 +6,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql import types as T
 
-from ridemart.schemas import ORIGIN, STAR_TABLES
+from ridemart.schemas import FEED_PROGRESS, ORIGIN, STAR_TABLES
 from ridemart.session import new_folder
 
 MAX_PLAN_ROWS = 100
@@ -48,6 +48,19 @@ def read_partitions(spark: SparkSession, path: str, schema: T.StructType, folder
     return spark.read.schema(schema).option("basePath", path).parquet(*folders)
 
 
+def merged_batches(spark: SparkSession, progress: str) -> set[tuple[str, int]]:
+    """The feed batches that the union has taken, as (source, batch_id)."""
+    ledger = read_ledger(spark, progress, FEED_PROGRESS).select(*ORIGIN.names)
+    return {tuple(row) for row in ledger.collect()}
+
+
+def batch_folders(spark: SparkSession, feed: str, skip: set[tuple[str, int]]) -> dict[tuple[str, int], str]:
+    """Folders of a feed's batches, without some."""
+    folders = partition_folders(spark, feed, ORIGIN.names)
+    found = {(source, int(batch_id)): folder for (source, batch_id), folder in folders.items()}
+    return {batch: folder for batch, folder in found.items() if batch not in skip}
+
+
 def constant_rows(spark: SparkSession, rows: Sequence[Sequence[object]], schema: T.StructType) -> DataFrame:
     """Literal rows: a few become a plan constant, without a Python task."""
     if len(rows) > MAX_PLAN_ROWS:

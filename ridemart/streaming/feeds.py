@@ -3,23 +3,26 @@
 import re
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ridemart.functions.geo import geo_cell
 from ridemart.operators.clean import CellFunction, clean_rides, is_valid, split_valid_rejects
 from ridemart.operators.incremental import KeySize, dedup_first, dedup_stream, key_bytes, write_new
-from ridemart.schemas import FEED, METRICS, ORIGIN
-from ridemart.sources.tables import constant_rows, read_table, replace_batch
+from ridemart.schemas import FEED, METRICS, ORIGIN, UNIFIED
+from ridemart.sources.tables import (
+    batch_folders, constant_rows, merged_batches, read_partitions, read_table, replace_batch,
+)
 
 SURVIVOR_ORDER = ("start_time", "trip_duration_sec")
 
 
 @dataclass(frozen=True)
 class Feed:
-    """Where one feed writes.
+    """Where one feed writes, and where else its ids may be stored already.
 
     ``source`` must carry the run: a query restarted on a new checkpoint counts its batches from 0
     again, so it needs a new source name or it would replace the partitions of the old one.
@@ -38,6 +41,8 @@ class Feed:
     rejects: str | None = None
     metrics: str | None = None
     other_targets: Sequence[str] = ()
+    unified: str | None = None
+    progress: str | None = None
     cell_fn: CellFunction = field(default=geo_cell)
     dedup: str = "stored"
 
@@ -46,21 +51,29 @@ class Feed:
             raise ValueError(f"a source name may hold letters, digits, '_', '.' and '-', not {self.source!r}")
         if self.dedup not in ("stored", "state", "union"):
             raise ValueError(f"dedup must be 'stored', 'state' or 'union', not {self.dedup!r}")
+        if bool(self.unified) != bool(self.progress):
+            raise ValueError("a unified table goes with its progress ledger")
         if self.dedup == "state" and (self.rejects or self.metrics):
             raise ValueError("state keeps no rejects and no metrics")
 
 
-def stored_trip_ids(batch: DataFrame, batch_id: int, feed: Feed) -> DataFrame | None:
-    """Ids that any feed has written, but for those of this very batch (it may be a replay)."""
-    ids = None
+def stored_trip_ids(spark: SparkSession, batch_id: int, feed: Feed) -> DataFrame | None:
+    """Ids that any feed has written, but for those of this very batch (it may be a replay).
+
+    Batches that the union has taken are looked up in the unified table, with its few large files. The
+    union's ledger is read first: what it lists is in the table by then, and the rest in the feeds.
+    """
+    own = (feed.source, batch_id)
+    merged = merged_batches(spark, feed.progress) if feed.unified else set()
+    tables = []
     for path in (feed.target, *feed.other_targets):
-        table = read_table(batch.sparkSession, path, FEED)
-        if table is None:
-            continue
-        own = (F.col("source") == feed.source) & (F.col("batch_id") == batch_id)
-        part = table.filter(~own).select("trip_id")
-        ids = part if ids is None else ids.unionByName(part)
-    return ids
+        folders = batch_folders(spark, path, skip=merged | {own})
+        if folders:
+            tables.append(read_partitions(spark, path, FEED, folders.values()))
+    unified = read_table(spark, feed.unified, UNIFIED) if feed.unified else None
+    if unified is not None:
+        tables.append(unified.filter((F.col("source") != feed.source) | (F.col("batch_id") != batch_id)))
+    return reduce(DataFrame.unionByName, [table.select("trip_id") for table in tables]) if tables else None
 
 
 def merge_new(rides: DataFrame, batch_id: int, feed: Feed, persist: bool = True) -> None:
@@ -73,7 +86,7 @@ def merge_new(rides: DataFrame, batch_id: int, feed: Feed, persist: bool = True)
     if persist:
         rides = rides.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        stored = stored_trip_ids(rides, batch_id, feed) if feed.dedup == "stored" else None
+        stored = stored_trip_ids(rides.sparkSession, batch_id, feed) if feed.dedup == "stored" else None
         size = _measure(rides) if feed.metrics or stored is not None else None
         if size is not None and size["rows_in"] == 0:
             return

@@ -1,3 +1,4 @@
+import re
 from datetime import date
 
 import pytest
@@ -11,8 +12,10 @@ from ridemart.plans.gold import build_gold
 from ridemart.plans.mart import MartPaths, refresh_mart, run_mart
 from ridemart.plans.silver import union_silver
 from ridemart.schemas import DIM_DATE, DIM_GEOGRAPHY, FACT, FACT_STORED, FEED, FEED_PROGRESS, UNIFIED
-from ridemart.sources.tables import constant_rows, partition_folders, read_partitions, read_table, seed_table
-from ridemart.streaming.feeds import merge_new
+from ridemart.sources.tables import (
+    batch_folders, constant_rows, merged_batches, partition_folders, read_partitions, read_table, seed_table,
+)
+from ridemart.streaming.feeds import merge_new, stored_trip_ids
 
 FACTS = [name for name in FACT.names]
 
@@ -112,14 +115,31 @@ def test_only_new_batches_are_opened(spark, rides, folder):
     merge_new(rides(ride("a")), 0, paths.feed("b"))
     union(spark, paths)
     merge_new(rides(ride("b")), 1, paths.feed("b"))
-    progress = read_table(spark, paths.unified_progress, FEED_PROGRESS)
-    folders = silver_plan.unmerged_batches(spark, paths.batch_output, progress)
+    folders = batch_folders(spark, paths.batch_output, skip=merged_batches(spark, paths.unified_progress))
     assert set(folders) == {("b", 1)}
     pending = read_partitions(spark, paths.batch_output, FEED, folders.values())
     assert as_set(pending, "trip_id", "source", "batch_id") == {("b", "b", 1)}
     assert all("batch_id=1/" in name for name in pending.inputFiles())
 
 
+def test_merged_batches_are_looked_up_in_the_unified_table(spark, rides, folder):
+    paths = MartPaths(folder)
+    batch, stream = paths.feed("b"), paths.feed("s", stream=True)
+    merge_new(rides(ride("a"), ride("b")), 0, batch)
+    union(spark, paths)
+    merge_new(rides(ride("c")), 1, batch)
+    known = stored_trip_ids(spark, 0, stream)
+    assert as_set(known) == {("a",), ("b",), ("c",)}
+    assert {re.search(r"(run|batch)_id=\d+", name).group() for name in known.inputFiles()} == {"run_id=1", "batch_id=1"}
+    merge_new(rides(ride("b"), ride("c"), ride("d")), 0, stream)
+    assert as_set(read_table(spark, paths.stream_output, FEED), "trip_id") == {("d",)}
+    for _ in range(2):  # replays, after the union has taken the batch
+        merge_new(rides(ride("a"), ride("b")), 0, batch)
+    assert read_table(spark, paths.batch_output, FEED).filter("batch_id = 0").count() == 2
+    assert union(spark, paths) == 2
+    assert unified_ids(spark, paths) == ["a", "b", "c", "d"]
+
+
 def test_many_constant_rows(spark):
     rows = [("s", number, 1) for number in range(300)]
     assert as_set(constant_rows(spark, rows, FEED_PROGRESS)) == set(rows)
