@@ -50,7 +50,8 @@ def arguments() -> argparse.ArgumentParser:
     stage("publish", "input", messages=True)
     for name in ("union", "gold", "export", "run"):
         stage(name, "base")
-    stage("sql", "base", "text")
+    sql = stage("sql", "base", "text")
+    sql.add_argument("--rows", type=int, default=1000, help="rows to print of each result")
     return parser
 
 
@@ -81,7 +82,7 @@ def run_stage(spark: SparkSession, options: argparse.Namespace) -> None:
     elif options.stage == "sql":
         register_mart(spark, options.base)
         for result in run_sql_script(spark, options.text):
-            result.show(truncate=False)
+            result.show(options.rows, truncate=False)
     else:
         print(run_chain(spark, MartPaths(options.base), options.stage))
 

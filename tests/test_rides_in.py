@@ -73,6 +73,16 @@ def test_clean_keeps_rides_without_a_cell(rides):
     assert row.start_geo_hash is None and row.end_geo_hash is not None and row.trip_duration_sec == 600
 
 
+def test_rides_shorter_than_a_second_count(rides):
+    row = clean_rides(rides(ride("a", "2024-01-05 10:00:00.200000", "2024-01-05 10:00:00.900000"))).first()
+    assert row.trip_duration_sec == 0
+
+
+def test_not_a_number_is_not_missing(spark):
+    row = clean_rides(parse(spark, GOOD.replace("40.7,", "NaN,"))).first()
+    assert row.trip_id == "t1" and row.start_geo_hash is None
+
+
 def test_new_files(spark, rides, folder):
     files, manifest = f"{folder}/in", f"{folder}/manifest"
     rides(ride("a")).write.option("header", True).csv(files)
