@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ridemart.functions.geo import geo_cell
 from ridemart.functions.ride import duration_seconds
-from ridemart.schemas import RAW, SILVER
+from ridemart.operators.incremental import dedup_first
+from ridemart.schemas import RAW
 
 COORDINATES = ("start_lat", "start_lon", "end_lat", "end_lon")
 CellFunction = Callable[[Column, Column], Column]
@@ -49,10 +50,24 @@ def clean_rides(rides: DataFrame, cell_fn: CellFunction = geo_cell) -> DataFrame
     ``cell_fn`` maps a latitude and a longitude column to a cell column, so that another grid can be
     plugged in, as native expressions or as a ``pandas_udf``.
     """
-    return rides.filter(is_valid()).select(
+    return _silver_columns(rides.filter(is_valid()), cell_fn)
+
+
+def clean_first_rides(rides: DataFrame, cell_fn: CellFunction = geo_cell) -> DataFrame:
+    """``clean_rides`` with one ride per id: the earliest start wins, then the earliest end.
+
+    The choice comes first, on the raw numbers: they are narrower in the shuffle than cells, and no
+    cell is computed for a ride that goes.
+    """
+    valid = rides.filter(is_valid()).drop("distance")
+    return _silver_columns(dedup_first(valid, ["trip_id"], ["start_time", "end_time"]), cell_fn)
+
+
+def _silver_columns(rides: DataFrame, cell_fn: CellFunction) -> DataFrame:
+    return rides.select(
         "trip_id",
         "start_time",
         cell_fn(F.col("start_lat"), F.col("start_lon")).alias("start_geo_hash"),
         cell_fn(F.col("end_lat"), F.col("end_lon")).alias("end_geo_hash"),
         duration_seconds(F.col("start_time"), F.col("end_time")).alias("trip_duration_sec"),
-    ).select(*SILVER.names)
+    )

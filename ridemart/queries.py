@@ -43,10 +43,6 @@ def stream_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fixtures.rides_events(spark, sf_dir).filter(_since(STREAM_FEED_FROM))
 
 
-def _silver(rides: DataFrame) -> DataFrame:
-    return incremental.dedup_first(clean.clean_rides(rides), ["trip_id"], ["start_time", "trip_duration_sec"])
-
-
 # --- parsing and cleaning ---
 
 def parse_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -110,13 +106,13 @@ def _orders_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- incremental steps ---
 
 def dedup_first_rides(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _silver(fixtures.rides_orders(spark, sf_dir))
+    return clean.clean_first_rides(fixtures.rides_orders(spark, sf_dir))
 
 
 def new_trips_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stream feed's rides whose ids the batch feed does not have."""
     stored = clean.clean_rides(batch_feed(spark, sf_dir))
-    return new_rows_only(_silver(stream_feed(spark, sf_dir)), stored, ["trip_id"])
+    return new_rows_only(clean.clean_first_rides(stream_feed(spark, sf_dir)), stored, ["trip_id"])
 
 
 def new_trips_small_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -126,7 +122,7 @@ def new_trips_small_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     fits = incremental.measure_keys(raw, "trip_id").fits_broadcast
     wanted = raw if fits else incremental.distinct_keys(raw, "trip_id", name="trip_id")
     seen = incremental.seen_keys(stored, wanted, "trip_id", broadcast=fits)
-    return new_rows_only(_silver(raw), seen, ["trip_id"])
+    return new_rows_only(clean.clean_first_rides(raw), seen, ["trip_id"])
 
 
 def silver_union(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -158,7 +154,7 @@ def _write_ride_files(rides: DataFrame, path: str) -> None:
 # --- the star, step by step ---
 
 def _orders_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold.fact_columns(_silver(fixtures.rides_orders(spark, sf_dir)))
+    return gold.fact_columns(clean.clean_first_rides(fixtures.rides_orders(spark, sf_dir)))
 
 
 def fact_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -205,8 +201,8 @@ def band_range_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _arrived_fact(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Facts of the rides known before the stream feed began, and of the stream feed."""
     rides = fixtures.rides_events(spark, sf_dir)
-    known = _silver(rides.filter(_before(STREAM_FEED_FROM)))
-    return gold.fact_columns(known), gold.fact_columns(_silver(rides.filter(_since(STREAM_FEED_FROM))))
+    known = clean.clean_first_rides(rides.filter(_before(STREAM_FEED_FROM)))
+    return gold.fact_columns(known), gold.fact_columns(clean.clean_first_rides(rides.filter(_since(STREAM_FEED_FROM))))
 
 
 def new_dates(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,15 +10,15 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ridemart.functions.geo import geo_cell
-from ridemart.operators.clean import CellFunction, clean_rides, is_valid, split_valid_rejects
-from ridemart.operators.incremental import KeySize, dedup_first, dedup_stream, key_bytes, write_new
+from ridemart.operators.clean import (
+    CellFunction, clean_first_rides, clean_rides, is_valid, split_valid_rejects,
+)
+from ridemart.operators.incremental import KeySize, dedup_stream, key_bytes, write_new
 from ridemart.schemas import FEED, METRICS, ORIGIN, UNIFIED
 from ridemart.sources.tables import (
     batch_folders, constant_rows, merged_batches, read_partitions, read_table, replace_batch,
 )
 
-SURVIVOR_ORDER = ("start_time", "trip_duration_sec")
-
 
 @dataclass(frozen=True)
 class Feed:
@@ -93,11 +93,10 @@ def merge_new(rides: DataFrame, batch_id: int, feed: Feed, persist: bool = True)
         if feed.rejects and (size is None or size["rows_in"] > size["valid"]):
             _, rejects = split_valid_rejects(rides)
             replace_batch(rejects, feed.rejects, feed.source, batch_id)
-        fresh = clean_rides(rides, feed.cell_fn)
-        if feed.dedup != "union":
-            fresh = dedup_first(fresh, ["trip_id"], SURVIVOR_ORDER)
+        clean = clean_rides if feed.dedup == "union" else clean_first_rides
         written = write_new(
-            fresh, stored, "trip_id", lambda rows: replace_batch(rows, feed.target, feed.source, batch_id),
+            clean(rides, feed.cell_fn), stored, "trip_id",
+            lambda rows: replace_batch(rows, feed.target, feed.source, batch_id),
             raw=rides.filter(is_valid()), size=size and KeySize(size["valid"], size["key_bytes"]),
         )
         if feed.metrics:

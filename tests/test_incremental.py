@@ -3,6 +3,7 @@ from conftest import as_set, plan_of, ride
 from pyspark.sql import functions as F
 
 from ridemart.operators import incremental
+from ridemart.operators.clean import clean_first_rides, clean_rides
 from ridemart.schemas import FEED, METRICS, REJECTS, SILVER
 from ridemart.sources.tables import path_exists, read_table
 from ridemart.streaming.feeds import Feed, merge_new
@@ -37,6 +38,19 @@ def test_first_ride_wins(rides):
     assert as_set(got, "trip_id", "distance") == {("a", 9.0), ("b", 2.5)}
 
 
+def test_cleaning_first_rides(rides):
+    rows = rides(
+        ride("a", "2024-01-05 10:00:00", "2024-01-05 10:00:30.800000", end_lat=40.8),
+        ride("a", "2024-01-05 10:00:00", "2024-01-05 10:00:30.300000"),
+        ride("a", "2024-01-05 09:00:00", "2024-01-05 09:00:00"),
+        ride("b", start_lat=None), ride("b", distance=None), ride(None),
+    )
+    first = clean_first_rides(rows)
+    assert first.columns == SILVER.names and first.count() == 2
+    assert as_set(first.join(clean_rides(rides(ride("a"))), "end_geo_hash", "left_semi"), "trip_id") == {("a",), ("b",)}
+    assert as_set(first, "trip_id", "trip_duration_sec") == {("a", 30), ("b", 600)}
+
+
 def test_a_hot_key_is_reduced_before_the_shuffle(spark):
     rows = spark.range(30_000).select(
         F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("k"), "id",

@@ -2,8 +2,7 @@ from conftest import as_set, ride
 from pyspark.sql import functions as F
 
 from ridemart import fixtures
-from ridemart.operators.clean import clean_rides
-from ridemart.operators.incremental import dedup_first
+from ridemart.operators.clean import clean_first_rides
 from ridemart.queries import _arrivals, _run_csv_feed, _write_ride_files, registered
 from ridemart.schemas import FEED, METRICS, RAW, SILVER
 from ridemart.sources.rides import parse_ride_lines, read_lines_stream, stream_ride_files, to_csv_lines
@@ -20,7 +19,7 @@ def test_stream_equals_batch(spark, sf, folder):
     feed = Feed("s", f"{folder}/silver")
     _run_csv_feed(spark, rides, ("2024-01-10", "2024-01-20"), feed, folder)
     streamed = read_table(spark, feed.target, FEED).select(*SILVER.names)
-    batch = dedup_first(clean_rides(rides), ["trip_id"], ["start_time", "trip_duration_sec"])
+    batch = clean_first_rides(rides)
     assert streamed.exceptAll(batch).isEmpty() and batch.exceptAll(streamed).isEmpty()
 
 
