@@ -22,6 +22,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return files.exists(hadoop_path)
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    files, hadoop_path = _hadoop_path(spark, path)
+    files.delete(hadoop_path, True)
+
+
 def partition_folders(spark: SparkSession, path: str, columns: Sequence[str]) -> dict[tuple[str, ...], str]:
     """The partitions of a stored table: folder by partition values.
 
@@ -117,8 +122,7 @@ def staged(rows: DataFrame) -> Iterator[DataFrame]:
     try:
         yield spark.read.schema(rows.schema).parquet(path)
     finally:
-        files, hadoop_path = _hadoop_path(spark, path)
-        files.delete(hadoop_path, True)
+        delete_path(spark, path)
 
 
 def seed_table(rows: DataFrame, path: str) -> None:
