@@ -18,17 +18,19 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ridemart.llm.common import binary_values, checkpointed, mix, seeded, stored, word_hashes, word_places
 
 # The table of token counts: 2^SKETCH_BITS numbers, whatever the input. It orders tokens, nothing else.
 SKETCH_BITS, BLOCK_BITS = 20, 12
-LEVELS = 4
+LEVELS = 6
 # Estimated cost of comparing two whole sets, in postings read.
 COMPARE = 32
+# Postings that a token is expected to meet even when the counts say that it is rare.
+RARE = 0.5
 # Nodes that are sent to every task, at 16 bytes each; beyond that they are joined by a shuffle.
-BROADCAST_NODES = 2_000_000
+BROADCAST_NODES = 500_000
 
 _BYTES = np.arange(256, dtype=np.uint8)
 _INSIDE = ~((_BYTES == 32) | ((_BYTES >= 9) & (_BYTES <= 13)))
@@ -155,7 +157,7 @@ def prefix(tokens: np.ndarray, counts: np.ndarray, usual: float, rule: Rule) ->
     order = np.lexsort((tokens, seen))
     need, need_index = int(rule.overlap(n, rule.least_partner(n))), int(rule.overlap(n, n))
     level, best = 1, np.inf
-    postings = np.cumsum(np.maximum(seen[order] - usual, 0))
+    postings = np.cumsum(np.maximum(seen[order] - usual, RARE))
     for l in range(1, min(LEVELS, need) + 1):
         read = postings[min(n, n - need + l) - 1]
         cost = read + COMPARE * read / l
@@ -233,8 +235,19 @@ def _bound(na: Column, nb: Column, pa_: Column, pb: Column, before: Column) -> C
     return before + 1 + F.least(na - pa_, nb - pb) - 1
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
-    """Of pairs (na, sa, nb, sb), those whose whole sets link: a, b as structs."""
+def _verified(pairs: DataFrame, rows: DataFrame, rule: Rule) -> DataFrame:
+    """Of stored pairs (na, sa, nb, sb), those whose whole sets link: a, b as structs.
+
+    Sets are made for the nodes of these pairs only.
+    """
+    wanted = stored(
+        pairs.select(F.col("na").alias("n"), F.col("sa").alias("sig"))
+        .unionByName(pairs.select(F.col("nb").alias("n"), F.col("sb").alias("sig"))).distinct(), "nodes",
+    )
+    if wanted.count() <= BROADCAST_NODES:
+        wanted = F.broadcast(wanted)
+    sets = stored(_sets(rows, rule).join(wanted, list(NODE), "left_semi").dropDuplicates(list(NODE)), "sets")
+
     def side(letter: str) -> DataFrame:
         return sets.select(F.col("n").alias(f"n{letter}"), F.col("sig").alias(f"s{letter}"), F.col("tokens").alias(f"t{letter}"))
 
@@ -291,14 +304,26 @@ def _shared_postings(rows: DataFrame, counts: np.ndarray, rule: Rule) -> DataFra
     return stored(_unpacked(postings.join(several, "token", "left_semi").distinct()), "postings")
 
 
+def _ranked(postings: DataFrame) -> DataFrame:
+    """With ``rank``, how many of these postings the node has before: no more earlier tokens can be shared."""
+    order = Window.partitionBy(*NODE).orderBy("at")
+    return postings.withColumn("rank", F.row_number().over(order) - 1)
+
+
 def _leaders(postings: DataFrame, rule: Rule) -> DataFrame:
     """For each node the leader it shares most prefix tokens with: na, sa, nb, sb."""
-    leader = postings.filter("index").groupBy("token").agg(F.min(F.struct("at", "n", "sig")).alias("leader"))
-    met = postings.join(leader.select("token", "leader.*").toDF("token", "pa", "na", "sa"), "token")
+    postings = _ranked(postings)
+    leader = postings.filter("index").groupBy("token").agg(F.min(F.struct("at", "n", "sig", "rank")).alias("leader"))
+    met = postings.join(leader.select("token", "leader.*").toDF("token", "pa", "na", "sa", "ra"), "token")
     na, nb = F.col("na"), F.col("n")
-    bound = _bound(na, nb, F.col("pa"), F.col("at"), F.least("pa", "at"))
+    bound = _bound(na, nb, F.col("pa"), F.col("at"), F.least("ra", "rank"))
     met = met.filter(((na != nb) | (F.col("sa") != F.col("sig"))) & _may_link(rule, na, nb, bound))
-    shared = met.groupBy(F.col("n").alias("nb"), F.col("sig").alias("sb"), "na", "sa").agg(F.count(F.lit(1)).alias("shared"))
+    shared = met.groupBy(F.col("n").alias("nb"), F.col("sig").alias("sb"), "na", "sa").agg(
+        F.count(F.lit(1)).alias("shared"), F.min("pa").alias("pa"), F.min("at").alias("at"),
+        F.min("level").alias("level"),
+    ).filter(F.col("shared") >= F.least("level", F.lit(2)))
+    # Only what looks like a link is worth it here; nothing is lost, as the join below takes all that stay apart.
+    shared = shared.filter(_may_link(rule, F.col("na"), F.col("nb"), _bound(F.col("na"), F.col("nb"), F.col("pa"), F.col("at"), F.lit(0))))
     best = shared.groupBy("nb", "sb").agg(F.max(F.struct("shared", "na", "sa")).alias("best"))
     return best.select("best.na", "best.sa", "nb", "sb")
 
@@ -310,12 +335,14 @@ def _open_pairs(postings: DataFrame, labels: DataFrame, rule: Rule) -> DataFrame
         labels.select("node.n", "node.sig", F.col("root").alias("known")), list(NODE), "left",
     ).withColumn("root", F.coalesce("known", node)).drop("known")
     apart = known.groupBy("token").agg(F.min("root").alias("least"), F.max("root").alias("most")).filter("least <> most")
-    known = known.join(apart.select("token"), "token", "left_semi")
-    a = known.filter("index").select("token", *(F.col(x).alias(f"{x}_a") for x in ("n", "sig", "at", "level", "root")))
-    b = known.select("token", *(F.col(x).alias(f"{x}_b") for x in ("n", "sig", "at", "level", "root")))
+    # A pair of different components shares none but these tokens, so ranks count these alone.
+    known = stored(_ranked(known.join(apart.select("token"), "token", "left_semi")), "open-postings")
+    names = ("n", "sig", "at", "level", "root", "rank")
+    a = known.filter("index").select("token", *(F.col(x).alias(f"{x}_a") for x in names))
+    b = known.select("token", *(F.col(x).alias(f"{x}_b") for x in names))
     na, nb, at_a, at_b = (F.col(x) for x in ("n_a", "n_b", "at_a", "at_b"))
     smaller = (na < nb) | ((na == nb) & (F.col("sig_a") < F.col("sig_b")))
-    bound = _bound(na, nb, at_a, at_b, F.least(at_a, at_b))
+    bound = _bound(na, nb, at_a, at_b, F.least("rank_a", "rank_b"))
     met = a.join(b, "token").filter(smaller & (F.col("root_a") != F.col("root_b")) & _may_link(rule, na, nb, bound))
     pairs = met.groupBy("n_a", "sig_a", "n_b", "sig_b").agg(
         F.count(F.lit(1)).alias("shared"), F.min(F.least("level_a", "level_b")).alias("level"),
@@ -341,14 +368,9 @@ def link_components(
     counts = _sketch(measured)
     nodes = measured.filter("n > 0 AND block IS NULL").groupBy(*NODE).agg(F.min("id").alias("smallest"))
     postings = _shared_postings(rows, counts, rule)
-    wanted = stored(postings.select(*NODE).distinct(), "nodes")
-    if wanted.count() <= BROADCAST_NODES:
-        wanted = F.broadcast(wanted)
-    sets = stored(_sets(rows, rule).join(wanted, list(NODE), "left_semi").dropDuplicates(list(NODE)), "sets")
-
-    links = stored(_verified(_leaders(postings, rule), sets, rule), "leader-links")
+    links = stored(_verified(stored(_leaders(postings, rule), "leaders"), rows, rule), "leader-links")
     labels = components(links)
-    rest = _verified(_open_pairs(postings, labels, rule), sets, rule)
+    rest = _verified(stored(_open_pairs(postings, labels, rule), "open-pairs"), rows, rule)
     roots = labels.select(F.col("node"), "root")
     rest = stored(rest, "open-links").join(
         roots.select(F.col("node").alias("a"), F.col("root").alias("ra")), "a", "left",
