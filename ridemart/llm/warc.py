@@ -62,23 +62,36 @@ def write_pages(
     linked.select(record.alias("value")).write.option("lineSep", END).text(path)
 
 
-def read_chunks(spark: SparkSession, path: str) -> DataFrame:
-    """The files cut at every version line: file, offset (where the version line begins), chunk (what follows).
-
-    A split's chunks come in order, so an offset is the bytes before it: of earlier splits, then within its own.
-    """
-    raw = spark.read.option("lineSep", VERSION).text(path).select(
+def _raw_chunks(spark: SparkSession, path: str) -> DataFrame:
+    """The files cut at every version line: file, split, row (in order within a split), chunk."""
+    return spark.read.option("lineSep", VERSION).text(path).select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"),
         F.monotonically_increasing_id().alias("row"), F.col("value").alias("chunk"),
-    ).withColumn("bytes", F.octet_length("chunk").cast("bigint") + len(VERSION))
+    )
+
+
+def read_candidates(raw: DataFrame) -> DataFrame:
+    """Every version line: file, split, row, offset, next (where its record would end), without the payloads.
+
+    A split's chunks come in order, so an offset is the bytes before it: of earlier splits, then within its
+    own. ``next`` is NULL where header or length cannot be read.
+    """
+    sized = raw.select(
+        "file", "split", "row", (F.octet_length("chunk").cast("bigint") + len(VERSION)).alias("bytes"),
+        F.octet_length(F.substring_index("chunk", END, 1)).cast("bigint").alias("head"),
+        F.col("chunk").contains(END).alias("complete"), _field(F.col("chunk"), "Content-Length").try_cast("bigint").alias("length"),
+    )
     own = Window.partitionBy("file", "split").orderBy("row").rowsBetween(Window.unboundedPreceding, 0)
-    placed = raw.withColumn("end", F.sum("bytes").over(own))
+    placed = sized.withColumn("end", F.sum("bytes").over(own))
     # One row per split is left of this: few enough for a window per file.
     totals = placed.groupBy("file", "split").agg(F.max("end").alias("total"))
     before = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
     starts = totals.select("file", "split", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("before"))
     offset = F.col("before") + F.col("end") - F.col("bytes") - len(VERSION)
-    return placed.join(starts, ["file", "split"]).select("file", "split", offset.alias("offset"), "chunk")
+    following = F.col("offset") + len(VERSION) + F.col("head") + len(END) + F.col("length") + len(END)
+    return placed.join(starts, ["file", "split"]).withColumn("offset", offset).filter("offset >= 0").select(
+        "file", "split", "row", "offset", F.when(F.col("complete") & (F.col("length") >= 0), following).alias("next"),
+    )
 
 
 def _field(chunk: Column, name: str) -> Column:
@@ -88,24 +101,13 @@ def _field(chunk: Column, name: str) -> Column:
     return F.when(found != "", found)
 
 
-def candidate_links(chunks: DataFrame) -> DataFrame:
-    """Each candidate's successor: file, offset, next. NULL where header or length cannot be read."""
-    length = F.col("length").try_cast("bigint")
-    head = F.octet_length(F.substring_index("chunk", END, 1)).cast("bigint")
-    complete = F.col("chunk").contains(END)
-    following = F.col("offset") + len(VERSION) + head + len(END) + length + len(END)
-    return chunks.filter("offset >= 0").withColumn("length", _field(F.col("chunk"), "Content-Length")).select(
-        "file", "offset", F.when(complete & (length >= 0), following).alias("next"),
-    )
-
-
 def reachable(links: DataFrame) -> DataFrame:
     """The candidates on the chain from offset 0 of their file: file, offset.
 
     Doubling: after round k the reached rows are the first 2^k of each chain and a jump spans 2^k records.
     Jumps end where no candidate is, which also ends the chain.
     """
-    known = checkpointed(links.dropDuplicates(["file", "offset"]))
+    known = links.select("file", "offset", "next")
     reached = known.filter("offset = 0").select("file", "offset")
     jumps = known.filter(F.col("next").isNotNull()).join(
         known.select("file", F.col("offset").alias("next")), ["file", "next"], "left_semi",
@@ -127,19 +129,28 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     (revisits have no payload of their own). A payload that holds version lines is put together again from
     its chunks: the pieces of one record meet in one task, those of a file do not.
     """
-    chunks = read_chunks(spark, path).filter("offset >= 0")
-    starts = reachable(candidate_links(chunks)).withColumn("starts", F.col("offset"))
-    owned = chunks.join(starts, ["file", "offset"], "left")
+    raw = _raw_chunks(spark, path)
+    candidates = checkpointed(read_candidates(raw))
+    starts = reachable(candidates).withColumn("starts", F.col("offset"))
+    owned = candidates.drop("next").join(starts, ["file", "offset"], "left")
     # A chunk belongs to the last start at or before it: in its own split, or else in an earlier one.
     own = Window.partitionBy("file", "split").orderBy("offset").rowsBetween(Window.unboundedPreceding, 0)
     before = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
     carried = owned.groupBy("file", "split").agg(F.max("starts").alias("last")).select(
         "file", "split", F.max("last").over(before).alias("carried"),
     )
-    pieces = owned.withColumn("record", F.max("starts").over(own)).join(carried, ["file", "split"])
-    whole = pieces.groupBy("file", F.coalesce("record", "carried").alias("record")).agg(
+    owner = owned.withColumn("own", F.max("starts").over(own)).join(carried, ["file", "split"]).select(
+        "file", "split", "row", "offset", F.coalesce("own", "carried").alias("record"),
+    ).filter("record IS NOT NULL")
+    several = owner.groupBy("file", "record").agg(F.count(F.lit(1)).alias("n"))
+    owner = checkpointed(owner.join(several, ["file", "record"]))
+    # The payloads move once, to meet their places; those of one piece need no more.
+    pieces = raw.join(owner, ["file", "split", "row"])
+    alone = pieces.filter("n = 1").select("file", F.col("record").alias("offset"), F.col("chunk").alias("text"))
+    split_up = raw.join(owner.filter("n > 1"), ["file", "split", "row"]).groupBy("file", "record").agg(
         F.array_sort(F.collect_list(F.struct("offset", "chunk"))).alias("pieces"),
-    ).filter("record IS NOT NULL").select("file", F.col("record").alias("offset"), F.array_join("pieces.chunk", VERSION).alias("text"))
+    ).select("file", F.col("record").alias("offset"), F.array_join("pieces.chunk", VERSION).alias("text"))
+    whole = alone if owner.filter("n > 1").isEmpty() else alone.unionByName(split_up)
 
     text = F.col("text")
     urn = rf"<{_PREFIX}(.*)>"
