@@ -19,9 +19,9 @@ from pyspark.sql.functions import arrow_udf
 # Ids must fit 16 bits, as two of them make a key. It also bounds what is broadcast: a few MB.
 MAX_TOKENS = 1 << 16
 NO_RANK = np.int32(2**31 - 1)
-# Cells of one matrix, and bytes of pieces whose ids a task remembers.
-MATRIX_CELLS = 1 << 21
-REMEMBERED_BYTES = 32 << 20
+# Cells of one matrix, and distinct pieces whose ids a task remembers (some 200 bytes each).
+MATRIX_CELLS = 1 << 20
+REMEMBERED_PIECES = 200_000
 
 
 @dataclass(frozen=True)
@@ -181,7 +181,7 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.numbers, self.bytes = _Pieces(), 0
+        self.numbers = _Pieces()
         self.starts, self.sizes, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
 
     def _learn(self, known: int) -> None:
@@ -192,10 +192,9 @@ class Encoder:
         sizes = np.array([len(x) for x in ids], np.int64)
         self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(sizes) - sizes])
         self.sizes, self.ids = np.concatenate([self.sizes, sizes]), np.concatenate([self.ids, *ids])
-        self.bytes += sum(map(len, new))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        if self.bytes > REMEMBERED_BYTES:
+        if len(self.numbers) > REMEMBERED_PIECES:
             self._forget()
         known, numbers = len(self.numbers), []
         for text in texts:
@@ -211,7 +210,7 @@ class Encoder:
         return self.ids[np.arange(total) + np.repeat(self.starts[numbers] - ends + sizes, sizes)]
 
 
-def _some(texts: pa.Array, size: int = 4 << 20) -> Iterator[list[str]]:
+def _some(texts: pa.Array, size: int = 1 << 20) -> Iterator[list[str]]:
     """The texts of a batch in groups of bounded size."""
     group, held = [], 0
     for value in texts:
