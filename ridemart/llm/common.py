@@ -41,6 +41,11 @@ def checkpointed(rows: DataFrame) -> DataFrame:
     return rows.checkpoint()
 
 
+def few(rows: DataFrame, limit: int) -> DataFrame:
+    """The rows, to be broadcast when a count finds no more than ``limit`` of them."""
+    return F.broadcast(rows) if rows.count() <= limit else rows
+
+
 def stored(rows: DataFrame, label: str) -> DataFrame:
     """The rows as a Parquet table below the shared folder: for tables too wide for a checkpoint's rows."""
     spark = rows.sparkSession

@@ -12,13 +12,17 @@ reached, however complete the record after it looks.
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from ridemart.llm.common import checkpointed
+from ridemart.llm.common import checkpointed, few
 
 VERSION = "WARC/1.1\r\n"
 END = "\r\n\r\n"
 # Payloads from this size on are stored once.
 REVISIT_BYTES = 1000
 _PREFIX = "urn:page:"
+# Tables of keys up to this many rows (some 100 bytes each) go to the payloads; larger ones meet them in a shuffle.
+BROADCAST_ROWS = 500_000
+# Links of one task while pointers jump.
+LINKS_PER_TASK = 50_000
 
 
 def write_pages(
@@ -43,6 +47,7 @@ def write_pages(
     )
     kept = large.groupBy("same", "size").agg(F.max("id").alias("refers"), F.count(F.lit(1)).alias("n"))
     repeats = large.join(kept.filter("n > 1"), ["same", "size"]).filter("id <> refers").select("id", "same", "refers").distinct()
+    repeats = few(checkpointed(repeats), BROADCAST_ROWS)
     # An id may repeat with other payloads, so the join takes the payload's digest too.
     same = F.sha2(F.col("payload").cast("binary"), 256)
     linked = rows.withColumn("same", same).join(repeats, ["id", "same"], "left")
@@ -108,17 +113,22 @@ def reachable(links: DataFrame) -> DataFrame:
     Jumps end where no candidate is, which also ends the chain.
     """
     known = links.select("file", "offset", "next")
+    tasks = 1 + known.count() // LINKS_PER_TASK
+
+    def kept(rows: DataFrame) -> DataFrame:
+        return checkpointed(rows.coalesce(tasks))
+
     reached = known.filter("offset = 0").select("file", "offset")
     jumps = known.filter(F.col("next").isNotNull()).join(
         known.select("file", F.col("offset").alias("next")), ["file", "next"], "left_semi",
     ).select("file", "offset", "next")
-    reached, jumps = checkpointed(reached), checkpointed(jumps)
+    reached, jumps = kept(reached), kept(jumps)
     while not jumps.isEmpty():
         ahead = reached.join(jumps, ["file", "offset"]).select("file", F.col("next").alias("offset"))
         longer = jumps.join(
             jumps.select("file", F.col("offset").alias("next"), F.col("next").alias("_far")), ["file", "next"],
         ).select("file", "offset", F.col("_far").alias("next"))
-        reached, jumps = checkpointed(reached.unionByName(ahead)), checkpointed(longer)
+        reached, jumps = kept(reached.unionByName(ahead)), kept(longer)
     return reached
 
 
@@ -145,12 +155,12 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     several = owner.groupBy("file", "record").agg(F.count(F.lit(1)).alias("n"))
     owner = checkpointed(owner.join(several, ["file", "record"]))
     # The payloads move once, to meet their places; those of one piece need no more.
-    pieces = raw.join(owner, ["file", "split", "row"])
-    alone = pieces.filter("n = 1").select("file", F.col("record").alias("offset"), F.col("chunk").alias("text"))
-    split_up = raw.join(owner.filter("n > 1"), ["file", "split", "row"]).groupBy("file", "record").agg(
+    one, more = owner.filter("n = 1"), owner.filter("n > 1")
+    alone = raw.join(few(one, BROADCAST_ROWS), ["file", "split", "row"]).select("file", F.col("record").alias("offset"), F.col("chunk").alias("text"))
+    split_up = raw.join(few(more, BROADCAST_ROWS), ["file", "split", "row"]).groupBy("file", "record").agg(
         F.array_sort(F.collect_list(F.struct("offset", "chunk"))).alias("pieces"),
     ).select("file", F.col("record").alias("offset"), F.array_join("pieces.chunk", VERSION).alias("text"))
-    whole = alone if owner.filter("n > 1").isEmpty() else alone.unionByName(split_up)
+    whole = alone if more.isEmpty() else alone.unionByName(split_up)
 
     text = F.col("text")
     urn = rf"<{_PREFIX}(.*)>"
@@ -176,10 +186,10 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
 
     A revisit without its response has NULL for both.
     """
-    small = records.select(
+    small = checkpointed(records.select(
         "id", "type", "refers_to", "stated_digest", F.octet_length("payload").cast("bigint").alias("bytes"),
         F.sha1(F.col("payload").cast("binary")).alias("digest"),
-    )
+    ))
     responses = small.filter("type = 'response'").select(
         F.col("id").alias("refers_to"), F.col("digest").alias("stated_digest"),
         F.col("bytes").alias("_bytes"), F.col("digest").alias("_digest"),
