@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ridemart.operators.incremental import dedup_first, write_new
 from ridemart.schemas import FEED, FEED_PROGRESS, UNIFIED
 from ridemart.sources.tables import (
-    append_ledger, batch_folders, constant_rows, merged_batches, partition_folders, path_exists,
+    append_ledger, batch_folders, constant_rows, exclusive, merged_batches, partition_folders, path_exists,
     read_partitions, read_table, replace_partitions,
 )
 
@@ -32,7 +32,15 @@ def union_silver(spark: SparkSession, feeds: Sequence[str], unified: str, progre
     A feed that does not exist yet is skipped; None means that no feed exists. The progress ledger of
     batches only saves work: uniqueness rests on the ids in ``unified``, so a crash between the write
     and the ledger costs a second look at the same batches and nothing else.
+
+    One union runs at a time: a run that starts before another has ended raises TableBusy and writes
+    nothing, so that no two runs take one number or accept one id twice. Its batches wait for the next run.
     """
+    with exclusive(spark, unified):
+        return _union_silver(spark, feeds, unified, progress)
+
+
+def _union_silver(spark: SparkSession, feeds: Sequence[str], unified: str, progress: str) -> int | None:
     present = [path for path in feeds if path_exists(spark, path)]
     for path in set(feeds) - set(present):
         log.warning("feed %s does not exist, skipped", path)

@@ -27,6 +27,26 @@ def delete_path(spark: SparkSession, path: str) -> None:
     files.delete(hadoop_path, True)
 
 
+class TableBusy(RuntimeError):
+    """Another run is writing the table."""
+
+
+@contextmanager
+def exclusive(spark: SparkSession, path: str) -> Iterator[None]:
+    """Keep other runs from writing the table at ``path``, by a marker next to it that only one can create.
+
+    A run that died leaves its marker; it must be removed by hand once it is certain that the run is over.
+    """
+    marker = f"{path.rstrip('/')}.running"
+    files, hadoop_path = _hadoop_path(spark, marker)
+    if not files.createNewFile(hadoop_path):
+        raise TableBusy(f"another run is writing {path}; if none is, remove {marker}")
+    try:
+        yield
+    finally:
+        files.delete(hadoop_path, False)
+
+
 def partition_folders(spark: SparkSession, path: str, columns: Sequence[str]) -> dict[tuple[str, ...], str]:
     """The partitions of a stored table: folder by partition values.
 

@@ -13,7 +13,8 @@ from ridemart.plans.mart import MartPaths, refresh_mart, run_mart
 from ridemart.plans.silver import union_silver
 from ridemart.schemas import DIM_DATE, DIM_GEOGRAPHY, FACT, FACT_STORED, FEED, FEED_PROGRESS, UNIFIED
 from ridemart.sources.tables import (
-    batch_folders, constant_rows, merged_batches, partition_folders, read_partitions, read_table, seed_table,
+    TableBusy, batch_folders, constant_rows, merged_batches, partition_folders, read_partitions, read_table,
+    seed_table,
 )
 from ridemart.streaming.feeds import merge_new, stored_trip_ids
 
@@ -59,6 +60,28 @@ def test_union_runs(spark, rides, folder):
     assert set(partition_folders(spark, paths.unified, ["run_id"])) == {("1",), ("2",)}
 
 
+def test_a_union_inside_a_union(spark, rides, folder, monkeypatch):
+    """A second run between the first one's plan and its write, with more batches: no ride is lost or doubled."""
+    paths = MartPaths(folder)
+    feed = paths.feed("b")
+    merge_new(rides(ride("a"), ride("b")), 0, feed)
+    write = silver_plan.write_new
+
+    def meanwhile(*args, **options):
+        merge_new(rides(ride("b"), ride("c"), ride("d")), 1, feed)
+        with pytest.raises(TableBusy):
+            union(spark, paths)
+        return write(*args, **options)
+
+    monkeypatch.setattr(silver_plan, "write_new", meanwhile)
+    assert union(spark, paths) == 2
+    monkeypatch.undo()
+    assert union(spark, paths) == 2
+    assert unified_ids(spark, paths) == ["a", "b", "c", "d"]
+    build_gold(spark, paths.unified, paths.gold)
+    assert as_set(fact(spark, paths), "trip_id") == {("a",), ("b",), ("c",), ("d",)}
+
+
 def test_batches_may_come_out_of_order(spark, rides, folder):
     paths = MartPaths(folder)
     merge_new(rides(ride("a")), 5, paths.feed("b"))
