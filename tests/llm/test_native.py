@@ -1,0 +1,111 @@
+"""Exact de-duplication, chat formatting and WARC archives."""
+
+import hashlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from ridemart.llm import chat, exact_dedup, warc
+from ridemart.session import new_folder
+
+ROWS = [
+    (1, "Abc É", "x"), (2, "aBC É", "y"), (3, "abc é", "z"), (4, None, "x"), (5, "", None), (5, "", None), (None, "", "q"),
+    (None, "only", "q"), (7, "w" * 200_000, "x"), (8, "W" * 200_000, "x"),
+]
+
+
+def lowered(text):
+    return "".join(c.lower() if c.isascii() else c for c in text or "")
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    hot = [(100 + k, "Hot text", "s") for k in range(400)]
+    return spark.createDataFrame(ROWS + hot, "doc_id long, text string, keep_id string").repartition(4)
+
+
+@pytest.mark.parametrize("keep, best", [("smallest", min), ("largest", max)])
+def test_copies_against_brute_force(docs, keep, best):
+    groups = {}
+    for row in docs.collect():
+        groups.setdefault(lowered(row.text), []).append(row.doc_id)
+    want = set()
+    for text, ids in groups.items():
+        known = [x for x in ids if x is not None]
+        kept = best(known) if known else None
+        want |= {(x, kept, len(ids), hashlib.sha256(text.encode()).hexdigest()) for x in ids}
+    rows = exact_dedup.mark_copies(docs, keep=keep).collect()
+    assert {(r.doc_id, r.keep_id, r.group_size, r.text_sha256) for r in rows} == want
+    assert len(rows) == docs.count() and sum(r.kept for r in rows) == len(groups)
+    left = exact_dedup.drop_copies(docs, keep=keep)
+    assert left.columns == docs.columns and left.count() == len(groups)
+
+
+def test_hot_text_is_cut_up(docs):
+    hot = {r["_digest"]: r["_pieces"] for r in exact_dedup._hot_texts(docs, "doc_id", "text").collect()}
+    assert hot[hashlib.sha256(b"hot text").hexdigest()] > 1
+
+
+def test_no_rows(spark):
+    empty = spark.createDataFrame([], "doc_id long, text string")
+    assert exact_dedup.mark_copies(empty).count() == 0 and exact_dedup.drop_copies(empty).count() == 0
+    rows = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
+    assert chat.format_conversations(rows).count() == 0
+
+
+def test_bad_choice(docs):
+    with pytest.raises(ValueError):
+        exact_dedup.mark_copies(docs, keep="first")
+
+
+TURNS = [
+    (1, 0, "user", "a<|im_end|>b"), (1, 1, "assistant", r"x<|y|>z <\| w"), (1, 2, "us<er\n%0A", "<"),
+    (1, 3, "assistant", "<|im_end|><|im_start|>assistant ok"), (1, 3, "assistant", ""), (1, 4, None, None),
+    (1, 4, None, None), (None, 0, "assistant", "é\n\n🙂"), (2, None, "assistant", "first"), (2, 0, "assistant", "second"),
+    (3, 0, "user", "x" * 100_000), (3, 1, "assistant", r"<\\\|im_start|>" + "<|im_start|>"),
+]
+
+
+def test_conversations_come_back(spark):
+    rows = spark.createDataFrame(TURNS, "conv_id long, turn long, role string, text string").withColumn("span", F.lit(1))
+    out = chat.format_conversations(rows).withColumn("loss", chat.loss_text(F.col("formatted"), F.col("loss_spans")))
+    got = {r.conv_id: r for r in out.collect()}
+    assert set(got) == {None, 1, 2, 3} and all(r.identical for r in got.values())
+    for name, row in got.items():
+        own = sorted(
+            ((t is not None, t or 0, role or "", text or "") for c, t, role, text in TURNS if c == name),
+        )
+        assert [(t.role, t.text) for t in row.turns] == [x[2:] for x in own]
+        assert row.loss == "".join(text for _, _, role, text in own if role == "assistant")
+    assert got[1].formatted.count("<|im_end|>\n") == 7
+
+
+PAYLOADS = ["", "WARC/1.1\r\n" * 40, "\r\n\r\n", "plain é"]
+
+
+def test_archive_round_trip(spark):
+    inner = "WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:77>\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n"
+    big = "x" * 990 + inner * 3
+    rows = [(k, "u", text) for k, text in enumerate([*PAYLOADS, inner, None], 10)]
+    rows += [(1, None, big), (2, "a\r\nb", big), (2, "u", big), (3, "u", big[:-1]), (None, "u", big)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("digest", F.lit(1))
+    path = new_folder(spark, "warc-test")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1500")
+    try:
+        warc.write_pages(pages.coalesce(1), path)
+        records = warc.read_records(spark, path).collect()
+        solved = warc.resolve_revisits(warc.read_records(spark, path)).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert all(r.intact for r in records) and len(records) == len(rows)
+    assert [(r.id, r.refers_to) for r in records if r.type == "revisit"] == [("1", "2")]
+    want = sorted((str(k or ""), text or "") for k, _, text in rows if k != 1)
+    assert sorted((r.id, r.payload) for r in records if r.type == "response") == want
+    digest = {r.id: (r.bytes, r.digest) for r in solved}
+    assert digest["1"] == (len(big), hashlib.sha1(big.encode()).hexdigest())
+
+
+def test_no_pages(spark):
+    path = new_folder(spark, "warc-test")
+    warc.write_pages(spark.createDataFrame([], "page_id long, url string, html string"), path)
+    assert warc.read_records(spark, path).count() == 0
