@@ -162,7 +162,7 @@ def test_maxima_cover_every_byte():
     tables = model.pair_tables()
     for size in (0, 1, 255, 256, 257, 700, quality.BLOCK + 5):
         data = np.frombuffer(text := rng.bytes(size), np.uint8)
-        padded = np.append(data, np.zeros(max(quality.WIDTH, quality.HALF), np.uint8))
+        padded = np.append(data, np.zeros(quality.HALF + quality.WIDTH, np.uint8))
         starts = size if size > quality.HALF else quality.HALF
         each = [sum(model.filters[j][padded[k + j]] for j in range(quality.WIDTH)) for k in range(starts)]
         want = np.maximum(np.max(each, axis=0) + model.bias, 0)
