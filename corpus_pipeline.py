@@ -36,12 +36,11 @@ def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     text = F.coalesce("text", F.lit(""))
     encoded = docs.select(
         "doc_id", "lang", "source", F.sha2(text.cast("binary"), 256).alias("text_sha256"),
-        bpe.encode(spark, F.col("text"), vocabulary, public_tokenizers.PATTERN).alias("ids"),
+        bpe.encode_and_decode(spark, F.col("text"), vocabulary, public_tokenizers.PATTERN).alias("both"),
     )
-    decoded = encoded.withColumn("_decoded", bpe.decode(spark, F.col("ids"), vocabulary))
-    return decoded.select(
-        "doc_id", "lang", "source", F.size("ids").alias("n_tokens"), "ids",
-        (F.sha2("_decoded", 256) == F.col("text_sha256")).alias("round_trip"),
+    return encoded.select(
+        "doc_id", "lang", "source", F.size("both.ids").alias("n_tokens"), "both.ids",
+        (F.sha2("both.decoded", 256) == F.col("text_sha256")).alias("round_trip"),
     )
 
 

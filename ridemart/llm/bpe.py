@@ -21,7 +21,7 @@ MAX_TOKENS = 1 << 16
 NO_RANK = np.int32(2**31 - 1)
 # Cells of one matrix, and distinct pieces whose ids a task remembers (some 200 bytes each).
 MATRIX_CELLS = 1 << 20
-REMEMBERED_PIECES = 200_000
+REMEMBERED_PIECES = 300_000
 
 
 @dataclass(frozen=True)
@@ -210,7 +210,7 @@ class Encoder:
         return self.ids[np.arange(total) + np.repeat(self.starts[numbers] - ends + sizes, sizes)]
 
 
-def _some(texts: pa.Array, size: int = 1 << 20) -> Iterator[list[str]]:
+def _some(texts: pa.Array, size: int = 2 << 20) -> Iterator[list[str]]:
     """The texts of a batch in groups of bounded size."""
     group, held = [], 0
     for value in texts:
@@ -224,6 +224,20 @@ def _some(texts: pa.Array, size: int = 1 << 20) -> Iterator[list[str]]:
         yield group
 
 
+def _encode_batch(encoder: Encoder, batch: pa.Array) -> pa.ListArray:
+    ids = [row for texts in _some(batch) for row in encoder.encode(texts)]
+    ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
+    return pa.ListArray.from_arrays(ends, np.concatenate([np.zeros(0, np.int32), *ids]))
+
+
+def _decode_batch(tokens: list[bytes], batch: pa.ListArray) -> pa.Array:
+    token, values = tokens.__getitem__, batch.values.to_numpy()
+    if len(values) and values.min() < 0:
+        raise IndexError("a token id is below 0")
+    ends = batch.offsets.to_pylist()
+    return pa.array([b"".join(map(token, values[a:b].tolist())) for a, b in zip(ends, ends[1:])], pa.binary())
+
+
 def encode(spark: SparkSession, text: Column, vocabulary: Vocabulary, pattern: str) -> Column:
     """Array of token ids of each whole text, each match of the pattern on its own, no special tokens.
 
@@ -236,9 +250,7 @@ def encode(spark: SparkSession, text: Column, vocabulary: Vocabulary, pattern: s
     def encode_texts(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = Encoder(shared.value, pattern)
         for batch in batches:
-            ids = [row for texts in _some(batch) for row in encoder.encode(texts)]
-            ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
-            yield pa.ListArray.from_arrays(ends, np.concatenate([np.zeros(0, np.int32), *ids]))
+            yield _encode_batch(encoder, batch)
 
     return encode_texts(F.coalesce(text.cast("string"), F.lit("")))
 
@@ -249,14 +261,21 @@ def decode(spark: SparkSession, ids: Column, vocabulary: Vocabulary) -> Column:
 
     @arrow_udf(T.BinaryType())
     def decode_ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        token = shared.value.__getitem__
         for batch in batches:
-            values = batch.values.to_numpy()
-            if len(values) and values.min() < 0:
-                raise IndexError("a token id is below 0")
-            ends = batch.offsets.to_pylist()
-            yield pa.array(
-                [b"".join(map(token, values[a:b].tolist())) for a, b in zip(ends, ends[1:])], pa.binary(),
-            )
+            yield _decode_batch(shared.value, batch)
 
     return decode_ids(F.coalesce(ids, F.array().cast("array<int>")))
+
+
+def encode_and_decode(spark: SparkSession, text: Column, vocabulary: Vocabulary, pattern: str) -> Column:
+    """Struct of ids and of the bytes that these ids give, by ``encode`` and ``decode`` in one pass of one task."""
+    shared = spark.sparkContext.broadcast(vocabulary)
+
+    @arrow_udf(T.StructType.fromDDL("ids array<int>, decoded binary"))
+    def there_and_back(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        encoder = Encoder(shared.value, pattern)
+        for batch in batches:
+            ids = _encode_batch(encoder, batch)
+            yield pa.StructArray.from_arrays([ids, _decode_batch(shared.value.tokens, ids)], ["ids", "decoded"])
+
+    return there_and_back(F.coalesce(text.cast("string"), F.lit("")))

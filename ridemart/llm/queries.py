@@ -48,10 +48,9 @@ def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     vocabulary = bpe.read_vocabulary(public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    ids = bpe.encode(spark, F.col("text"), vocabulary, public_tokenizers.PATTERN)
-    encoded = _table(spark, sf_dir, "documents").select("doc_id", ids.alias("ids"))
-    decoded = encoded.withColumn("decoded", bpe.decode(spark, F.col("ids"), vocabulary))
-    return decoded.select(
+    both = bpe.encode_and_decode(spark, F.col("text"), vocabulary, public_tokenizers.PATTERN)
+    coded = _table(spark, sf_dir, "documents").select("doc_id", both.alias("both"))
+    return coded.select("doc_id", "both.ids", "both.decoded").select(
         "doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
         _sha256(F.array_join(F.col("ids").cast("array<string>"), " ")).alias("ids_sha256"),
         _sha256(F.col("decoded")).alias("decoded_sha256"),

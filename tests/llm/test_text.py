@@ -77,6 +77,9 @@ def test_ids_are_those_of_the_library(spark, vocabulary):
     encoded = docs.withColumn("ids", bpe.encode(spark, F.col("text"), vocabulary, public_tokenizers.PATTERN))
     for row in encoded.withColumn("back", bpe.decode(spark, F.col("ids"), vocabulary)).collect():
         assert row.ids == library.encode_ordinary(row.text or "") and bytes(row.back) == (row.text or "").encode()
+    both = bpe.encode_and_decode(spark, F.col("text"), vocabulary, public_tokenizers.PATTERN)
+    for row in docs.select("text", both.alias("both")).collect():
+        assert row.both.ids == library.encode_ordinary(row.text or "") and bytes(row.both.decoded) == (row.text or "").encode()
     assert encoded.limit(0).count() == 0
 
 
