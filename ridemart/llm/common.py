@@ -78,21 +78,21 @@ def labelled_sample(
     Rows of the held-out fold never get in. Each class gives the ``max_rows // 2`` texts with the smallest
     hash of the id, so the sample does not depend on how the tables are laid out. Texts over ``max_bytes``
     are left out of the sample (never of the scoring), which bounds what reaches the driver by
-    ``max_rows * max_bytes``.
+    ``max_rows * max_bytes``. The sample is chosen by ids alone; only its own texts leave their tasks.
     """
     name = F.col(id_col)
     known = (
         labels.filter(F.col(label).isNotNull() & name.isNotNull() & (fold(name, parts) != held_out))
         .groupBy(name.alias("_id")).agg(F.min(label).cast("int").alias("_label"))
     )
-    texts = (
-        docs.select(name.alias("_id"), whole_text(text_col).cast("binary").alias("_text"))
-        .filter(F.octet_length("_text") <= max_bytes)
-    )
-    rows = texts.join(known, "_id")
+    text = whole_text(text_col).cast("binary")
+    fitting = docs.filter(F.octet_length(text) <= max_bytes).select(name.alias("_id"), text.alias("_text"))
+    rows = fitting.select("_id").join(known, "_id")
     found = []
     for value in (0, 1):
-        ordered = rows.filter(F.col("_label") == value).orderBy(F.xxhash64("_id"), "_id", "_text")
+        first = rows.filter(F.col("_label") == value).orderBy(F.xxhash64("_id"), "_id").limit(max_rows // 2)
+        chosen = F.broadcast(checkpointed(first.select("_id")).distinct())
+        ordered = fitting.join(chosen, "_id").orderBy(F.xxhash64("_id"), "_id", "_text")
         found += [(bytes(row["_text"]), value) for row in ordered.limit(max_rows // 2).collect()]
     return found
 
