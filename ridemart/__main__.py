@@ -18,7 +18,7 @@ from ridemart.plans.gold import build_gold
 from ridemart.plans.mart import MartPaths, run_mart
 from ridemart.plans.silver import union_silver
 from ridemart.sources.rides import (
-    parse_ride_lines, publish_rides, read_lines_stream, read_ride_files, stream_ride_files,
+    parse_ride_lines, publish_rides, read_lines_stream, read_ride_files, split_ride_lines, stream_ride_files,
 )
 from ridemart.streaming.feeds import land_rides, start_feed
 
@@ -56,26 +56,31 @@ def arguments() -> argparse.ArgumentParser:
 
 
 def messages(spark: SparkSession, options: argparse.Namespace) -> DataFrame:
+    """The lines of a topic, not parsed."""
     kafka = {
         "kafka.bootstrap.servers": options.bootstrap_servers, "subscribe": options.topic,
         "startingOffsets": options.starting_offsets,
     }
     if options.max_offsets:
         kafka["maxOffsetsPerTrigger"] = options.max_offsets
-    return parse_ride_lines(read_lines_stream(spark, "kafka", **kafka))
+    return read_lines_stream(spark, "kafka", **kafka)
 
 
 def run_stage(spark: SparkSession, options: argparse.Namespace) -> None:
     if options.stage in ("lines", "files"):
         from_topic = options.stage == "lines"
-        rides = messages(spark, options) if from_topic else stream_ride_files(spark, options.input, options.max_files)
+        if from_topic:
+            rides = parse_ride_lines(messages(spark, options))
+        else:
+            rides = stream_ride_files(spark, options.input, options.max_files)
         feed = MartPaths(options.base).feed(
             options.source, stream=from_topic, audit=options.dedup == "stored", dedup=options.dedup,
         )
         trigger = {"availableNow": True} if options.once else {}
         start_feed(rides, feed, options.checkpoint, **trigger).awaitTermination()
     elif options.stage == "land":
-        land_rides(messages(spark, options), options.output, options.checkpoint, options.every).awaitTermination()
+        lines = split_ride_lines(messages(spark, options))
+        land_rides(lines, options.output, options.checkpoint, options.every).awaitTermination()
     elif options.stage == "publish":
         topic = {"kafka.bootstrap.servers": options.bootstrap_servers, "topic": options.topic}
         publish_rides(read_ride_files(spark, options.input), "kafka", **topic)

@@ -23,7 +23,10 @@ def duration_seconds(start: Column, end: Column) -> Column:
 
 
 def band_key(seconds: Column, bands: Sequence[tuple] = BANDS) -> Column:
-    """Band of a duration, NULL for NULL; derived from the band table, so both always agree."""
+    """Band of a duration, NULL for NULL; derived from the band table, and the same as ``in_band`` finds.
+
+    The first band has no lower end and the last no upper one: a negative duration is in the first.
+    """
     *closed, last = bands
     key = reduce(
         lambda case, band: case.when(seconds < band[3], F.lit(band[0])),
@@ -33,6 +36,13 @@ def band_key(seconds: Column, bands: Sequence[tuple] = BANDS) -> Column:
     return key.when(seconds.isNotNull(), F.lit(last[0]))
 
 
+def in_band(seconds: Column, first: Column, end: Column, bands: Sequence[tuple] = BANDS) -> Column:
+    """Whether a duration is in the band stored as ``first`` to ``end``; the outermost bands are open."""
+    above = (seconds >= first) | (first == bands[0][2])
+    below = (seconds < end) | (end == bands[-1][3])
+    return above & below & seconds.isNotNull()
+
+
 def date_key(ts: Column) -> Column:
     """yyyyMMdd as an integer."""
     day = ts.cast("date")

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from ridemart.schemas import STAR_TABLES, UNIFIED
-from ridemart.sources.tables import path_exists, read_table
+from ridemart.sources.tables import path_exists, qualified, read_table, set_down
 
 UNIFIED_NAME = "silver_unified_rides"
 SERVED = {UNIFIED_NAME: ("silver/unified_rides", UNIFIED)} | {
@@ -29,7 +29,8 @@ def register_mart(spark: SparkSession, base: str, database: str | None = None) -
     """Make the mart's tables known to SQL; returns their names.
 
     With a database they become external tables in the catalog, which outlive the session; without
-    one they are temporary views.
+    one they are temporary views. Registering again shows what has been written since, and another
+    ``base`` takes the place of the former one.
     """
     if database is not None:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
@@ -47,6 +48,18 @@ def register_mart(spark: SparkSession, base: str, database: str | None = None) -
     return names
 
 
+def refresh_served(spark: SparkSession, base: str) -> None:
+    """Show what has been written below ``base`` in this session's views and in catalog tables over it."""
+    for table in spark.catalog.listTables():
+        if table.isTemporary and table.name in SERVED:
+            spark.catalog.refreshTable(table.name)
+    for database in spark.catalog.listDatabases():
+        for name, (folder, _) in SERVED.items():
+            full = f"{database.name}.{name}"
+            if _stored_location(spark, full) == qualified(spark, f"{base}/{folder}"):
+                _show_new_files(spark, full, PARTITIONS.get(name, ()))
+
+
 def register_exports(spark: SparkSession, base: str, database: str) -> list[str]:
     """External tables over the exported CSV files, headers skipped."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
@@ -61,15 +74,33 @@ def _external_table(
     spark: SparkSession, name: str, location: str, schema: T.StructType, partitions: Sequence[str] = (),
     fmt: str = "parquet",
 ) -> str:
+    """An external table over a folder. One of that name over another folder is replaced; its files stay."""
+    if _stored_location(spark, name) not in (None, qualified(spark, location)):
+        if spark.catalog.getTable(name).tableType != "EXTERNAL":
+            raise ValueError(f"{name} exists and is not an external table")
+        spark.sql(f"DROP TABLE {name}")
     columns = ", ".join(f"{field.name} {field.dataType.simpleString()}" for field in schema)
     header = "OPTIONS (header 'true')" if fmt == "csv" else ""
     partitioned = f"PARTITIONED BY ({', '.join(partitions)})" if partitions else ""
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING {fmt} {header} {partitioned} LOCATION '{location}'"
     )
+    _show_new_files(spark, name, partitions)
+    return name
+
+
+def _stored_location(spark: SparkSession, name: str) -> str | None:
+    """The folder of a catalog table, None without such a table."""
+    if not spark.catalog.tableExists(name):
+        return None
+    row = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'").first()
+    return row and qualified(spark, row["data_type"])
+
+
+def _show_new_files(spark: SparkSession, name: str, partitions: Sequence[str]) -> None:
     if partitions:
         spark.catalog.recoverPartitions(name)
-    return name
+    spark.catalog.refreshTable(name)
 
 
 # A quoted text, a comment, or a statement's end, whichever comes first.
@@ -77,16 +108,41 @@ _TOKEN = re.compile(r"""'(?:\\.|[^'\\])*'|"(?:\\.|[^"\\])*"|`[^`]*`|--[^\n]*|/\*
 
 
 def split_statements(text: str) -> list[str]:
-    """The statements of a script; semicolons inside quotes and comments do not count."""
+    """The statements of a script; semicolons inside quotes and comments do not count.
+
+    A piece that holds nothing but comments is no statement.
+    """
     ends = [match.start() for match in _TOKEN.finditer(text) if match.group() == ";"]
     starts = [0] + [end + 1 for end in ends]
     pieces = [text[start:end].strip() for start, end in zip(starts, ends + [len(text)])]
-    return [piece for piece in pieces if piece]
+    return [piece for piece in pieces if _without_comments(piece)]
+
+
+def _without_comments(statement: str) -> str:
+    return _TOKEN.sub(lambda token: " " if token.group().startswith(("--", "/*")) else token.group(), statement).strip()
+
+
+# Statements that change nothing a pending result could read.
+_READING = re.compile(r"[(\s]*(SELECT|VALUES|TABLE|USE|SHOW|DESC|DESCRIBE|EXPLAIN)\b", re.IGNORECASE)
 
 
 def run_sql_script(spark: SparkSession, text: str) -> list[DataFrame]:
-    """One result per statement, in order. Results are lazy; commands run at once."""
-    return [spark.sql(statement) for statement in split_statements(text)]
+    """One result per statement, each as of its place in the script.
+
+    Results are lazy until a statement follows that may change something; then those before it are set down
+    below the shared folder. Commands run at once.
+    """
+    results, pending = [], []
+    for statement in split_statements(text):
+        if not _READING.match(_without_comments(statement)):
+            for k in pending:
+                results[k] = set_down(results[k])
+            pending = []
+        result = spark.sql(statement)
+        if result.columns:
+            pending.append(len(results))
+        results.append(result)
+    return results
 
 
 def export_csv(rows: DataFrame, path: str, single_file: bool = False) -> int:

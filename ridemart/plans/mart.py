@@ -4,7 +4,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
 
-from ridemart.operators.serve import export_mart
+from ridemart.operators.serve import export_mart, refresh_served
 from ridemart.plans.gold import CellDescription, build_gold, cell_attributes
 from ridemart.plans.silver import union_silver
 from ridemart.streaming.feeds import Feed
@@ -56,11 +56,15 @@ class MartPaths:
 def refresh_mart(
     spark: SparkSession, paths: MartPaths, describe_cells: CellDescription = cell_attributes,
 ) -> dict[str, int | None]:
-    """Union the feeds, then extend the star. An error in one step stops the chain."""
+    """Union the feeds, then extend the star. An error in one step stops the chain.
+
+    Views of this session and catalog tables over the mart show the new rows afterwards.
+    """
     feeds = [paths.batch_output, paths.stream_output]
     unified = union_silver(spark, feeds, paths.unified, paths.unified_progress)
     # The union has just made sure that ids are unique across all runs.
     loaded = build_gold(spark, paths.unified, paths.gold, unique=True, describe_cells=describe_cells)
+    refresh_served(spark, paths.base)
     return {"unified": unified, "fact": loaded}
 
 

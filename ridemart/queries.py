@@ -191,7 +191,7 @@ def band_range_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     rides = clean.clean_rides(fixtures.rides_orders(spark, sf_dir))
     seconds = F.col("trip_duration_sec")
     bands = F.broadcast(gold.dim_duration_bucket(spark))
-    inside = (seconds >= F.col("min_seconds")) & (seconds < F.col("max_seconds"))
+    inside = ride.in_band(seconds, F.col("min_seconds"), F.col("max_seconds"))
     joined = rides.select(seconds, ride.band_key(seconds).alias("case_key")).join(bands, inside, "left")
     return joined.groupBy("bucket_label", "duration_bucket_key", "case_key").agg(
         F.count(F.lit(1)).alias("rides"),

@@ -43,6 +43,19 @@ def parse_ride_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     )
 
 
+def split_ride_lines(lines: DataFrame, column: str = "value") -> DataFrame:
+    """The fields of CSV lines as they came: text by position, NULL where missing, the rest in ``extra``.
+
+    For landing: nothing is converted, so a field that would not parse is still there. Blank lines are
+    skipped.
+    """
+    text, fields = line_text(F.col(column)), F.split(F.col("_line"), ",")
+    size = len(RAW.names)
+    named = [F.get(fields, position).alias(name) for position, name in enumerate(RAW.names)]
+    rest = F.when(F.size(fields) > size, F.array_join(F.slice(fields, size + 1, F.greatest(F.size(fields) - size, F.lit(1))), ","))
+    return lines.select(text.alias("_line")).filter(F.trim("_line") != "").select(*named, rest.alias("extra"))
+
+
 def to_csv_lines(rides: DataFrame) -> DataFrame:
     """Rides as one ``value`` line each, ready for a message sink or a text file."""
     # concat_ws skips NULLs and would shift the fields, so NULL has to become an empty field first.

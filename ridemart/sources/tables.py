@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from ridemart.schemas import FEED_PROGRESS, ORIGIN, STAR_TABLES
-from ridemart.session import new_folder
+from ridemart.session import new_folder, shared_folder
 
 MAX_PLAN_ROWS = 100
 
@@ -27,6 +27,12 @@ def delete_path(spark: SparkSession, path: str) -> None:
     files.delete(hadoop_path, True)
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its file system, so that two spellings of one folder compare equal."""
+    files, hadoop_path = _hadoop_path(spark, path)
+    return files.makeQualified(hadoop_path).toString()
+
+
 class TableBusy(RuntimeError):
     """Another run is writing the table."""
 
@@ -133,6 +139,14 @@ def new_rows_only(rows: DataFrame, known: DataFrame, keys: Sequence[str]) -> Dat
     return rows.join(known.select(*keys), list(keys), "left_anti")
 
 
+def set_down(rows: DataFrame) -> DataFrame:
+    """The rows as they are now, kept below the shared folder without their lineage."""
+    context = rows.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(f"{shared_folder(rows.sparkSession)}/ridemart")
+    return rows.checkpoint()
+
+
 @contextmanager
 def staged(rows: DataFrame) -> Iterator[DataFrame]:
     """The rows as a table of their own under the shared folder, for as long as the block runs."""
@@ -170,5 +184,12 @@ def replace_partitions(rows: DataFrame, path: str, columns: Sequence[str]) -> in
 
 
 def replace_batch(rows: DataFrame, path: str, source: str, batch_id: int) -> int:
+    """Write the rows as the one partition of a feed's batch; returns the row count.
+
+    Without rows the partition is empty afterwards: what a former run of the batch left there goes.
+    """
     origin = {"source": F.lit(source), "batch_id": F.lit(batch_id).cast("bigint")}
-    return replace_partitions(rows.withColumns(origin), path, ORIGIN.names)
+    written = replace_partitions(rows.withColumns(origin), path, ORIGIN.names)
+    if written == 0:
+        delete_path(rows.sparkSession, f"{path}/source={source}/batch_id={batch_id}")
+    return written

@@ -31,8 +31,8 @@ class Feed:
 
     - "stored": each batch is checked against everything the feeds have written.
     - "state": the streaming query's own state; a batch then never looks at the history, and ids that
-      another feed has written are left to the union. State takes valid rides only, so rejects and
-      metrics need another choice.
+      another feed has written are left to the union. Of several rides with one id the state keeps the
+      one it sees first. State takes valid rides only, so rejects and metrics need another choice.
     - "union": nobody before the union; the feed is written without any shuffle. For bulk loads.
     """
 
@@ -93,7 +93,8 @@ def merge_new(rides: DataFrame, batch_id: int, feed: Feed, persist: bool = True)
         if feed.rejects and (size is None or size["rows_in"] > size["valid"]):
             _, rejects = split_valid_rejects(rides)
             replace_batch(rejects, feed.rejects, feed.source, batch_id)
-        clean = clean_rides if feed.dedup == "union" else clean_first_rides
+        # State has removed repeated ids already, and the union will.
+        clean = clean_first_rides if feed.dedup == "stored" else clean_rides
         written = write_new(
             clean(rides, feed.cell_fn), stored, "trip_id",
             lambda rows: replace_batch(rows, feed.target, feed.source, batch_id),
@@ -146,7 +147,11 @@ def start_feed(
 def land_rides(
     rides: DataFrame, path: str, checkpoint: str, every: str = "10 seconds", bounded: bool = False,
 ) -> StreamingQuery:
-    """Land a stream of raw rides as headed CSV files; the checkpoint makes a restart exact."""
+    """Land a stream of rides as headed CSV files; the checkpoint makes a restart exact.
+
+    The columns go out as they are: ``split_ride_lines`` keeps the text of messages, typed rides lose what
+    did not parse.
+    """
     writer = (
         rides.writeStream.format("csv").option("header", True).option("path", path)
         .option("checkpointLocation", checkpoint)

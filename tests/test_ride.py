@@ -78,3 +78,12 @@ def test_durations_ignore_the_session_zone(spark, zone):
     assert [row.d for row in got] == [case[2] for case in cases]
     assert [row.k for row in got] == [int(case[0][:10].replace("-", "")) for case in cases]
     assert [row.h for row in got] == [int(case[0][11:13]) for case in cases]
+
+
+def test_bands_by_case_and_by_range_agree_everywhere(spark):
+    rows = spark.createDataFrame([(s,) for s in (None, -5, 0, 299, 300, 3600, 999999998, 999999999, 10**12)], "s long")
+    seconds = F.col("s")
+    joined = rows.join(gold.dim_duration_bucket(spark), fn.in_band(seconds, F.col("min_seconds"), F.col("max_seconds")), "left")
+    found = joined.select("s", "duration_bucket_key", fn.band_key(seconds).alias("k")).collect()
+    assert len(found) == 9 and all(r.k == r.duration_bucket_key for r in found)
+    assert {r.s: r.k for r in found}[-5] == 1 and {r.s: r.k for r in found}[10**12] == 5
