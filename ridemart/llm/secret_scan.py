@@ -15,6 +15,8 @@ from pyspark.ml.classification import RandomForestClassificationModel, RandomFor
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ridemart.llm.common import checkpointed
+
 MIN_LENGTH = 12
 # Candidates longer than that keep their place and label; only their first characters are described.
 DESCRIBED = 512
@@ -137,7 +139,8 @@ def train(labelled: DataFrame, max_rows: int = TRAIN_ROWS) -> RandomForestClassi
     """
     rows = labelled.filter(F.col("features").isNotNull() & F.col("label").isNotNull()).distinct()
     order = (F.xxhash64("features"), F.col("features"))
-    parts = [rows.filter(F.col("label") == value).orderBy(*order).limit(max_rows // 2) for value in (0, 1)]
+    # Set down first: the driver then gets the sample alone, not the first rows of every task.
+    parts = [checkpointed(rows.filter(F.col("label") == value).orderBy(*order).limit(max_rows // 2)) for value in (0, 1)]
     sample = [row for part in parts for row in part.collect()]
     if len({row["label"] for row in sample}) < 2:
         return None
