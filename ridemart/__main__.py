@@ -13,6 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ridemart.operators.incremental import ROCKSDB, STATE_STORE
 from ridemart.operators.serve import export_mart, register_mart, run_sql_script
 from ridemart.plans.gold import build_gold
 from ridemart.plans.mart import MartPaths, run_mart
@@ -76,6 +77,8 @@ def run_stage(spark: SparkSession, options: argparse.Namespace) -> None:
         feed = MartPaths(options.base).feed(
             options.source, stream=from_topic, audit=options.dedup == "stored", dedup=options.dedup,
         )
+        if options.dedup == "state":
+            spark.conf.set(STATE_STORE, ROCKSDB)
         trigger = {"availableNow": True} if options.once else {}
         start_feed(rides, feed, options.checkpoint, **trigger).awaitTermination()
     elif options.stage == "land":

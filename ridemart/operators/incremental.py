@@ -15,6 +15,8 @@ _ROW_OVERHEAD_BYTES = 64
 BLOOM_FILTER_KEYS = 30_000_000
 _BITS_PER_KEY = 10
 _BLOOM = "spark.sql.optimizer.runtime.bloomFilter"
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 @dataclass(frozen=True)
@@ -112,7 +114,11 @@ def write_new(
 def dedup_stream(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     """De-duplicate inside one streaming query for as long as it lives, without any time bound.
 
-    The state holds every key the query has seen, spread over the executors; use the RocksDB state
-    store. A batch then costs lookups for its own keys only, however long the history is.
+    The state holds every key the query has seen, spread over the executors. It must be RocksDB's, on
+    their disks: the in-memory store, which is Spark's default, would grow with the history and is
+    refused. A batch then costs lookups for its own keys only, however long the history is.
     """
+    store = rows.sparkSession.conf.get(STATE_STORE)
+    if not store.endswith(ROCKSDB.rpartition(".")[2]):
+        raise ValueError(f"state without a time bound needs {STATE_STORE}={ROCKSDB}, not {store}")
     return rows.dropDuplicates(list(keys))

@@ -429,8 +429,13 @@ def stream_state_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids that a feed keeps by its own state. The lines arrive twice, with a restart in between."""
     folder = new_folder(spark, "state")
     feed = Feed("state-1", f"{folder}/stream_output", dedup="state")
-    for _ in range(2):
-        _run_line_feed(spark, fixtures.rides_events(spark, sf_dir), (), feed, folder)
+    before = spark.conf.get(incremental.STATE_STORE)
+    spark.conf.set(incremental.STATE_STORE, incremental.ROCKSDB)
+    try:
+        for _ in range(2):
+            _run_line_feed(spark, fixtures.rides_events(spark, sf_dir), (), feed, folder)
+    finally:
+        spark.conf.set(incremental.STATE_STORE, before)
     return read_table(spark, feed.target, FEED).select("trip_id")
 
 

@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ridemart.schemas import FILE_MANIFEST, RAW
-from ridemart.sources.tables import new_rows_only, read_ledger
+from ridemart.sources.tables import constant_rows, new_rows_only, read_ledger
 
 
 def read_lines_stream(spark: SparkSession, fmt: str = "kafka", **options: object) -> DataFrame:
@@ -72,12 +72,27 @@ def publish_rides(rides: DataFrame, fmt: str = "kafka", **options: object) -> No
 
 
 def read_ride_files(spark: SparkSession, *paths: str) -> DataFrame:
-    """Headed CSV files of raw rides."""
-    return spark.read.schema(RAW).option("header", True).csv(list(paths))
+    """Headed CSV files of raw rides, by the names in their headers.
+
+    Columns may stand in any order and others are ignored; a needed one that is missing is an error. Files
+    read together must have the same header: one that differs from the first fails when it is read. What
+    does not convert becomes NULL. Without paths there are no rides.
+    """
+    if not paths:
+        return constant_rows(spark, [], RAW)
+    rows = spark.read.option("header", True).option("enforceSchema", False).csv(list(paths))
+    present = {name.lower() for name in rows.columns}
+    missing = [name for name in RAW.names if name.lower() not in present]
+    if missing:
+        raise ValueError(f"no column {', '.join(missing)} in the header of {', '.join(paths[:3])}")
+    return rows.select(*[F.col(field.name).try_cast(field.dataType).alias(field.name) for field in RAW.fields])
 
 
 def stream_ride_files(spark: SparkSession, path: str, max_files: int | None = 5) -> DataFrame:
-    """A growing folder of headed CSV files; ``max_files`` limits one trigger, None takes all."""
+    """A growing folder of headed CSV files; ``max_files`` limits one trigger, None takes all.
+
+    A stream's files are read by position, in the order of ``RAW``; columns after its last are ignored.
+    """
     reader = spark.readStream.schema(RAW).option("header", True)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)

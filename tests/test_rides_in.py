@@ -95,6 +95,31 @@ def test_new_files(spark, rides, folder):
     assert read_ledger(spark, manifest, FILE_MANIFEST).count() == arrived
 
 
+def test_headed_files_are_read_by_name(spark, rides, folder):
+    row = ride("a", distance=None)
+    shuffled = rides(row).select(*reversed(RAW.names), F.lit("x").alias("extra"))
+    shuffled.write.option("header", True).csv(f"{folder}/other")
+    back = read_ride_files(spark, f"{folder}/other")
+    assert back.schema.names == RAW.names and back.collect() == rides(row).collect()
+
+
+def test_headed_files_without_a_needed_column(spark, rides, folder):
+    rides(ride("a")).drop("end_lat").write.option("header", True).csv(f"{folder}/short")
+    with pytest.raises(ValueError, match="end_lat"):
+        read_ride_files(spark, f"{folder}/short")
+
+
+def test_headed_files_that_differ_are_not_mixed(spark, rides, folder):
+    rides(ride("a")).coalesce(1).write.option("header", True).csv(f"{folder}/a")
+    rides(ride("b")).select(*reversed(RAW.names)).coalesce(1).write.option("header", True).csv(f"{folder}/b")
+    with pytest.raises(Exception, match="header"):
+        read_ride_files(spark, f"{folder}/a", f"{folder}/b").collect()
+
+
+def test_no_files_are_no_rides(spark):
+    assert read_ride_files(spark).schema.names == RAW.names and read_ride_files(spark).isEmpty()
+
+
 def test_absent_ledger_is_empty(spark, folder):
     ledger = read_ledger(spark, f"{folder}/none", FILE_MANIFEST)
     assert ledger.schema.names == ["path"] and ledger.isEmpty()

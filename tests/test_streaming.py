@@ -1,8 +1,10 @@
+import pytest
 from conftest import as_set, ride
 from pyspark.sql import functions as F
 
 from ridemart import fixtures
 from ridemart.operators.clean import clean_first_rides
+from ridemart.operators.incremental import ROCKSDB, STATE_STORE
 from ridemart.queries import _arrivals, _run_csv_feed, _write_ride_files, registered
 from ridemart.schemas import FEED, METRICS, RAW, SILVER
 from ridemart.sources.rides import parse_ride_lines, read_lines_stream, split_ride_lines, stream_ride_files, to_csv_lines
@@ -58,18 +60,23 @@ def test_a_lost_checkpoint_needs_a_new_source(spark, rides, folder):
 
 def test_state_survives_a_restart(spark, rides, folder):
     feed = Feed("s", f"{folder}/silver", dedup="state")
-    provider = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", provider)
+    spark.conf.set(STATE_STORE, ROCKSDB)
     try:
         for batch in ([ride("a"), ride("a"), ride("x", end_lat=None)], [ride("a"), ride("b")]):
             _write_ride_files(rides(*batch), f"{folder}/csv")
             run(stream_ride_files(spark, f"{folder}/csv"), feed, f"{folder}/checkpoint", persist=False)
     finally:
-        spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
+        spark.conf.unset(STATE_STORE)
     rows = read_table(spark, feed.target, FEED)
     assert as_set(rows, "trip_id") == {("a",), ("b",)} and rows.count() == 2
 
 
+def test_state_in_memory_is_refused(spark, folder):
+    feed = Feed("s", f"{folder}/silver", dedup="state")
+    with pytest.raises(ValueError, match="RocksDB"):
+        start_feed(stream_ride_files(spark, folder), feed, f"{folder}/checkpoint")
+
+
 def test_messages_land_as_headed_files(spark, rides, folder):
     for batch in ([ride("a"), ride("b", end_lat=None)], [ride("c")]):
         to_csv_lines(rides(*batch)).write.mode("append").text(f"{folder}/lines")
