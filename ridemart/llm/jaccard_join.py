@@ -11,6 +11,10 @@ compared with one leader, the node among those it meets whose rare tokens come f
 links becomes a component, and the join then looks at pairs from different components only, so a group of
 thousands of near copies costs as many comparisons, not its square. No pair that could still join two
 components is left out.
+
+``link_pairs`` and ``count_links`` give all links as well. A link never leaves its component, so the nodes of
+each component are dealt into blocks, and every block meets every other block of the component once, as one
+product of matrices. That is exact, and quadratic in the nodes of a component.
 """
 
 from collections.abc import Iterator
@@ -20,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ridemart.llm.common import binary_values, checkpointed, mix, seeded, stored, word_hashes, word_places
+from ridemart.llm.common import binary_values, checkpointed, few, mix, seeded, stored, word_hashes, word_places
 
 # The table of token counts: 2^SKETCH_BITS numbers, whatever the input. It orders tokens, nothing else.
 SKETCH_BITS, BLOCK_BITS = 20, 12
@@ -31,6 +35,8 @@ COMPARE = 32
 RARE = 0.5
 # Nodes that are sent to every task, at 16 bytes each; beyond that they are joined by a shuffle.
 BROADCAST_NODES = 500_000
+# Nodes and tokens of a block that is compared as a whole; tokens that are multiplied at a time.
+BLOCK_NODES, BLOCK_TOKENS, TOKENS_AT_ONCE = 128, 1 << 17, 4096
 
 _BYTES = np.arange(256, dtype=np.uint8)
 _INSIDE = ~((_BYTES == 32) | ((_BYTES >= 9) & (_BYTES <= 13)))
@@ -352,21 +358,14 @@ def _open_pairs(postings: DataFrame, labels: DataFrame, rule: Rule) -> DataFrame
     return pairs.filter(enough).select(na.alias("na"), F.col("sig_a").alias("sa"), nb.alias("nb"), F.col("sig_b").alias("sb"))
 
 
-def link_components(
-    docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id", text_col: str = "text",
-) -> DataFrame:
-    """One row per row of ``docs``: id, n_shingles, component_id.
-
-    ``component_id`` is the smallest id reachable by links. NULL and wordless texts have no tokens, link with
-    nothing and are their own component; a text of fewer words than a token has is one token. Repeated rows
-    and equal texts are linked as equal sets. A NULL id takes part in links; its component is NULL unless
-    another member has an id. Ids must be whole numbers. Other columns are ignored. An empty table gives an
-    empty result. Tokens are 64-bit hashes.
-    """
+def _linked(docs: DataFrame, rule: Rule, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The rows that were read, their sizes and signatures, and per node its rows, smallest id and component's root."""
     rows = _read(docs, id_col, text_col)
     measured = stored(_measure(rows, rule), "measured")
     counts = _sketch(measured)
-    nodes = measured.filter("n > 0 AND block IS NULL").groupBy(*NODE).agg(F.min("id").alias("smallest"))
+    nodes = measured.filter("n > 0 AND block IS NULL").groupBy(*NODE).agg(
+        F.min("id").alias("smallest"), F.count(F.lit(1)).alias("rows"),
+    )
     postings = _shared_postings(rows, counts, rule)
     links = stored(_verified(stored(_leaders(postings, rule), "leaders"), rows, rule), "leader-links")
     labels = components(links)
@@ -380,18 +379,142 @@ def link_components(
     joined = components(rest).select(F.col("node").alias("first"), F.col("root").alias("second"))
     # First components of nodes, then of those; a node that only the second round linked is its own first.
     first = labels.select("node", F.col("root").alias("first"))
-    final = nodes.select(_node("n", "sig").alias("node"), "smallest").join(first, "node", "left").withColumn(
+    final = nodes.select(_node("n", "sig").alias("node"), "smallest", "rows").join(first, "node", "left").withColumn(
         "first", F.coalesce("first", "node"),
     ).join(joined, "first", "left").withColumn("root", F.coalesce("second", "first"))
+    return rows, measured, final.select("node", "root", "smallest", "rows")
+
+
+def _with_component(final: DataFrame) -> DataFrame:
     least = final.groupBy("root").agg(F.min("smallest").alias("component_id"))
-    named = final.join(least, "root").select("node.n", "node.sig", "component_id")
+    return final.join(least, "root").select("node.n", "node.sig", "component_id", F.lit(0).cast("bigint").alias("n_links"))
+
+
+def _members(measured: DataFrame, named: DataFrame, id_col: str) -> DataFrame:
     members = measured.filter("block IS NULL").select("id", "n", "sig")
     return members.join(named, list(NODE), "left").select(
         F.col("id").alias(id_col), F.col("n").cast("bigint").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"),
+        "sig", F.coalesce("n_links", F.lit(0)).alias("n_links"),
     )
 
 
+def _blocks(rows: DataFrame, final: DataFrame, rule: Rule) -> DataFrame:
+    """Pairs of blocks of one component, each pair once: same, and the nodes of both as structs a, b."""
+    final = stored(final.select("node.n", "node.sig", "root", "smallest", "rows"), "linked-nodes")
+    parts = F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK_NODES, F.sum("n") / BLOCK_TOKENS)).cast("int")
+    sizes = stored(final.groupBy("root").agg(F.count(F.lit(1)).alias("nodes"), parts.alias("parts")).filter("nodes > 1"), "linked-sizes")
+    placed = stored(final.join(few(sizes, BROADCAST_NODES), "root").withColumn(
+        "part", F.pmod(F.xxhash64("n", "sig"), F.col("parts")).cast("int"),
+    ), "placed-nodes")
+    wanted = few(placed.select(*NODE), BROADCAST_NODES)
+    sets = _sets(rows, rule).join(wanted, list(NODE), "left_semi").dropDuplicates(list(NODE))
+    own = sets.join(few(placed, BROADCAST_NODES), list(NODE))
+    blocks = stored(own.groupBy("root", "part", "parts").agg(
+        F.collect_list(F.struct("n", "sig", "smallest", "rows", "tokens")).alias("a"),
+    ), "blocks")
+    left = blocks.withColumn("other", F.explode(F.sequence("part", F.col("parts") - 1)))
+    right = blocks.select("root", F.col("part").alias("other"), F.col("a").alias("b"))
+    return left.join(right, ["root", "other"]).select((F.col("part") == F.col("other")).alias("same"), "a", "b")
+
+
+def shared_tokens(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """How many tokens each of some sets shares with each of others: exact, from products of 0/1 matrices."""
+    both = np.intersect1d(np.concatenate(a), np.concatenate(b))
+    total = np.zeros((len(a), len(b)), np.int64)
+
+    def rows(sets: list[np.ndarray], piece: np.ndarray) -> np.ndarray:
+        out = np.zeros((len(sets), len(piece)), np.float32)
+        for k, tokens in enumerate(sets):
+            out[k] = np.isin(piece, tokens, assume_unique=True)
+        return out
+
+    for first in range(0, len(both), TOKENS_AT_ONCE):
+        piece = both[first:first + TOKENS_AT_ONCE]
+        total += (rows(a, piece) @ rows(b, piece).T).astype(np.int64)
+    return total
+
+
+def _compared(blocks: DataFrame, rule: Rule, counts: bool) -> DataFrame:
+    """The links between different sets of these blocks, or for each node the rows it links to."""
+    side = [("id", "bigint"), ("n", "int"), ("sig", "bigint"), ("rows", "bigint")]
+    pairs = ", ".join(f"{name}_{letter} {kind}" for letter in "ab" for name, kind in side) + ", shared bigint"
+    kinds = {"int": pa.int32(), "bigint": pa.int64()}
+
+    def columns_of(block: pa.Array) -> tuple[list[pa.Array], list[np.ndarray]]:
+        tokens = block.field("tokens")
+        sets = [tokens[k].values.to_numpy() for k in range(len(block))]
+        return [block.field(name) for name in ("smallest", "n", "sig", "rows")], sets
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                same = batch.column(0)[k].as_py()
+                (a, sets_a), (b, sets_b) = (columns_of(batch.column(c)[k].values) for c in (1, 2))
+                shared = shared_tokens(sets_a, sets_b)
+                na, nb = a[1].to_numpy().astype(np.int64)[:, None], b[1].to_numpy().astype(np.int64)[None]
+                linked = (rule.scale + rule.share) * shared >= rule.share * (na + nb)
+                if same:
+                    linked = np.triu(linked, 1)
+                if counts:
+                    for own, rows in ((a, linked @ b[3].to_numpy()), (b, a[3].to_numpy() @ linked)):
+                        yield pa.RecordBatch.from_arrays([own[1], own[2], pa.array(rows, pa.int64())], ["n", "sig", "met"])
+                    continue
+                at_a, at_b = np.nonzero(linked)
+                found = [x.take(pa.array(at)) for columns, at in ((a, at_a), (b, at_b)) for x in columns]
+                names = [x.split()[0] for x in pairs.split(", ")]
+                types = [kinds[x.split()[1]] for x in pairs.split(", ")]
+                found = [x.cast(kind) for x, kind in zip([*found, pa.array(shared[at_a, at_b])], types)]
+                yield pa.RecordBatch.from_arrays(found, names)
+
+    return blocks.mapInArrow(compare, "n int, sig bigint, met bigint" if counts else pairs)
+
+
+def link_components(
+    docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id", text_col: str = "text",
+) -> DataFrame:
+    """One row per row of ``docs``: id, n_shingles, component_id.
+
+    ``component_id`` is the smallest id reachable by links. NULL and wordless texts have no tokens, link with
+    nothing and are their own component; a text of fewer words than a token has is one token. Repeated rows
+    and equal texts are linked as equal sets. A NULL id takes part in links; its component is NULL unless
+    another member has an id. Ids must be whole numbers. Other columns are ignored. An empty table gives an
+    empty result. Tokens are 64-bit hashes.
+    """
+    _, measured, final = _linked(docs, rule, id_col, text_col)
+    return _members(measured, _with_component(final), id_col).drop("sig", "n_links")
+
+
+def link_pairs(
+    docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id", text_col: str = "text",
+) -> DataFrame:
+    """Every link between two different sets, once: id, n, sig and rows of both (``_a``, ``_b``), and shared.
+
+    A set stands for all documents that have it: ``id`` is the smallest of their ids (NULL when none has one),
+    ``rows`` their number, ``n`` and ``sig`` name the set as in ``count_links``. Documents of equal sets are
+    linked as well, without a row here. The order within a pair says nothing. NULL and wordless texts, repeated
+    rows and empty tables are as in ``link_components``.
+    """
+    rows, _, final = _linked(docs, rule, id_col, text_col)
+    return _compared(_blocks(rows, final, rule), rule, counts=False)
+
+
+def count_links(
+    docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id", text_col: str = "text",
+) -> DataFrame:
+    """What ``link_components`` gives, with the document's set as ``sig`` (next to n_shingles) and ``n_links``.
+
+    ``n_links`` is the number of other rows that the row links to, those of equal sets included.
+    """
+    rows, measured, final = _linked(docs, rule, id_col, text_col)
+    final = stored(final, "linked")
+    met = _compared(_blocks(rows, final, rule), rule, counts=True).groupBy(*NODE).agg(F.sum("met").alias("met"))
+    named = _with_component(final).drop("n_links").join(
+        final.select("node.n", "node.sig", "rows"), list(NODE),
+    ).join(met, list(NODE), "left").withColumn("n_links", F.col("rows") - 1 + F.coalesce("met", F.lit(0)))
+    return _members(measured, named.drop("rows", "met"), id_col)
+
+
 def keep_one(
     docs: DataFrame, rule: Rule = Rule(words=5, share=80), id_col: str = "doc_id", text_col: str = "text",
     broadcast_rows: int = 1_000_000,

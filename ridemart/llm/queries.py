@@ -22,6 +22,10 @@ def ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.link_components(_table(spark, sf_dir, "documents"))
 
 
+def ngram_jaccard_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.count_links(_table(spark, sf_dir, "documents")).drop("sig")
+
+
 def license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     words = license_scan.vocabulary(license_scan.PHRASES, license_scan.TEMPLATES)
@@ -124,6 +128,7 @@ def exact_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_ngram_jaccard_join": ngram_jaccard_join,
+    "op1_ngram_jaccard_links": ngram_jaccard_links,
     "op2_license_scans": license_scans,
     "op3_benchmark_decontamination": decontamination,
     "op4_byte_bpe": byte_bpe,
