@@ -1,13 +1,16 @@
 """Benchmark decontamination that also catches re-parameterised questions.
 
 Texts are canonicalised: words are runs of letters and digits, lower-cased (ASCII and Latin-1 capitals);
-numbers, units after numbers, and names inside a sentence become typed placeholders. Windows of canonical tokens are hash-joined with those of the benchmark. Windows of one
-document and item on one diagonal form a match, which counts when the slots are consistent (the same value
-of the item always stands for the same value of the document, and the other way round) and the matched
-windows cover enough of the item. Windows of plain lower-cased words are joined in the same way, so that
+numbers, units after numbers, and names inside a sentence become typed placeholders. Windows of canonical tokens are
+hash-joined with those of the benchmark. Windows of one document and item on one diagonal form a match, which
+counts when the slots are consistent (a name or long number of the item stands for one value of the document
+at most of its places) and the matched windows cover enough of the item. Short numbers and units may be equal
+by chance, so they say nothing, and different values of the item may become equal. Windows of plain lower-cased words are joined in the same way, so that
 copies in other capitals are found too.
 """
 
+import re
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -23,6 +26,8 @@ MIN_WORDS = 5
 # Words of a template window that must not be placeholders.
 MIN_LITERALS = 4
 COVERAGE = 0.5
+# Numbers with fewer digits are often equal by chance.
+CHANCE_DIGITS = 4
 # Benchmark windows that are sent to every task as a filter: 8 bytes each. Beyond, every window is joined.
 FILTER_WINDOWS = 4_000_000
 
@@ -131,11 +136,17 @@ def _enough_literals(view: View, size: int) -> np.ndarray:
     return literal[size:] - literal[:-size] >= min(MIN_LITERALS, size)
 
 
+_PARTS = re.compile(rb"[^0-9a-z\x80-\xff]+")
+
+
 def _slots(folded: np.ndarray, view: View, place: int, size: int) -> list[str]:
-    return [
-        f"{view.slot[k]}:{folded[view.first[k]:view.last[k]].tobytes().decode('utf-8', 'replace')}"
-        for k in range(place, place + size) if view.slot[k]
-    ]
+    """Offset, type and value of each slot of a window. What separates the parts of a value does not count."""
+    out = []
+    for k in range(place, place + size):
+        if kind := view.slot[k]:
+            value = _PARTS.sub(b"" if kind == 1 else b" ", folded[view.first[k]:view.last[k]].tobytes())
+            out.append(f"{k - place}:{kind}:{value.decode('utf-8', 'replace')}")
+    return out
 
 
 def text_windows(texts: list[bytes], units: np.ndarray, sizes: list[int], wanted: "Filter | None") -> list[tuple]:
@@ -274,29 +285,54 @@ def find_leaks(
     )
 
 
+def consistent(found: list[tuple]) -> bool:
+    """Whether these matched windows (place, item_place, slots, item_slots) may be one question with other values.
+
+    Names and long numbers that the item has several times must stand for one value at more than half of these
+    places. Each place of the item is read on the diagonal with the most windows.
+    """
+    weight = Counter(place - item_place for place, item_place, *_ in found)
+    values = {}
+    for place, item_place, slots, item_slots in sorted(found, key=lambda x: (weight[x[0] - x[1]], x[1] - x[0])):
+        for own, other in zip(item_slots, slots):
+            offset, kind, value = own.split(":", 2)
+            if kind == "3" or kind == "1" and len(value) >= CHANCE_DIGITS:
+                values[item_place + int(offset)] = (kind, value), other.split(":", 2)[2]
+    stands_for = defaultdict(Counter)
+    for own, other in values.values():
+        stands_for[own][other] += 1
+    repeated = [seen for seen in stands_for.values() if seen.total() > 1]
+    return not repeated or 2 * sum(max(seen.values()) for seen in repeated) > sum(seen.total() for seen in repeated)
+
+
+def best_match(found: list[tuple], size: int, coverage: float) -> tuple[float, int] | None:
+    """The share of an item of ``size`` tokens under its consistent windows, and the first of their places."""
+    width = min(size, WINDOW)
+    covered = {k for _, place, *_ in found for k in range(place, place + width)}
+    if len(covered) < coverage * size or not consistent(found):
+        return None
+    return len(covered) / size, min(place for place, *_ in found)
+
+
 def _matched(windows: DataFrame, items: DataFrame, coverage: float) -> DataFrame:
-    size = F.col("size")
-    both = windows.drop("width").distinct().join(items, ["key", "exact"]).withColumns({
-        "_diagonal": F.col("place") - F.col("_item_place"),
-        "_pairs": F.arrays_zip("_item_slots", "slots"),
-    }).filter(F.size("_item_slots") == F.size("slots"))
-    diagonals = both.groupBy("_id", "_item", "exact", "_diagonal", "size").agg(
-        F.array_sort(F.collect_set("_item_place")).alias("_places"), F.min("place").alias("first_token"),
-        F.array_distinct(F.flatten(F.collect_set("_pairs"))).alias("_pairs"),
-    )
-    consistent = (
-        (F.size(F.array_distinct(F.col("_pairs._item_slots"))) == F.size("_pairs"))
-        & (F.size(F.array_distinct(F.col("_pairs.slots"))) == F.size("_pairs"))
-    )
-    # Tokens under the windows: each adds its length, less what the one before it has covered.
-    length = F.least(size, F.lit(WINDOW))
-    covered = F.aggregate(
-        "_places", F.struct(F.lit(0).alias("n"), F.lit(0).alias("end")),
-        lambda done, at: F.struct(
-            (done["n"] + at + length - F.greatest(at, done["end"])).alias("n"), (at + length).alias("end"),
-        ), lambda done: done["n"],
-    )
-    best = diagonals.filter(consistent).withColumn("coverage", covered / size).filter(F.col("coverage") >= coverage)
+    both = windows.drop("width").distinct().join(items, ["key", "exact"]).filter(F.size("_item_slots") == F.size("slots"))
+    grouped = both.groupBy("_id", "_item", "exact", "size", F.col("place") - F.col("_item_place")).agg(
+        F.collect_list(F.struct("place", "_item_place", "slots", "_item_slots")).alias("_found"),
+    ).select("_id", "_item", "exact", "size", "_found")
+
+    def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for name, item, exact, size, found in zip(*(column for column in batch.columns)):
+                best = best_match([tuple(x.values()) for x in found.as_py()], size.as_py(), coverage)
+                if best:
+                    out.append((name.as_py(), item.as_py(), exact.as_py(), *best))
+            if out:
+                kinds = pa.int64(), pa.int64(), pa.bool_(), pa.float64(), pa.int32()
+                columns = [pa.array(values, kind) for values, kind in zip(zip(*out), kinds)]
+                yield pa.RecordBatch.from_arrays(columns, ["_id", "_item", "exact", "coverage", "first_token"])
+
+    best = grouped.mapInArrow(match, "_id bigint, _item bigint, exact boolean, coverage double, first_token int")
     order = F.struct("coverage", "exact", -F.col("first_token"))
     return best.groupBy("_id", "_item").agg(F.max(order).alias("_best")).select(
         "_id", "_item", "_best.coverage", "_best.exact", (-F.col("_best.col3")).alias("first_token"),
