@@ -2,9 +2,10 @@
 
 Texts are canonicalised: words are runs of letters and digits, lower-cased (ASCII and Latin-1 capitals);
 numbers, units after numbers, and names inside a sentence become typed placeholders. Windows of canonical tokens are
-hash-joined with those of the benchmark. Windows of one document and item on one diagonal form a match, which
+hash-joined with those of the benchmark. Windows of one document and item that lie in a stretch of the document
+little longer than the item form a match, whatever words were put in, left out or moved between them. It
 counts when the slots are consistent (a name or long number of the item stands for one value of the document
-at most of its places) and the matched windows cover enough of the item. Short numbers and units may be equal
+at most of its places) and the matched windows cover enough of the item, or a long enough run of it. Short numbers and units may be equal
 by chance, so they say nothing, and different values of the item may become equal. Windows of plain lower-cased words are joined in the same way, so that
 copies in other capitals are found too.
 """
@@ -26,6 +27,8 @@ MIN_WORDS = 5
 # Words of a template window that must not be placeholders.
 MIN_LITERALS = 4
 COVERAGE = 0.5
+# So many tokens of an item in one run are a leak, whatever their share.
+RUN = 20
 # Numbers with fewer digits are often equal by chance.
 CHANCE_DIGITS = 4
 # Benchmark windows that are sent to every task as a filter: 8 bytes each. Beyond, every window is joined.
@@ -260,8 +263,8 @@ def find_leaks(
 ) -> DataFrame:
     """One row per document and benchmark item that it holds: id, item_id, coverage, exact, first_token.
 
-    ``coverage`` is the share of the item's tokens under matched windows on the best diagonal, ``exact`` says
-    that it is a copy in plain words, ``first_token`` is where the match begins among the view's tokens.
+    ``coverage`` is the share of the item's tokens under matched windows of the best stretch of the document, and
+    below the limit where RUN tokens in a row match. ``exact`` says that it is a copy in plain words, ``first_token`` is where the match begins among the view's tokens.
     NULL texts and texts without words match nothing, as do items of fewer than MIN_WORDS words; rows without
     an id cannot be named and are left out. Repeated rows and items of equal text give one row per pair of
     ids. Other columns are ignored. An empty table on either side gives an empty result.
@@ -305,20 +308,45 @@ def consistent(found: list[tuple]) -> bool:
     return not repeated or 2 * sum(max(seen.values()) for seen in repeated) > sum(seen.total() for seen in repeated)
 
 
+def _longest_run(found: list[tuple], width: int) -> int:
+    """The most tokens in a row under windows of one diagonal."""
+    best, ends = 0, {}
+    for place, item_place, *_ in found:
+        first, last = ends.get(place - item_place, (place, place))
+        first = place if place > last else first
+        ends[place - item_place] = first, place + width
+        best = max(best, place + width - first)
+    return best
+
+
 def best_match(found: list[tuple], size: int, coverage: float) -> tuple[float, int] | None:
-    """The share of an item of ``size`` tokens under its consistent windows, and the first of their places."""
-    width = min(size, WINDOW)
-    covered = {k for _, place, *_ in found for k in range(place, place + width)}
-    if len(covered) < coverage * size or not consistent(found):
-        return None
-    return len(covered) / size, min(place for place, *_ in found)
+    """The largest share of an item of ``size`` tokens under consistent windows of one stretch, and its first place."""
+    width, reach = min(size, WINDOW), size + max(WINDOW, size // 2)
+    found = sorted(found, key=lambda x: x[:2])
+    times, covered, end, best = [0] * size, 0, 0, None
+    for begin, (first, item_place, *_) in enumerate(found):
+        grown = end
+        while end < len(found) and found[end][0] + width <= first + reach:
+            for k in range(found[end][1], found[end][1] + width):
+                covered += not times[k]
+                times[k] += 1
+            end += 1
+        if end > grown and (best is None or covered / size > best[0]):
+            part = found[begin:end]
+            enough = covered >= coverage * size or covered >= RUN and _longest_run(part, width) >= RUN
+            if enough and consistent(part):
+                best = covered / size, first
+        for k in range(item_place, item_place + width):
+            times[k] -= 1
+            covered -= not times[k]
+    return best
 
 
 def _matched(windows: DataFrame, items: DataFrame, coverage: float) -> DataFrame:
     both = windows.drop("width").distinct().join(items, ["key", "exact"]).filter(F.size("_item_slots") == F.size("slots"))
-    grouped = both.groupBy("_id", "_item", "exact", "size", F.col("place") - F.col("_item_place")).agg(
+    grouped = both.groupBy("_id", "_item", "exact", "size").agg(
         F.collect_list(F.struct("place", "_item_place", "slots", "_item_slots")).alias("_found"),
-    ).select("_id", "_item", "exact", "size", "_found")
+    )
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
