@@ -1,7 +1,7 @@
 """Secret scans: candidates by their shape, false positives removed by a random forest.
 
-A candidate is a run of at least MIN_LENGTH characters of tokens that holds a digit. The forest (Spark's own)
-sees its length, character transitions, dictionary coverage, the path of its document and the words around
+A candidate is a run of at least MIN_LENGTH characters of tokens that holds a digit, without the name it is
+assigned to, or any value that is assigned to a key word, whatever its length and characters. The forest (Spark's own) sees its length, character transitions, dictionary coverage, the path of its document and the words around
 it. It is trained from labelled findings, which may come from anywhere; ``assigned_findings`` derives some
 from the documents themselves.
 """
@@ -69,18 +69,75 @@ def describe(value: str, before: str, after: str, path: str, dictionary: frozens
     )]
 
 
-_ASSIGNED = re.compile(r"(?:%s)\w*\s*[=:]\s*[\"']$" % "|".join(KEY_WORDS), re.IGNORECASE)
+_KEYS = "|".join(KEY_WORDS)
+# What stands before a value: key =, "key":, ["key"] =, key: and the like, a bearer mark, or an option of the command line.
+ASSIGNS = re.compile(
+    r"(?:%s)(?:s|\d+|[_-]\w{0,40})?[\"'\])]{0,3}[ \t]{0,8}(?::=|=>|=|:)[ \t]{0,8}(?:bearer[ \t]+|basic[ \t]+)?"
+    r"|\bbearer[ \t]+|--[\w-]{0,40}?(?:%s)[\w-]{0,40}[ \t]+" % (_KEYS, _KEYS), re.IGNORECASE,
+)
+_QUOTED = re.compile(r"\"((?:[^\"\\\n]|\\.)+)\"|'((?:[^'\\\n]|\\.)+)'")
+_PLAIN = re.compile(r"[^\s\"',;()\[\]{}]+")
+_NAME = re.compile(r"[A-Za-z_][\w.\-]*=(?![=\s]|$)")
+
+
+def _assigned_spans(text: str) -> list[tuple[int, int, bool]]:
+    """Start, end and whether it looks like a value rather than a word of prose, of each value assigned to a key word."""
+    found, plain_end, last_plain = [], 0, False
+    for match in ASSIGNS.finditer(text):
+        # What was taken for a plain value is the name of this assignment.
+        if last_plain and match.start() < plain_end:
+            found.pop()
+        last_plain = False
+        start = match.end()
+        if quoted := _QUOTED.match(text, start):
+            found.append((*quoted.span(quoted.lastindex), True))
+            continue
+        if start >= plain_end:
+            plain = _PLAIN.match(text, start)
+            plain_end = plain.end() if plain else start
+        end = plain_end
+        while end > start and text[end - 1] in ".:,":
+            end -= 1
+        if end > start:
+            sure = end - start >= MIN_LENGTH or any(text[k].isdigit() for k in range(start, end))
+            found.append((start, end, sure))
+            last_plain = True
+    return found
+
+
+def _spans(text: str) -> list[tuple[int, int, bool]]:
+    """Start, end and whether it is a value of a key word, of each candidate in order of its start."""
+    values = _assigned_spans(text)
+    out = {(start, end): sure for start, end, sure in values}
+    # Runs inside a value of several words are candidates of their own.
+    whole = [(start, end) for start, end, _ in values if not re.search(r"\s", text[start:end])]
+    k = 0
+    for match in CANDIDATE.finditer(text):
+        begin, stop = match.span()
+        while k < len(whole) and whole[k][1] <= begin:
+            k += 1
+        own, j = [], k
+        while j < len(whole) and whole[j][0] < stop:
+            own.append((max(begin, whole[j][0]), min(stop, whole[j][1])))
+            j += 1
+        names = (begin + name.end() for name in _NAME.finditer(match.group()))
+        edges = sorted({begin, stop, *names, *(edge for span in own for edge in span)})
+        at = 0
+        for first, last in zip(edges, edges[1:]):
+            while at < len(own) and own[at][1] <= first:
+                at += 1
+            if at < len(own) and own[at][0] <= first:
+                continue
+            value = text[first:last].rstrip(".:,")
+            if len(value) >= MIN_LENGTH and any(c.isdigit() for c in value):
+                out.setdefault((first, first + len(value)), False)
+    return sorted((*span, sure) for span, sure in out.items())
 
 
 def candidates_of(text: str, path: str, dictionary: frozenset[str]) -> Iterator[tuple]:
     """(start, end, value, features, assigned) of each candidate; places count code points."""
-    for match in CANDIDATE.finditer(text):
-        value = match.group().rstrip(".:,")
-        if len(value) < MIN_LENGTH or not any(c.isdigit() for c in value):
-            continue
-        start, end = match.start(), match.start() + len(value)
-        before, after = text[max(0, start - NEAR):start], text[end:end + NEAR]
-        assigned = bool(_ASSIGNED.search(before)) and after[:1] == before[-1:]
+    for start, end, assigned in _spans(text):
+        value, before, after = text[start:end], text[max(0, start - NEAR):start], text[end:end + NEAR]
         yield start, end, value, describe(value, before, after, path, dictionary), assigned
 
 
@@ -126,9 +183,26 @@ def find_candidates(
     return rows.mapInArrow(find, FOUND).withColumnRenamed("_row", id_col)
 
 
+# Known harmless shapes: mail, numbers (addresses, dates, phones), web addresses without a sign-in, checksums that say so.
+HARMLESS_SHAPES = (
+    r"^[\w.+\-]+@[\w\-]+(\.[\w\-]+)+$", r"^[\d.:/T+\-]+Z?$", r"^https?://[^@=]+$",
+)
+CHECKSUM = r"^((md5|sha\d*)[:=\-])?([0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{64})$"
+
+
 def assigned_findings(candidates: DataFrame) -> DataFrame:
-    """Labelled findings by distant supervision: a quoted value assigned to a key word is a secret."""
-    return candidates.select("features", F.col("assigned").cast("int").alias("label"))
+    """Labelled findings by distant supervision: what is assigned to a key word is a secret, known shapes are not.
+
+    Findings of which neither or both is true have no label and serve no training. A checksum, or a finding in a test
+    path, is harmless only by the words around it or the path.
+    """
+    value, feature = F.col("value"), lambda name: F.col("features")[FEATURES.index(name)] > 0
+    shape = F.lit(False)
+    for pattern in HARMLESS_SHAPES:
+        shape = shape | value.rlike(pattern)
+    context = feature("test_path") | (F.lower(value).rlike(CHECKSUM) & feature("harmless_before"))
+    label = F.when(F.col("assigned") & ~shape, 1).when(~F.col("assigned") & (shape | context), 0)
+    return candidates.select("features", label.cast("int").alias("label"))
 
 
 def train(labelled: DataFrame, max_rows: int = TRAIN_ROWS) -> RandomForestClassificationModel | None:
