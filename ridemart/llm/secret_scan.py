@@ -18,8 +18,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ridemart.llm.common import checkpointed
 
 MIN_LENGTH = 12
-# Candidates longer than that keep their place and label; only their first characters are described.
-DESCRIBED = 512
+# Characters that are described at a time; the counts of all blocks are added up.
+DESCRIBED = 1 << 20
 CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/=_\-.@:])[A-Za-z0-9+/=_\-.@:]{%d,}" % MIN_LENGTH)
 NEAR = 48
 WORD = re.compile(r"[^\W\d_]+")
@@ -40,29 +40,48 @@ FEATURES = (
 FOUND = "_row bigint, start int, end int, value string, features array<double>, assigned boolean"
 
 
-def _classes(text: str) -> np.ndarray:
-    data = np.frombuffer(text.encode("ascii", "replace"), np.uint8)
-    kind = np.full(len(data), 3, np.int8)
-    kind[(data >= 48) & (data <= 57)] = 0
-    kind[(data >= 65) & (data <= 90)] = 1
-    kind[(data >= 97) & (data <= 122)] = 2
-    return kind
+_CODES = np.arange(128)
+_KIND = np.select([(_CODES >= 48) & (_CODES <= 57), (_CODES >= 65) & (_CODES <= 90), (_CODES >= 97) & (_CODES <= 122)], [0, 1, 2], 3)
+_FOLD = np.where(_KIND == 1, _CODES + 32, _CODES)
+_HEX, _VOWEL = np.isin(_CODES, [*b"0123456789abcdef"]), np.isin(_CODES, [*b"aeiou"])
+
+
+def shape(value: str) -> list[float]:
+    """Shares of digits, capitals, hex digits, marks, distinct characters, class changes, repeated pairs and vowel pairs.
+
+    The whole value counts, block by block; each block but the first begins with the last character of the one before.
+    """
+    n, kinds = len(value), np.zeros(4, np.int64)
+    hexes = changes = vowels = 0
+    seen, pairs = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    for first in range(0, n, DESCRIBED):
+        before = int(first > 0)
+        codes = np.frombuffer(value[first - before:first + DESCRIBED].encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
+        plain = np.where(codes < 128, codes, 127)
+        kind, folded = _KIND[plain], np.where(codes < 128, _FOLD[plain], codes)
+        kinds += np.bincount(kind[before:], minlength=4)
+        hexes += int(_HEX[_FOLD[plain[before:]]].sum())
+        changes += int((kind[1:] != kind[:-1]).sum())
+        vowel = _VOWEL[_FOLD[plain]]
+        vowels += int((vowel[1:] != vowel[:-1]).sum())
+        seen = np.union1d(seen, codes)
+        pairs = np.union1d(pairs, (folded[:-1] << 21) | folded[1:])
+    return [
+        kinds[0] / n, kinds[1] / n, hexes / n, kinds[3] / n, len(seen) / n, changes / (n - 1) if n > 1 else 0,
+        1 - len(pairs) / max(1, n - 1), vowels / n,
+    ]
 
 
 def describe(value: str, before: str, after: str, path: str, dictionary: frozenset[str]) -> list[float]:
-    """The features of one candidate, in the order of FEATURES."""
-    value = value[:DESCRIBED]
-    kind, n, lower = _classes(value), len(value), value.lower()
-    letters = [word.lower() for word in WORD.findall(value)]
-    known = sum(len(word) for word in letters if word in dictionary)
-    pairs = [lower[k:k + 2] for k in range(n - 1)]
-    vowels = [c in "aeiou" for c in lower]
+    """The features of one whole candidate, in the order of FEATURES."""
+    n, known, longest = len(value), 0, 0
+    for word in WORD.finditer(value):
+        size = word.end() - word.start()
+        longest = max(longest, size)
+        known += size if word.group().lower() in dictionary else 0
     near, far = before.lower(), after.lower()
     return [float(x) for x in (
-        n, (kind == 0).mean(), (kind == 1).mean(), sum(c in "0123456789abcdef" for c in lower) / n,
-        (kind == 3).mean(), len(set(value)) / n, (kind[1:] != kind[:-1]).mean() if n > 1 else 0,
-        1 - len(set(pairs)) / max(1, len(pairs)), sum(a != b for a, b in zip(vowels, vowels[1:])) / n,
-        max(map(len, letters), default=0), known / n, any(part in path.lower() for part in TEST_PATHS),
+        n, *shape(value), longest, known / n, any(part in path.lower() for part in TEST_PATHS),
         any(word in near for word in KEY_WORDS), any(word in near for word in HARMLESS_WORDS),
         any(word in far for word in KEY_WORDS), any(word in far for word in HARMLESS_WORDS),
         bool(re.search(r"[=:]\s*[\"']?$", before)), before[-1:] in "\"'" and bool(before), "@" in value, value.count("."),

@@ -42,3 +42,21 @@ def test_nested_and_partial_values():
     assert found("key: password=abc123!def456ghi789") == [("abc123!def456ghi789", True)]
     assert found('secret = "see 4785380592391139x or not"') == [("see 4785380592391139x or not", True), ("4785380592391139x", False)]
     assert len(found("key:" * 50_000 + "x1")) == 1
+
+
+def test_features_are_those_of_the_whole_value(monkeypatch):
+    def features(value):
+        return dict(zip(secret_scan.FEATURES, secret_scan.describe(value, "", "", "", frozenset(["word"]))))
+
+    value = "a1" * 600 + "/word" * 80 + "/K9zQ@x.y."
+    want, lower = features(value), value.lower()
+    kinds = ["d" if c.isdigit() else "u" if c.isupper() else "l" if c.islower() else "m" for c in value]
+    assert want["length"] == len(value) == 1610 and want["at_sign"] == 1 and want["dots"] == 2 and want["longest_letters"] == 4
+    assert want["dictionary"] == 80 * 4 / 1610 and want["capitals"] == 2 / 1610 and want["distinct"] == len(set(value)) / 1610
+    assert want["class_changes"] == sum(a != b for a, b in zip(kinds, kinds[1:])) / 1609
+    assert want["pair_repeats"] == 1 - len(set(zip(lower, lower[1:]))) / 1609
+    vowels = [c in "aeiou" for c in lower]
+    assert want["vowel_pairs"] == sum(a != b for a, b in zip(vowels, vowels[1:])) / 1610
+    assert want["hex_digits"] == sum(c in "0123456789abcdef" for c in lower) / 1610
+    monkeypatch.setattr(secret_scan, "DESCRIBED", 7)
+    assert features(value) == want
