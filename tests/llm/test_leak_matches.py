@@ -2,7 +2,7 @@
 
 from ridemart.llm import decontaminate
 
-SLOTS = "Every year Maria Lopez took 35 apples to the market and there she sold 12 kg of them to Maria Lopez and 3 friends for 3 dollars."
+SLOTS = "Then {} took {} apples to town and there sold {} kg of them to {} and {} friends for {} dollars."
 
 
 def leaks_of(spark, item, texts):
@@ -12,12 +12,12 @@ def leaks_of(spark, item, texts):
 
 
 def test_values_may_collide(spark):
-    changed = SLOTS.replace("35", "7").replace("12", "7")
+    item = SLOTS.format("Maria Lopez", 35, 12, "Maria Lopez", 3, 3)
     texts = [
-        changed, SLOTS.replace("3 friends", "5 friends").replace("for 3", "for 4").replace("35", "36"),
-        changed.replace("Maria Lopez", "Maria\nLopez", 1), changed.replace("Maria Lopez", "Tom", 1).replace("Maria Lopez", "Jerry"),
+        SLOTS.format("Tom", 7, 7, "Tom", 5, 5), SLOTS.format("Tom", 36, 11, "Tom", 5, 4),
+        SLOTS.format("Ann\nLee", 36, 11, "Ann Lee", 5, 5), SLOTS.format("Tom", 36, 11, "Jerry", 5, 5),
     ]
-    assert set(leaks_of(spark, SLOTS, texts)) == {0, 1, 2}
+    assert set(leaks_of(spark, item, texts)) == {0, 1, 2}
 
 
 def test_edits_do_not_hide_a_copy(spark):
