@@ -93,10 +93,89 @@ WITH d AS (SELECT doc_id, {_LOWER.format("text")} AS t FROM documents
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(d.t) AS text_sha256 FROM d JOIN g ON d.t = g.t
 """
 
+_SPACE = "[ \\t\\n\\x0B\\f\\r]+"
+
+LINES = f"""
+WITH cut AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS whole FROM documents
+), keyed AS (
+  SELECT doc_id, whole, list_transform(whole, lambda x: translate(
+    regexp_replace(regexp_replace(x, '^{_SPACE}', ''), '{_SPACE}$', ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'
+  )) AS keys FROM cut
+), repeated AS (
+  SELECT key FROM (SELECT unnest(list_distinct(keys)) AS key FROM keyed) WHERE key <> '' GROUP BY key HAVING count(*) >= 10
+), places AS (
+  SELECT doc_id, unnest(whole) AS line, unnest(keys) AS key, unnest(range(len(whole))) AS i FROM keyed
+), left_over AS (
+  SELECT doc_id, string_agg(line, chr(10) ORDER BY i) AS kept, count(*) AS n
+  FROM places WHERE key NOT IN (SELECT key FROM repeated) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(whole) AS BIGINT) AS n_lines, CAST(len(whole) - coalesce(n, 0) AS BIGINT) AS n_dropped,
+  sha256(coalesce(kept, '')) AS kept_sha256
+FROM keyed LEFT JOIN left_over USING (doc_id)
+"""
+
+
+def _assigned(name: str, centroids: str) -> str:
+    return f"""{name} AS MATERIALIZED (
+  SELECT vec_id, v, d AS distance, cluster FROM (
+    SELECT vec_id, v, k AS cluster, list_sum([(v[i] - c[i]) * (v[i] - c[i]) for i in range(1, 65)])::BIGINT AS d
+    FROM kept, {centroids}) QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY d, cluster) = 1
+)"""
+
+
+def _moved(name: str, assigned: str, before: str) -> str:
+    return f"""{name} AS MATERIALIZED (
+  SELECT k, coalesce(m, c) AS c FROM {before} LEFT JOIN (
+    SELECT cluster, list(m ORDER BY i) AS m FROM (
+      SELECT cluster, i, ((sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*))::BIGINT AS m
+      FROM (SELECT cluster, unnest(v) AS x, unnest(range(64)) AS i FROM {assigned}) GROUP BY cluster, i)
+    GROUP BY cluster) ON k = cluster
+)"""
+
+
+_rounds = ", ".join(f"{_assigned(f'a{r}', f'c{r}')}, {_moved(f'c{r + 1}', f'a{r}', f'c{r}')}" for r in range(5))
+
+CENTROIDS = f"""
+WITH kept AS MATERIALIZED (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64
+), c0 AS MATERIALIZED (
+  SELECT (row_number() OVER (ORDER BY h, v) - 1)::INT AS k, v AS c
+  FROM (SELECT sha256('2:' || vec_id) AS h, v FROM kept ORDER BY h, v LIMIT 40)
+), {_rounds}, {_assigned('last', 'c5')}
+SELECT vec_id, cluster, distance, (sum(distance) OVER (PARTITION BY cluster))::BIGINT AS cluster_inertia,
+  (sum(distance) OVER ())::BIGINT AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM last JOIN c5 ON k = cluster
+"""
+
+MIDDLES = """
+WITH drawn AS (
+  SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n, sha256('1:' || doc_id) AS h FROM documents
+), numbers AS (
+  SELECT doc_id, t, n, ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2,
+    ('0x' || h[17:24])::BIGINT AS h3, ('0x' || h[25:32])::BIGINT AS h4 FROM drawn
+), cuts AS (
+  SELECT doc_id, t, n, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+    CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+      WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM numbers
+), parts AS (
+  SELECT *, substring(t, 1, a) AS p, substring(t, a + 1, b - a) AS m, substring(t, b + 1, n - b) AS s FROM cuts
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+    ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM parts
+"""
+
 ORACLE = {
     "op1_ngram_jaccard_join": JACCARD,
     "op2_license_scans": LICENSES,
     "op6_warc": WARC,
     "op8_chat_formatting": CHAT,
     "op10_exact_dedup": COPIES,
+    "op11_line_dedup": LINES,
+    "op12_centroid_clustering": CENTROIDS,
+    "op13_fill_in_middle": MIDDLES,
 }

@@ -3,7 +3,8 @@
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ridemart.llm import (
-    bpe, chat, decontaminate as leaks, exact_dedup, jaccard_join, license_scan, quality, secret_scan, toxicity, warc,
+    bpe, centroids, chat, decontaminate as leaks, exact_dedup, fill_middle, jaccard_join, license_scan, line_dedup, quality,
+    secret_scan, toxicity, warc,
 )
 from ridemart.llm.common import checkpointed, fold, stored
 from ridemart.session import new_folder
@@ -126,6 +127,24 @@ def exact_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark_copies(_table(spark, sf_dir, "documents"), keep="largest")
 
 
+def repeated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.mark_lines(_table(spark, sf_dir, "documents"), min_docs=10, min_chars=1)
+    return kept.select("doc_id", "n_lines", "n_dropped", _sha256(F.col("text")).alias("kept_sha256"))
+
+
+def centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster_vectors(_table(spark, sf_dir, "embeddings"), dims=64, k=40, rounds=5, seed=2)
+
+
+def fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_middle.fill_in_middle(F.col("text"), fill_middle.draws(F.col("doc_id"), seed=1))
+    rows = _table(spark, sf_dir, "documents").select("doc_id", made.alias("made")).select("doc_id", "made.*")
+    return rows.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", _sha256(F.col("output")).alias("output_sha256"),
+        _sha256(fill_middle.restore(F.col("output"), F.col("form"))).alias("restored_sha256"),
+    )
+
+
 QUERIES = {
     "op1_ngram_jaccard_join": ngram_jaccard_join,
     "op1_ngram_jaccard_links": ngram_jaccard_links,
@@ -138,4 +157,7 @@ QUERIES = {
     "op8_chat_formatting": chat_formatting,
     "op9_toxicity": toxicity_scores,
     "op10_exact_dedup": exact_copies,
+    "op11_line_dedup": repeated_lines,
+    "op12_centroid_clustering": centroid_clusters,
+    "op13_fill_in_middle": fill_in_middle,
 }
