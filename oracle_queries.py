@@ -316,6 +316,11 @@ ORACLE: dict[str, str] = {
     "dim_geography_two_runs": f"""{EVENTS_KEPT}
         SELECT {CELL_ATTRIBUTES}
         FROM (SELECT start_geo_hash AS geo_hash FROM kept UNION SELECT end_geo_hash FROM kept)""",
+    "star_overlapping_loads": f"""{EVENTS_KEPT}
+        SELECT 'fact_trip' AS table_name, trip_id AS key, 1::bigint AS row_count FROM kept
+        UNION ALL SELECT DISTINCT 'dim_date', strftime(start_time, '%Y%m%d'), 1::bigint FROM kept
+        UNION ALL SELECT 'dim_geography', geo_hash, 1::bigint
+        FROM (SELECT start_geo_hash AS geo_hash FROM kept UNION SELECT end_geo_hash FROM kept)""",
     "stream_metrics": f"""{EVENTS_KEPT},
     feeds AS (
       SELECT *, 'batch-1' AS source, {_batch_number(BATCH_ARRIVALS)} AS batch_id FROM rides_events WHERE {_before}

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from ridemart.schemas import STAR_TABLES, UNIFIED
+from ridemart.sources.commits import create_once, file_names
 from ridemart.sources.tables import path_exists, qualified, read_table, set_down
 
 UNIFIED_NAME = "silver_unified_rides"
@@ -17,6 +18,8 @@ SERVED = {UNIFIED_NAME: ("silver/unified_rides", UNIFIED)} | {
 
 PARTITIONS = {UNIFIED_NAME: ("run_id",), "gold_fact_trip": ("run_id", "month_key")}
 SINGLE_FILES = ("gold_dim_date", "gold_dim_time", "gold_dim_duration_bucket")
+# A folder of the mart with one file per database that has tables over it.
+REGISTERED = "_registered"
 # Columns that serve the loading of the mart and stay out of its exports.
 INTERNAL_COLUMNS = ("run_id", "month_key", "source", "batch_id")
 
@@ -34,6 +37,7 @@ def register_mart(spark: SparkSession, base: str, database: str | None = None) -
     """
     if database is not None:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+        create_once(spark, f"{base}/{REGISTERED}/{database}", database)
     names = []
     for name, (folder, schema) in SERVED.items():
         location = f"{base}/{folder}"
@@ -49,13 +53,16 @@ def register_mart(spark: SparkSession, base: str, database: str | None = None) -
 
 
 def refresh_served(spark: SparkSession, base: str) -> None:
-    """Show what has been written below ``base`` in this session's views and in catalog tables over it."""
+    """Show what has been written below ``base`` in this session's views and in catalog tables over it.
+
+    Only the databases in which ``register_mart`` has put this mart are asked.
+    """
     for table in spark.catalog.listTables():
         if table.isTemporary and table.name in SERVED:
             spark.catalog.refreshTable(table.name)
-    for database in spark.catalog.listDatabases():
+    for database in file_names(spark, f"{base}/{REGISTERED}"):
         for name, (folder, _) in SERVED.items():
-            full = f"{database.name}.{name}"
+            full = f"{database}.{name}"
             if _stored_location(spark, full) == qualified(spark, f"{base}/{folder}"):
                 _show_new_files(spark, full, PARTITIONS.get(name, ()))
 

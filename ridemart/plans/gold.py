@@ -3,7 +3,7 @@
 from collections.abc import Callable
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ridemart.functions import ride
 from ridemart.functions.geo import DISTRICT_LEVEL, REGION_LEVEL, cell_lat, cell_lon, cell_parent
@@ -12,9 +12,9 @@ from ridemart.schemas import (
     BANDS, BUCKET_TABLE, DATE_TABLE, DIM_DURATION_BUCKET, FACT_STORED, FACT_TABLE, GEOGRAPHY_TABLE,
     RUN_PROGRESS, STAR_TABLES, TIME_TABLE, UNIFIED,
 )
+from ridemart.sources.commits import Lease, TableBusy, grow_table, leased
 from ridemart.sources.tables import (
-    append_ledger, constant_rows, new_rows_only, partition_folders, read_ledger, read_partitions, read_table,
-    replace_partitions, seed_table,
+    constant_rows, new_rows_only, partition_folders, read_ledger, read_partitions, replace_partitions, seed_table,
 )
 
 PROGRESS_TABLE = "loaded_runs"
@@ -114,14 +114,28 @@ def build_gold(
     row per trip id across all its runs, as ``union_silver`` makes sure; the load is then a single
     pass without a join against the fact's history. A grid plugged in by ``cell_fn`` brings its own
     ``describe_cells``, from ``geo_hash`` values to dim_geography rows.
+
+    Loads may overlap. Each takes the runs that no other one has claimed, by a lease that ends with its
+    heartbeat, and the dimensions grow by published versions, so every key is there once. Loads that are not
+    ``unique`` look at each other's ids, so the second of two raises TableBusy.
     """
-    seed_table(dim_time(spark), f"{gold}/{TIME_TABLE}")
-    seed_table(dim_duration_bucket(spark), f"{gold}/{BUCKET_TABLE}")
+    with leased(spark, f"{gold}/_claims") as lease:
+        return _build_gold(spark, unified, gold, unique, describe_cells, lease)
+
 
-    progress = f"{gold}/{PROGRESS_TABLE}"
-    loaded = {row["run_id"] for row in read_ledger(spark, progress, RUN_PROGRESS).collect()}
-    folders = partition_folders(spark, unified, ["run_id"])
-    runs = {int(run): folder for (run,), folder in folders.items() if int(run) not in loaded}
+def _build_gold(
+    spark: SparkSession, unified: str, gold: str, unique: bool, describe_cells: CellDescription, lease: Lease,
+) -> int:
+    if lease.claim("seeds"):
+        seed_table(dim_time(spark), f"{gold}/{TIME_TABLE}")
+        seed_table(dim_duration_bucket(spark), f"{gold}/{BUCKET_TABLE}")
+    if not unique and not lease.claim("ids"):
+        raise TableBusy(f"another load is looking for known ids in {gold}")
+
+    folders = {int(run): folder for (run,), folder in partition_folders(spark, unified, ["run_id"]).items()}
+    # The ledger is read after the claims: what another load has let go of is in it by then.
+    claimed = {run for run in folders if run not in loaded_runs(spark, gold) and lease.claim(f"run-{run}")}
+    runs = {run: folders[run] for run in claimed - loaded_runs(spark, gold)} if claimed else {}
     if not runs:
         return 0
     pending = read_partitions(spark, unified, UNIFIED, runs.values()).filter(F.col("trip_id").isNotNull())
@@ -131,6 +145,7 @@ def build_gold(
     if not unique:
         fresh = dedup_first(pending, ["trip_id"], ["run_id", "start_time", "trip_duration_sec"])
         stored = read_fact_runs(spark, fact_path, lambda run: run not in runs)
+    lease.check()
     added = write_new(
         fresh, stored, "trip_id", lambda rows: write_fact(fact_columns(rows), fact_path), raw=pending,
     )
@@ -141,10 +156,22 @@ def build_gold(
         extend_dimension(
             spark, gold, GEOGRAPHY_TABLE, written, partial(new_cells, describe_cells=describe_cells),
         )
-    append_ledger(constant_rows(spark, [(run,) for run in sorted(runs)], RUN_PROGRESS), progress)
+    lease.check()
+    done = constant_rows(spark, [(run,) for run in sorted(runs)], RUN_PROGRESS)
+    _grow(spark, gold, PROGRESS_TABLE, RUN_PROGRESS, lambda known: done)
     return added
 
 
+def loaded_runs(spark: SparkSession, gold: str) -> set[int]:
+    return {row["run_id"] for row in read_ledger(spark, f"{gold}/{PROGRESS_TABLE}", RUN_PROGRESS).collect()}
+
+
+def _grow(
+    spark: SparkSession, gold: str, name: str, schema: T.StructType, new_rows: Callable[[DataFrame | None], DataFrame],
+) -> int:
+    return grow_table(spark, f"{gold}/{name}", f"{gold}/_commits/{name}", schema, new_rows)
+
+
 def read_fact_runs(spark: SparkSession, path: str, wanted: Callable[[int], bool]) -> DataFrame | None:
     """The stored fact rows of some runs, None when there are none. Other runs' files are not listed."""
     runs = partition_folders(spark, path, ["run_id"])
@@ -167,10 +194,6 @@ def write_fact(fact: DataFrame, path: str) -> int:
 def extend_dimension(
     spark: SparkSession, gold: str, name: str, fact: DataFrame,
     new_rows: Callable[[DataFrame, DataFrame | None], DataFrame],
-) -> None:
-    path = f"{gold}/{name}"
-    rows = new_rows(fact, read_table(spark, path, STAR_TABLES[name])).persist()
-    try:
-        append_ledger(rows, path)
-    finally:
-        rows.unpersist()
+) -> int:
+    """Add the rows that a dimension lacks for these facts; what an overlapping load adds meanwhile counts as there."""
+    return _grow(spark, gold, name, STAR_TABLES[name], lambda stored: new_rows(fact, stored))

@@ -1,5 +1,6 @@
 """The whole chain over one base folder: feeds, unified Silver, star, export."""
 
+import logging
 from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
@@ -7,8 +8,11 @@ from pyspark.sql import SparkSession
 from ridemart.operators.serve import export_mart, refresh_served
 from ridemart.plans.gold import CellDescription, build_gold, cell_attributes
 from ridemart.plans.silver import union_silver
+from ridemart.sources.commits import TableBusy
 from ridemart.streaming.feeds import Feed
 
+log = logging.getLogger(__name__)
+
 
 @dataclass(frozen=True)
 class MartPaths:
@@ -58,10 +62,15 @@ def refresh_mart(
 ) -> dict[str, int | None]:
     """Union the feeds, then extend the star. An error in one step stops the chain.
 
+    A union that another run is at work on is none: this run goes on with the star, and "unified" is None.
     Views of this session and catalog tables over the mart show the new rows afterwards.
     """
     feeds = [paths.batch_output, paths.stream_output]
-    unified = union_silver(spark, feeds, paths.unified, paths.unified_progress)
+    try:
+        unified = union_silver(spark, feeds, paths.unified, paths.unified_progress)
+    except TableBusy as busy:
+        log.warning("%s; the star takes the runs that are there", busy)
+        unified = None
     # The union has just made sure that ids are unique across all runs.
     loaded = build_gold(spark, paths.unified, paths.gold, unique=True, describe_cells=describe_cells)
     refresh_served(spark, paths.base)

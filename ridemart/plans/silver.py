@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ridemart.operators.incremental import dedup_first, write_new
 from ridemart.schemas import FEED, FEED_PROGRESS, UNIFIED
+from ridemart.sources.commits import Lease, exclusive
 from ridemart.sources.tables import (
-    append_ledger, batch_folders, constant_rows, exclusive, merged_batches, partition_folders, path_exists,
+    append_ledger, batch_folders, constant_rows, merged_batches, partition_folders, path_exists,
     read_partitions, read_table, replace_partitions,
 )
 
@@ -35,12 +36,13 @@ def union_silver(spark: SparkSession, feeds: Sequence[str], unified: str, progre
 
     One union runs at a time: a run that starts before another has ended raises TableBusy and writes
     nothing, so that no two runs take one number or accept one id twice. Its batches wait for the next run.
+    A run that died is noticed by its missing heartbeat and does not keep the next one from working.
     """
-    with exclusive(spark, unified):
-        return _union_silver(spark, feeds, unified, progress)
+    with exclusive(spark, unified) as lease:
+        return _union_silver(spark, feeds, unified, progress, lease)
 
 
-def _union_silver(spark: SparkSession, feeds: Sequence[str], unified: str, progress: str) -> int | None:
+def _union_silver(spark: SparkSession, feeds: Sequence[str], unified: str, progress: str, lease: Lease) -> int | None:
     present = [path for path in feeds if path_exists(spark, path)]
     for path in set(feeds) - set(present):
         log.warning("feed %s does not exist, skipped", path)
@@ -55,6 +57,7 @@ def _union_silver(spark: SparkSession, feeds: Sequence[str], unified: str, progr
         return 0
     pending = union_feeds(parts).filter(F.col("trip_id").isNotNull())
 
+    lease.check()
     runs = partition_folders(spark, unified, ["run_id"])
     run_id = max((int(run) for run, in runs), default=0) + 1
     run = F.lit(run_id).cast("bigint").alias("run_id")
@@ -62,6 +65,7 @@ def _union_silver(spark: SparkSession, feeds: Sequence[str], unified: str, progr
         merge_feeds(pending), read_table(spark, unified, UNIFIED), "trip_id",
         lambda rows: replace_partitions(rows.select(*FEED.names, run), unified, ["run_id"]), raw=pending,
     )
+    lease.check()
     done = [(*batch, run_id) for folders in unmerged.values() for batch in folders]
     append_ledger(constant_rows(spark, done, FEED_PROGRESS), progress)
     return added

@@ -323,6 +323,38 @@ def dim_geography_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grown_star(spark, sf_dir).geography
 
 
+def star_overlapping_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per key of a star that two overlapping loads have filled.
+
+    The first load takes the rides before the stream feed began. While it looks for new cells, the stream feed, which
+    shares days and cells, is merged and loaded by a second one.
+    """
+    paths = MartPaths(new_folder(spark, "overlap"))
+    feeds = [paths.batch_output, paths.stream_output]
+    second: list[int] = []
+
+    def describe_cells(cells: DataFrame) -> DataFrame:
+        if not second:
+            second.append(0)
+            merge_new(stream_feed(spark, sf_dir), 0, paths.feed("stream-1", stream=True, audit=False))
+            silver.union_silver(spark, feeds, paths.unified, paths.unified_progress)
+            second[0] = gold.build_gold(spark, paths.unified, paths.gold, unique=True)
+        return gold.cell_attributes(cells)
+
+    merge_new(batch_feed(spark, sf_dir), 0, paths.feed("batch-1", audit=False))
+    silver.union_silver(spark, feeds, paths.unified, paths.unified_progress)
+    gold.build_gold(spark, paths.unified, paths.gold, unique=True, describe_cells=describe_cells)
+    star = load_star(spark, paths.gold)
+    tables = [
+        (star.fact, "fact_trip", F.col("trip_id")), (star.date, "dim_date", F.col("date_key").cast("string")),
+        (star.geography, "dim_geography", F.col("geo_hash")),
+    ]
+    return silver.union_feeds([
+        rows.groupBy(F.lit(name).alias("table_name"), key.alias("key")).agg(F.count(F.lit(1)).alias("row_count"))
+        for rows, name, key in tables
+    ])
+
+
 # --- serving ---
 
 def sql_script(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -454,7 +486,7 @@ DIRECT = (
     geo_cells, cell_centroids, cell_parents,
     dedup_first_rides, new_trips_anti, new_trips_small_batch, silver_union, new_files,
     fact_trip, dim_date, dim_geography, dim_time, dim_duration_bucket, band_range_join, new_dates, new_cells,
-    fact_two_runs, dim_date_two_runs, dim_geography_two_runs,
+    fact_two_runs, dim_date_two_runs, dim_geography_two_runs, star_overlapping_loads,
     sql_script, count_all_sql, export_counts,
     stream_silver, stream_metrics, stream_rejects, stream_replay_silver, stream_state_dedup, landed_rides,
 )

@@ -8,49 +8,25 @@ from pyspark.sql import types as T
 
 from ridemart.schemas import FEED_PROGRESS, ORIGIN, STAR_TABLES
 from ridemart.session import new_folder, shared_folder
+from ridemart.sources.commits import TableBusy, exclusive, hadoop_path  # noqa: F401  both are part of this module's interface
 
 MAX_PLAN_ROWS = 100
 
 
-def _hadoop_path(spark: SparkSession, path: str):
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
-    files, hadoop_path = _hadoop_path(spark, path)
-    return files.exists(hadoop_path)
+    files, name = hadoop_path(spark, path)
+    return files.exists(name)
 
 
 def delete_path(spark: SparkSession, path: str) -> None:
-    files, hadoop_path = _hadoop_path(spark, path)
-    files.delete(hadoop_path, True)
+    files, name = hadoop_path(spark, path)
+    files.delete(name, True)
 
 
 def qualified(spark: SparkSession, path: str) -> str:
     """The path with its file system, so that two spellings of one folder compare equal."""
-    files, hadoop_path = _hadoop_path(spark, path)
-    return files.makeQualified(hadoop_path).toString()
-
-
-class TableBusy(RuntimeError):
-    """Another run is writing the table."""
-
-
-@contextmanager
-def exclusive(spark: SparkSession, path: str) -> Iterator[None]:
-    """Keep other runs from writing the table at ``path``, by a marker next to it that only one can create.
-
-    A run that died leaves its marker; it must be removed by hand once it is certain that the run is over.
-    """
-    marker = f"{path.rstrip('/')}.running"
-    files, hadoop_path = _hadoop_path(spark, marker)
-    if not files.createNewFile(hadoop_path):
-        raise TableBusy(f"another run is writing {path}; if none is, remove {marker}")
-    try:
-        yield
-    finally:
-        files.delete(hadoop_path, False)
+    files, name = hadoop_path(spark, path)
+    return files.makeQualified(name).toString()
 
 
 def partition_folders(spark: SparkSession, path: str, columns: Sequence[str]) -> dict[tuple[str, ...], str]:
@@ -58,14 +34,14 @@ def partition_folders(spark: SparkSession, path: str, columns: Sequence[str]) ->
 
     Folder names only, one listing per level: neither the table's files nor their footers are touched.
     """
-    files, root = _hadoop_path(spark, path)
+    files, root = hadoop_path(spark, path)
     if not files.exists(root):
         return {}
     found = {(): path}
     for column in columns:
         below = {}
         for values, folder in found.items():
-            for status in files.listStatus(_hadoop_path(spark, folder)[1]):
+            for status in files.listStatus(hadoop_path(spark, folder)[1]):
                 name = status.getPath().toString()
                 label, _, value = name.rpartition("/")[2].partition("=")
                 if label == column and value:
