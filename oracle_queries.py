@@ -1,7 +1,7 @@
 """The registered queries once more as plain SQL over the test tables, for comparison."""
 
 from ridemart.queries import (
-    BATCH_ARRIVALS, BATCH_FEED_BEFORE, STREAM_ARRIVALS, STREAM_FEED_FROM,
+    BATCH_ARRIVALS, BATCH_FEED_BEFORE, CAPPED_ARRIVALS, STREAM_ARRIVALS, STREAM_FEED_FROM,
 )
 
 
@@ -321,6 +321,13 @@ ORACLE: dict[str, str] = {
         UNION ALL SELECT DISTINCT 'dim_date', strftime(start_time, '%Y%m%d'), 1::bigint FROM kept
         UNION ALL SELECT 'dim_geography', geo_hash, 1::bigint
         FROM (SELECT start_geo_hash AS geo_hash FROM kept UNION SELECT end_geo_hash FROM kept)""",
+    "stream_capped": f"""{EVENTS_KEPT},
+    arrived AS (SELECT *, {_batch_number(CAPPED_ARRIVALS)} AS batch_id FROM rides_events),
+    survivors AS (SELECT {_batch_number(CAPPED_ARRIVALS)} AS batch_id, count(*) AS written FROM kept GROUP BY 1)
+        SELECT count(*)::bigint AS rows_in, (count(*) - count(*) FILTER (WHERE {VALID}))::bigint AS rejected,
+               (count(*) FILTER (WHERE {VALID}) - coalesce(any_value(written), 0))::bigint AS duplicates,
+               coalesce(any_value(written), 0)::bigint AS written, 'capped-1' AS source, batch_id
+        FROM arrived LEFT JOIN survivors USING (batch_id) GROUP BY batch_id""",
     "stream_metrics": f"""{EVENTS_KEPT},
     feeds AS (
       SELECT *, 'batch-1' AS source, {_batch_number(BATCH_ARRIVALS)} AS batch_id FROM rides_events WHERE {_before}

@@ -6,18 +6,24 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ridemart.operators.incremental import dedup_first, write_new
+from ridemart.operators.incremental import dedup_first
+from ridemart.operators.ledger import IdLedger, catch_up, close_batches, write_unseen as write_new
 from ridemart.schemas import FEED, FEED_PROGRESS, UNIFIED
 from ridemart.sources.commits import Lease, exclusive
 from ridemart.sources.tables import (
     append_ledger, batch_folders, constant_rows, merged_batches, partition_folders, path_exists,
-    read_partitions, read_table, replace_partitions,
+    read_partitions, replace_partitions,
 )
 
 log = logging.getLogger(__name__)
 UNION_ORDER = ("start_time", "trip_duration_sec", "source", "batch_id")
 
 
+def id_ledger(unified: str) -> IdLedger:
+    """The ledger of the ids in a unified table, next to it."""
+    return IdLedger(f"{unified.rstrip('/')}_ids")
+
+
 def union_feeds(feeds: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, feeds)
 
@@ -32,7 +38,9 @@ def union_silver(spark: SparkSession, feeds: Sequence[str], unified: str, progre
 
     A feed that does not exist yet is skipped; None means that no feed exists. The progress ledger of
     batches only saves work: uniqueness rests on the ids in ``unified``, so a crash between the write
-    and the ledger costs a second look at the same batches and nothing else.
+    and the ledger costs a second look at the same batches and nothing else. The ids are kept once more in a
+    ledger bucketed by id next to the table, so that new ones are looked up without moving the history; what
+    a crash kept out of it is added by the next run.
 
     One union runs at a time: a run that starts before another has ended raises TableBusy and writes
     nothing, so that no two runs take one number or accept one id twice. Its batches wait for the next run.
@@ -49,6 +57,7 @@ def _union_silver(spark: SparkSession, feeds: Sequence[str], unified: str, progr
     if not present:
         return None
     merged = merged_batches(spark, progress)
+    close_batches(spark, progress, merged)  # replays of batches that an earlier run took
     unmerged = {path: batch_folders(spark, path, skip=merged) for path in present}
     parts = [
         read_partitions(spark, path, FEED, folders.values()) for path, folders in unmerged.items() if folders
@@ -58,14 +67,19 @@ def _union_silver(spark: SparkSession, feeds: Sequence[str], unified: str, progr
     pending = union_feeds(parts).filter(F.col("trip_id").isNotNull())
 
     lease.check()
-    runs = partition_folders(spark, unified, ["run_id"])
-    run_id = max((int(run) for run, in runs), default=0) + 1
+    runs = {int(run): folder for (run,), folder in partition_folders(spark, unified, ["run_id"]).items()}
+    ledger = id_ledger(unified)
+    catch_up(spark, ledger, unified, runs, UNIFIED)
+    run_id = max(runs, default=0) + 1
     run = F.lit(run_id).cast("bigint").alias("run_id")
     added = write_new(
-        merge_feeds(pending), read_table(spark, unified, UNIFIED), "trip_id",
+        merge_feeds(pending), ledger.histories(spark),
         lambda rows: replace_partitions(rows.select(*FEED.names, run), unified, ["run_id"]), raw=pending,
     )
+    if added:
+        catch_up(spark, ledger, unified, {run_id: f"{unified}/run_id={run_id}"}, UNIFIED)
     lease.check()
-    done = [(*batch, run_id) for folders in unmerged.values() for batch in folders]
-    append_ledger(constant_rows(spark, done, FEED_PROGRESS), progress)
+    done = [batch for folders in unmerged.values() for batch in folders]
+    append_ledger(constant_rows(spark, [(*batch, run_id) for batch in done], FEED_PROGRESS), progress)
+    close_batches(spark, progress, done)
     return added

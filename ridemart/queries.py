@@ -25,6 +25,8 @@ STREAM_FEED_FROM = "2024-01-23"
 # Arrival order inside each feed: rides before the first day, up to the second, and so on.
 BATCH_ARRIVALS = ("2024-01-08", "2024-01-16")
 STREAM_ARRIVALS = ("2024-01-27",)
+# Ten files that a stream takes one at a time.
+CAPPED_ARRIVALS = tuple(f"2024-01-{day:02d}" for day in range(4, 31, 3))
 
 
 def _since(day: str | None):
@@ -437,6 +439,21 @@ def stream_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, paths.metrics, METRICS)
 
 
+def stream_capped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What ten micro-batches of one file each did: the query restarts after five, a union runs after each half."""
+    folder = new_folder(spark, "capped")
+    paths = MartPaths(f"{folder}/mart")
+    arrivals = _arrivals(fixtures.rides_events(spark, sf_dir), CAPPED_ARRIVALS)
+    half = len(arrivals) // 2
+    for part in (arrivals[:half], arrivals[half:]):
+        for arrived in part:
+            _write_ride_files(arrived.coalesce(1), f"{folder}/csv")
+        files = ride_sources.stream_ride_files(spark, f"{folder}/csv", max_files=1)
+        start_feed(files, paths.feed("capped-1"), f"{folder}/checkpoint", availableNow=True).awaitTermination()
+        silver.union_silver(spark, [paths.batch_output], paths.unified, paths.unified_progress)
+    return read_table(spark, paths.metrics, METRICS)
+
+
 def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rides that each micro-batch of both feeds turned away, and why."""
     paths = _run_both_feeds(spark, sf_dir)
@@ -488,7 +505,7 @@ DIRECT = (
     fact_trip, dim_date, dim_geography, dim_time, dim_duration_bucket, band_range_join, new_dates, new_cells,
     fact_two_runs, dim_date_two_runs, dim_geography_two_runs, star_overlapping_loads,
     sql_script, count_all_sql, export_counts,
-    stream_silver, stream_metrics, stream_rejects, stream_replay_silver, stream_state_dedup, landed_rides,
+    stream_silver, stream_metrics, stream_capped, stream_rejects, stream_replay_silver, stream_state_dedup, landed_rides,
 )
 
 

@@ -13,10 +13,11 @@ from ridemart.functions.geo import geo_cell
 from ridemart.operators.clean import (
     CellFunction, clean_first_rides, clean_rides, is_valid, split_valid_rejects,
 )
-from ridemart.operators.incremental import KeySize, dedup_stream, key_bytes, write_new
+from ridemart.operators.incremental import KeySize, dedup_stream, key_bytes
+from ridemart.operators.ledger import History, IdLedger, note_open, open_batches, write_unseen
 from ridemart.schemas import FEED, METRICS, ORIGIN, UNIFIED
 from ridemart.sources.tables import (
-    batch_folders, constant_rows, merged_batches, read_partitions, read_table, replace_batch,
+    batch_folders, constant_rows, merged_batches, path_exists, read_partitions, read_table, replace_batch,
 )
 
 
@@ -76,6 +77,30 @@ def stored_trip_ids(spark: SparkSession, batch_id: int, feed: Feed) -> DataFrame
     return reduce(DataFrame.unionByName, [table.select("trip_id") for table in tables]) if tables else None
 
 
+def stored_ids(spark: SparkSession, batch_id: int, feed: Feed) -> list[History]:
+    """Where the ids of other batches are: in the batches that the union has not taken yet, and in its ledger of ids.
+
+    The notes of open batches are read first: what has left them is in the ledger by then. Neither the feeds'
+    folders nor the list of merged batches is looked at, so a batch costs the same however many came before. A
+    feed without a union, and a mart whose union has not made its ledger yet, are looked up in their tables.
+    """
+    if feed.unified:
+        recent = open_batches(spark, feed.progress)
+        ledger = IdLedger(f"{feed.unified.rstrip('/')}_ids")
+        if ledger.state(spark) is not None or not path_exists(spark, feed.unified):
+            recent.pop((feed.source, batch_id), None)
+            found = ledger.histories(spark, own=(feed.source, batch_id))
+            by_table: dict[str, list[str]] = {}
+            for folder in recent.values():
+                if not path_exists(spark, folder):
+                    continue  # noted, and not written yet or without rows
+                by_table.setdefault(folder.rpartition("/source=")[0], []).append(folder)
+            rows = [read_partitions(spark, table, FEED, folders).select("trip_id") for table, folders in by_table.items()]
+            return [*found, History(reduce(DataFrame.unionByName, rows))] if rows else found
+    stored = stored_trip_ids(spark, batch_id, feed)
+    return [] if stored is None else [History(stored)]
+
+
 def merge_new(rides: DataFrame, batch_id: int, feed: Feed, persist: bool = True) -> None:
     """Write the rides whose ids are new, as partition (source, batch_id) of the feed's target.
 
@@ -86,8 +111,9 @@ def merge_new(rides: DataFrame, batch_id: int, feed: Feed, persist: bool = True)
     if persist:
         rides = rides.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        stored = stored_trip_ids(rides.sparkSession, batch_id, feed) if feed.dedup == "stored" else None
-        size = _measure(rides) if feed.metrics or stored is not None else None
+        spark = rides.sparkSession
+        stored = stored_ids(spark, batch_id, feed) if feed.dedup == "stored" else []
+        size = _measure(rides) if feed.metrics or stored else None
         if size is not None and size["rows_in"] == 0:
             return
         if feed.rejects and (size is None or size["rows_in"] > size["valid"]):
@@ -95,9 +121,11 @@ def merge_new(rides: DataFrame, batch_id: int, feed: Feed, persist: bool = True)
             replace_batch(rejects, feed.rejects, feed.source, batch_id)
         # State has removed repeated ids already, and the union will.
         clean = clean_first_rides if feed.dedup == "stored" else clean_rides
-        written = write_new(
-            clean(rides, feed.cell_fn), stored, "trip_id",
-            lambda rows: replace_batch(rows, feed.target, feed.source, batch_id),
+        if feed.progress:
+            # Noted before it is written: a batch that is noted and not there is skipped, the other way round it is missed.
+            note_open(spark, feed.progress, feed.source, batch_id, f"{feed.target}/source={feed.source}/batch_id={batch_id}")
+        written = write_unseen(
+            clean(rides, feed.cell_fn), stored, lambda rows: replace_batch(rows, feed.target, feed.source, batch_id),
             raw=rides.filter(is_valid()), size=size and KeySize(size["valid"], size["key_bytes"]),
         )
         if feed.metrics:
