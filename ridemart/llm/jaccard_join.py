@@ -8,9 +8,10 @@ instead of one. Two documents are candidates when they share as many as the smal
 
 Links are exact, but pairs are not listed for their own sake. Equal sets are one node. Each node is first
 compared with one leader, the node among those it meets whose rare tokens come first in the prefix. What that
-links becomes a component, and the join then looks at pairs from different components only, so a group of
-thousands of near copies costs as many comparisons, not its square. No pair that could still join two
-components is left out.
+links becomes a component, and the join then looks at pairs from different components only: first a node is
+held against a component as a whole, and only where a partner may be among its members against these. So a
+group of thousands of near copies, and what resembles it without linking, costs as many comparisons, not the
+square. No pair that could still join two components is left out.
 
 ``link_pairs`` and ``count_links`` give all links as well. A link never leaves its component, so the nodes of
 each component are dealt into blocks, and every block meets every other block of the component once, as one
@@ -334,28 +335,72 @@ def _leaders(postings: DataFrame, rule: Rule) -> DataFrame:
     return best.select("best.na", "best.sa", "nb", "sb")
 
 
-def _open_pairs(postings: DataFrame, labels: DataFrame, rule: Rule) -> DataFrame:
-    """All candidates from different components: na, sa, nb, sb, the smaller set first."""
+def _open_postings(postings: DataFrame, labels: DataFrame) -> DataFrame:
+    """The postings whose token nodes of different components have, with the component's root and its number of nodes."""
     node = _node("n", "sig")
     known = postings.join(
         labels.select("node.n", "node.sig", F.col("root").alias("known")), list(NODE), "left",
     ).withColumn("root", F.coalesce("known", node)).drop("known")
     apart = known.groupBy("token").agg(F.min("root").alias("least"), F.max("root").alias("most")).filter("least <> most")
     # A pair of different components shares none but these tokens, so ranks count these alone.
-    known = stored(_ranked(known.join(apart.select("token"), "token", "left_semi")), "open-postings")
-    names = ("n", "sig", "at", "level", "root", "rank")
-    a = known.filter("index").select("token", *(F.col(x).alias(f"{x}_a") for x in names))
-    b = known.select("token", *(F.col(x).alias(f"{x}_b") for x in names))
-    na, nb, at_a, at_b = (F.col(x) for x in ("n_a", "n_b", "at_a", "at_b"))
-    smaller = (na < nb) | ((na == nb) & (F.col("sig_a") < F.col("sig_b")))
-    bound = _bound(na, nb, at_a, at_b, F.least("rank_a", "rank_b"))
-    met = a.join(b, "token").filter(smaller & (F.col("root_a") != F.col("root_b")) & _may_link(rule, na, nb, bound))
-    pairs = met.groupBy("n_a", "sig_a", "n_b", "sig_b").agg(
-        F.count(F.lit(1)).alias("shared"), F.min(F.least("level_a", "level_b")).alias("level"),
-        F.min("at_a").alias("at_a"), F.min("at_b").alias("at_b"),
+    found = _ranked(known.join(apart.select("token"), "token", "left_semi"))
+    sizes = labels.groupBy("root").agg(F.count(F.lit(1)).alias("nodes"))
+    return stored(found.join(sizes, "root", "left").withColumn("nodes", F.coalesce("nodes", F.lit(1))), "open-postings")
+
+
+def _open_meetings(known: DataFrame, rule: Rule) -> DataFrame:
+    """Nodes and the other components in which a partner may be: n, sig, other (its root).
+
+    A component's postings of one token are one row, so a node costs as many rows as it shares tokens with the
+    component, however many nodes that has. Of two components the nodes of the smaller one ask. A node's tokens
+    before the first that the component has are in none of its sets, which bounds what they can share.
+    """
+    whole = known.groupBy("token", "root").agg(
+        F.max("nodes").alias("nodes_c"), F.min("level").alias("level_c"), F.min("n").alias("least_c"), F.max("n").alias("most_c"),
+        F.max(F.col("n") - F.col("at")).alias("room_c"), F.max("rank").alias("rank_c"),
+    ).withColumnRenamed("root", "other")
+    n, least, most = F.col("n"), F.col("least_c"), F.col("most_c")
+    asks = (F.col("nodes") < F.col("nodes_c")) | ((F.col("nodes") == F.col("nodes_c")) & (F.col("root") < F.col("other")))
+    # The partner's size that suits best, and the most tokens that can be shared.
+    size = F.least(F.greatest(n, least), most)
+    reach = F.least("rank", "rank_c") + F.least(n - F.col("at"), F.col("room_c"))
+    fits = (rule.scale * F.least(n, size) >= rule.share * F.greatest(n, size)) & (
+        (rule.scale + rule.share) * reach.cast("bigint") >= rule.share * (n + least).cast("bigint")
+    )
+    met = known.join(whole, "token").filter((F.col("root") != F.col("other")) & asks & fits)
+    asked = met.groupBy("n", "sig", "other").agg(
+        F.count(F.lit(1)).alias("shared"), F.min(F.least("level", "level_c")).alias("level"), F.min("at").alias("at"),
+        F.max("room_c").alias("room"), F.min("least_c").alias("least_c"),
+    )
+    enough = (rule.scale + rule.share) * F.least(n - F.col("at"), F.col("room")).cast("bigint") >= rule.share * (n + least).cast("bigint")
+    return stored(asked.filter((F.col("shared") >= F.col("level")) & enough).select("n", "sig", "other"), "open-meetings")
+
+
+def _open_pairs(postings: DataFrame, labels: DataFrame, rule: Rule) -> DataFrame:
+    """All candidates from different components: na, sa, nb, sb, the smaller set first.
+
+    Only components in which a node may have a partner are opened for it.
+    """
+    known = _open_postings(postings, labels)
+    names = ("n", "sig", "at", "level", "rank", "index")
+    asking = known.join(_open_meetings(known, rule), list(NODE))
+    x = asking.select("token", "other", *(F.col(name).alias(f"{name}_x") for name in names))
+    y = known.select("token", F.col("root").alias("other"), *(F.col(name).alias(f"{name}_y") for name in names))
+    first = (F.col("n_x") < F.col("n_y")) | ((F.col("n_x") == F.col("n_y")) & (F.col("sig_x") < F.col("sig_y")))
+    bound = _bound(F.col("n_x"), F.col("n_y"), F.col("at_x"), F.col("at_y"), F.least("rank_x", "rank_y"))
+    index = F.when(first, F.col("index_x")).otherwise(F.col("index_y"))
+    met = x.join(y, ["token", "other"]).filter(index & _may_link(rule, F.col("n_x"), F.col("n_y"), bound))
+    pairs = met.groupBy("n_x", "sig_x", "n_y", "sig_y").agg(
+        F.count(F.lit(1)).alias("shared"), F.min(F.least("level_x", "level_y")).alias("level"),
+        F.min("at_x").alias("at_x"), F.min("at_y").alias("at_y"),
+    )
+    most = _bound(F.col("n_x"), F.col("n_y"), F.col("at_x"), F.col("at_y"), F.lit(0))
+    enough = (F.col("shared") >= F.col("level")) & _may_link(rule, F.col("n_x"), F.col("n_y"), most)
+    found = pairs.filter(enough)
+    return found.select(
+        F.when(first, F.col("n_x")).otherwise(F.col("n_y")).alias("na"), F.when(first, F.col("sig_x")).otherwise(F.col("sig_y")).alias("sa"),
+        F.when(first, F.col("n_y")).otherwise(F.col("n_x")).alias("nb"), F.when(first, F.col("sig_y")).otherwise(F.col("sig_x")).alias("sb"),
     )
-    enough = (F.col("shared") >= F.col("level")) & _may_link(rule, na, nb, _bound(na, nb, at_a, at_b, F.lit(0)))
-    return pairs.filter(enough).select(na.alias("na"), F.col("sig_a").alias("sa"), nb.alias("nb"), F.col("sig_b").alias("sb"))
 
 
 def _linked(docs: DataFrame, rule: Rule, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -524,8 +569,7 @@ def keep_one(
     Rows without an id stay, and so do rows that repeat the id that stays.
     """
     linked = link_components(docs, rule, id_col, text_col)
-    dropped = stored(
-        linked.filter(F.col("component_id") < F.col(id_col)).select(F.col(id_col).alias("_dropped")).distinct(), "dropped",
-    )
-    small = dropped.count() <= broadcast_rows
-    return docs.join(F.broadcast(dropped) if small else dropped, docs[id_col] == F.col("_dropped"), "left_anti")
+    gone = linked.filter(F.col("component_id") < F.col(id_col)).select(F.col(id_col).alias(id_col)).distinct()
+    gone = stored(gone, "dropped")
+    small = gone.count() <= broadcast_rows
+    return docs.join(F.broadcast(gone) if small else gone, id_col, "left_anti").select(*docs.columns)
