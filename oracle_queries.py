@@ -38,6 +38,22 @@ RIDES_ORDERS = f"""
                    {_coordinates('l_suppkey', 'l_partkey', 'l_partkey % 89', 'l_suppkey + l_linenumber')}
             FROM lineitem JOIN orders ON l_orderkey = o_orderkey))"""
 
+def _fixed(name: str) -> str:
+    return f"coalesce({name}::decimal(12,5)::varchar, '')"
+
+
+_id_number = "substring(trip_id, 2)::bigint"
+_first_fields = f"""CASE WHEN {_id_number} % 83 = 0 THEN '' ELSE trip_id END || ',' ||
+    CASE WHEN {_id_number} % 79 = 0 THEN 'zz' ELSE {_fixed('start_lat')} END || ',' || {_fixed('start_lon')}"""
+_whole_line = f"""{_first_fields} || ',' || {_fixed('end_lat')} || ',' || {_fixed('end_lon')} || ',' ||
+    strftime(start_time, '%Y-%m-%d %H:%M:%S') || ',' || strftime(end_time, '%Y-%m-%d %H:%M:%S') || ',' ||
+    distance::decimal(12,2)::varchar"""
+RIDE_LINES = f"""
+    ride_lines AS (
+      SELECT *, CASE WHEN {_id_number} % 71 = 0 THEN {_first_fields}
+                     WHEN {_id_number} % 73 = 0 THEN {_whole_line} || ',more,' ELSE {_whole_line} END AS line
+      FROM rides_events)"""
+
 VALID = """trip_id IS NOT NULL AND end_time > start_time AND start_lat IS NOT NULL
     AND start_lon IS NOT NULL AND end_lat IS NOT NULL AND end_lon IS NOT NULL"""
 
@@ -164,9 +180,38 @@ TOP_ROUTES = f"""{ORDERS_FACT}
 RAW_COLUMNS = "trip_id, start_lat, start_lon, end_lat, end_lon, start_time, end_time, distance"
 SILVER_COLUMNS = "trip_id, start_time, start_geo_hash, end_geo_hash, trip_duration_sec"
 
+def _field(position: int) -> str:
+    """A field of a landed line: NULL where the line has none, or an empty one."""
+    return f"nullif(list_extract(string_split(line, ','), {position}), '')"
+
+
+def _grid_cell(lat: str, lon: str, size: int) -> str:
+    """A cell of the other grid, or the region of ten by ten of them."""
+    return " || 'x' || ".join(f"floor(floor({x} * 100)::bigint / {size}.0)::bigint::varchar" for x in (lat, lon))
+
+
+OTHER_REGIONS = _with(
+    RIDES_EVENTS, f"""
+    kept AS (
+      SELECT * FROM rides_events WHERE {VALID}
+      QUALIFY row_number() OVER (PARTITION BY trip_id ORDER BY start_time, end_time) = 1),
+    regions AS (
+      SELECT {_grid_cell('start_lat', 'start_lon', 10)} AS a, {_grid_cell('end_lat', 'end_lon', 10)} AS b FROM kept)""",
+)
+
 ORACLE: dict[str, str] = {
     "parse_lines": f"{_with(RIDES_EVENTS)} SELECT {RAW_COLUMNS} FROM rides_events",
     "landed_rides": f"{_with(RIDES_EVENTS)} SELECT {RAW_COLUMNS} FROM rides_events",
+    "landed_text": f"""{_with(RIDES_EVENTS, RIDE_LINES)}
+        SELECT {', '.join(f"{_field(k + 1)} AS {name}" for k, name in enumerate(RAW_COLUMNS.split(', ')))},
+               CASE WHEN {_id_number} % 73 = 0 AND {_id_number} % 71 <> 0 THEN 'more,' END AS extra
+        FROM ride_lines""",
+    "silver_csv_permuted": f"{_with(*EVENTS_SILVER)} SELECT {SILVER_COLUMNS} FROM silver",
+    "top_routes_other_grid": f"""{OTHER_REGIONS}
+        SELECT * FROM (SELECT a || ' -> ' || b AS route_region, {TRIPS} FROM regions GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10)
+        ORDER BY 1""",
+    "pct_same_region_other_grid": f"""{OTHER_REGIONS}
+        SELECT round(avg(CASE WHEN a = b THEN 1 ELSE 0 END), 6) AS pct_same_region_res6 FROM regions""",
     "valid_rides": f"{_with(RIDES_EVENTS)} SELECT {RAW_COLUMNS} FROM rides_events WHERE {VALID}",
     "reject_reasons": f"""{_with(RIDES_EVENTS)}
         SELECT * FROM (
@@ -309,6 +354,23 @@ ORACLE: dict[str, str] = {
                 UNION ALL
                 SELECT *, 'stream-1', {_batch_number(STREAM_ARRIVALS)} FROM rides_events WHERE {_since}))
         WHERE reject_reason IS NOT NULL""",
+    "stream_reject_text": f"""{_with(RIDES_EVENTS, RIDE_LINES)}
+        SELECT line, reject_reason, batch_id, 1::int AS has_place FROM (
+          SELECT line, {_batch_number(STREAM_ARRIVALS)} AS batch_id,
+                 CASE WHEN {_id_number} % 83 = 0 THEN 'no trip id' WHEN {_id_number} % 71 = 0 THEN 'no time'
+                      WHEN end_time <= start_time THEN 'end not after start'
+                      WHEN {_id_number} % 79 = 0 OR start_lat IS NULL OR end_lon IS NULL THEN 'no coordinate' END AS reject_reason
+          FROM ride_lines)
+        WHERE reject_reason IS NOT NULL""",
+    "stream_state_metrics": f"""{EVENTS_KEPT},
+    arrived AS (
+      SELECT *, {_batch_number(STREAM_ARRIVALS)} AS batch_id FROM rides_events
+      UNION ALL SELECT *, {len(STREAM_ARRIVALS) + 1}::bigint FROM rides_events),
+    survivors AS (SELECT {_batch_number(STREAM_ARRIVALS)} AS batch_id, count(*) AS written FROM kept GROUP BY 1)
+        SELECT count(*)::bigint AS rows_in, (count(*) - count(*) FILTER (WHERE {VALID}))::bigint AS rejected,
+               (count(*) FILTER (WHERE {VALID}) - coalesce(any_value(written), 0))::bigint AS duplicates,
+               coalesce(any_value(written), 0)::bigint AS written, 'state-1' AS source, batch_id
+        FROM arrived LEFT JOIN survivors USING (batch_id) GROUP BY batch_id""",
     "fact_two_runs": f"""{EVENTS_KEPT}, {_fact('fact', 'kept')}
         SELECT *, CASE WHEN {_before} THEN 1 ELSE 2 END::bigint AS run_id FROM fact""",
     "dim_date_two_runs": f"""{EVENTS_KEPT}

@@ -54,6 +54,24 @@ def rides_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select(*RAW.names)
 
 
+def ride_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The event rides as CSV lines (value), some short, some too long, with text for a number, or without an id.
+
+    Coordinates have five decimals, which holds all of them exactly. ``start_time`` says when a line arrives.
+    """
+    rides = rides_events(spark, sf_dir)
+    number = F.substring("trip_id", 2, 20).cast("bigint")
+    fixed = {name: F.coalesce(F.col(name).cast("decimal(12,5)").cast("string"), F.lit("")) for name in RAW.names[1:5]}
+    fixed["start_lat"] = F.when(number % 79 == 0, F.lit("zz")).otherwise(fixed["start_lat"])
+    name = F.when(number % 83 == 0, F.lit("")).otherwise(F.col("trip_id"))
+    times = [F.date_format(column, "yyyy-MM-dd HH:mm:ss") for column in ("start_time", "end_time")]
+    first = [name, fixed["start_lat"], fixed["start_lon"]]
+    rest = [fixed["end_lat"], fixed["end_lon"], *times, F.col("distance").cast("decimal(12,2)").cast("string")]
+    whole = F.concat_ws(",", *first, *rest)
+    line = F.when(number % 71 == 0, F.concat_ws(",", *first)).when(number % 73 == 0, F.concat(whole, F.lit(",more,")))
+    return rides.select(line.otherwise(whole).alias("value"), "start_time")
+
+
 def rides_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Seven years of rides with naturally repeated ids."""
     order, line = F.col("l_orderkey"), F.col("l_linenumber")

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ridemart.functions.geo import geo_cell
 from ridemart.functions.ride import duration_seconds
 from ridemart.operators.incremental import dedup_first
-from ridemart.schemas import RAW
+from ridemart.schemas import RAW, RECORD
 
 COORDINATES = ("start_lat", "start_lon", "end_lat", "end_lon")
 CellFunction = Callable[[Column, Column], Column]
@@ -39,8 +39,9 @@ def reject_reason() -> Column:
 
 
 def split_valid_rejects(rides: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Valid rides, and the others with their ``reject_reason``."""
-    rejects = rides.select(*RAW.names, reject_reason().alias("reject_reason"))
+    """Valid rides, and the others with their ``reject_reason``, and with their record if they carry it."""
+    record = [name for name in RECORD.names if name in rides.columns]
+    rejects = rides.select(*RAW.names, reject_reason().alias("reject_reason"), *record)
     return rides.filter(is_valid()), rejects.filter(F.col("reject_reason").isNotNull())
 
 
@@ -59,7 +60,7 @@ def clean_first_rides(rides: DataFrame, cell_fn: CellFunction = geo_cell) -> Dat
     The choice comes first, on the raw numbers: they are narrower in the shuffle than cells, and no
     cell is computed for a ride that goes.
     """
-    valid = rides.filter(is_valid()).drop("distance")
+    valid = rides.filter(is_valid()).select(*[name for name in RAW.names if name != "distance"])
     return _silver_columns(dedup_first(valid, ["trip_id"], ["start_time", "end_time"]), cell_fn)
 
 

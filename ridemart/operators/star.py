@@ -8,9 +8,15 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from ridemart.functions.geo import cell_region
 from ridemart.functions.ride import day_type, rush_label
 from ridemart.schemas import BUCKET_TABLE, DATE_TABLE, FACT_TABLE, GEOGRAPHY_TABLE, TIME_TABLE
+from ridemart.sources.commits import create_once, read_text
 from ridemart.sources.tables import read_star_table
 
 ENDS = ("start", "end")
+RegionFunction = Callable[[Column], Column] | None
+# A star whose regions are not prefixes of its cells has a note of that; they come from its geography dimension then.
+GRID_NOTE = "_regions_by_dimension"
+# Stands for the region rule of the star's own grid.
+OWN_GRID = "own"
 
 
 @dataclass(frozen=True)
@@ -20,6 +26,15 @@ class Star:
     time: DataFrame
     geography: DataFrame
     bucket: DataFrame
+    region: RegionFunction = cell_region
+
+
+def note_grid(spark: SparkSession, gold: str) -> None:
+    """Note that the star's regions are not those of the built-in grid, if its geography dimension says so."""
+    if read_text(spark, f"{gold}/{GRID_NOTE}") is None:
+        cells = read_star_table(spark, gold, GEOGRAPHY_TABLE)
+        if not cells.filter(~F.col("parent_geo_res6").eqNullSafe(cell_region(F.col("geo_hash")))).isEmpty():
+            create_once(spark, f"{gold}/{GRID_NOTE}", "regions come from dim_geography")
 
 
 def load_star(spark: SparkSession, gold: str) -> Star:
@@ -34,6 +49,7 @@ def load_star(spark: SparkSession, gold: str) -> Star:
         time=time.withColumn("rush_label", rush_label(F.col("is_rush_hour"))),
         geography=read_star_table(spark, gold, GEOGRAPHY_TABLE),
         bucket=read_star_table(spark, gold, BUCKET_TABLE),
+        region=cell_region if read_text(spark, f"{gold}/{GRID_NOTE}") is None else None,
     )
 
 
@@ -95,15 +111,17 @@ def with_geography(rows: DataFrame, star: Star, end: str, *attributes: str) -> D
 
 
 def by_region(
-    star: Star, *ends: str, name: str, region: Callable[[Column], Column] | None = cell_region,
+    star: Star, *ends: str, name: str, region: RegionFunction | str = OWN_GRID,
     label: Callable[..., Column] = lambda region: region,
 ) -> DataFrame:
     """A rollup with the column ``name``: ``label`` of the regions of the given ends.
 
     The native grid's region is a prefix of the cell, which needs no join: one shuffle, at the grain
     of the answer. With ``region=None`` it comes from the geography dimension, joined once per end to
-    the fact summed by cell: the way for a grid plugged in from outside.
+    the fact summed by cell: the way for a grid plugged in from outside. Unless told otherwise, the star's own
+    grid decides.
     """
+    region = star.region if region == OWN_GRID else region
     keys = [f"{end}_geo_key" for end in ends]
     if region is not None:
         return rollup(star.fact, label(*[region(F.col(key)) for key in keys]).alias(name))

@@ -12,6 +12,7 @@ from ridemart.schemas import (
     BANDS, BUCKET_TABLE, DATE_TABLE, DIM_DURATION_BUCKET, FACT_STORED, FACT_TABLE, GEOGRAPHY_TABLE,
     RUN_PROGRESS, STAR_TABLES, TIME_TABLE, UNIFIED,
 )
+from ridemart.operators.star import note_grid
 from ridemart.sources.commits import Lease, TableBusy, grow_table, leased
 from ridemart.sources.tables import (
     constant_rows, new_rows_only, partition_folders, read_ledger, read_partitions, replace_partitions, seed_table,
@@ -115,6 +116,9 @@ def build_gold(
     pass without a join against the fact's history. A grid plugged in by ``cell_fn`` brings its own
     ``describe_cells``, from ``geo_hash`` values to dim_geography rows.
 
+    A star whose cells' regions are not those of the built-in grid is noted as such, so that ``load_star`` knows
+    where its regions come from.
+
     Loads may overlap. Each takes the runs that no other one has claimed, by a lease that ends with its
     heartbeat, and the dimensions grow by published versions, so every key is there once. Loads that are not
     ``unique`` look at each other's ids, so the second of two raises TableBusy.
@@ -156,6 +160,7 @@ def _build_gold(
         extend_dimension(
             spark, gold, GEOGRAPHY_TABLE, written, partial(new_cells, describe_cells=describe_cells),
         )
+        note_grid(spark, gold)
     lease.check()
     done = constant_rows(spark, [(run,) for run in sorted(runs)], RUN_PROGRESS)
     _grow(spark, gold, PROGRESS_TABLE, RUN_PROGRESS, lambda known: done)

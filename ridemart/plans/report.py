@@ -1,17 +1,13 @@
 """The dashboard's questions, each one a function of the star."""
 
-from collections.abc import Callable
+from pyspark.sql import DataFrame, functions as F
 
-from pyspark.sql import Column, DataFrame, functions as F
-
-from ridemart.functions.geo import cell_region
 from ridemart.functions.ride import route_region
 from ridemart.operators import star as ops
-from ridemart.operators.star import Star
+from ridemart.operators.star import OWN_GRID, RegionFunction, Star
 
 TRIPS = "total_trips"
 ROUND = 6
-RegionFunction = Callable[[Column], Column] | None
 
 
 def _trips(rolled: DataFrame, *keys: str) -> DataFrame:
@@ -36,7 +32,7 @@ def pct_same_region(star: Star) -> DataFrame:
     return ops.rollup(star.fact).agg(F.round(ops.pct_same_region(), ROUND).alias("pct_same_region"))
 
 
-def pct_same_region_res6(star: Star, region: RegionFunction = cell_region) -> DataFrame:
+def pct_same_region_res6(star: Star, region: RegionFunction | str = OWN_GRID) -> DataFrame:
     """Share of trips that start and end in one region, one level up from the cell."""
     same = ops.by_region(star, "start", "end", name="same", region=region, label=lambda a, b: a == b)
     share = F.sum(F.when(F.col("same"), F.col("trips")).otherwise(0)) / F.sum("trips")
@@ -90,7 +86,7 @@ def trips_by_start_cell(star: Star) -> DataFrame:
 # --- top 10 ---
 
 def top_regions(
-    star: Star, end: str, n: int = 10, region: RegionFunction = None, ties: str = "key",
+    star: Star, end: str, n: int = 10, region: RegionFunction | str = None, ties: str = "key",
 ) -> DataFrame:
     name = f"{end}_region"
     trips = _trips(ops.by_region(star, end, name=name, region=region), name)
@@ -105,7 +101,7 @@ def top_end_regions(star: Star, **options) -> DataFrame:
     return top_regions(star, "end", **options)
 
 
-def top_routes(star: Star, n: int = 10, region: RegionFunction = cell_region) -> DataFrame:
+def top_routes(star: Star, n: int = 10, region: RegionFunction | str = OWN_GRID) -> DataFrame:
     """The busiest routes between regions, listed by route."""
     routes = ops.by_region(star, "start", "end", name="route_region", region=region, label=route_region)
     best = ops.top_n(_trips(routes, "route_region"), TRIPS, n, tie_break=["route_region"])

@@ -2,7 +2,7 @@
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ridemart import fixtures
 from ridemart.functions import geo, ride
@@ -11,11 +11,11 @@ from ridemart.operators import clean, incremental, serve, star as star_ops
 from ridemart.operators.star import Star, load_star
 from ridemart.plans import gold, report, silver
 from ridemart.plans.mart import MartPaths, refresh_mart
-from ridemart.schemas import DIM_DATE, FACT, FEED, METRICS, RAW, REJECTS, SILVER
+from ridemart.schemas import DIM_DATE, DIM_GEOGRAPHY, FACT, FEED, METRICS, RAW, REJECTS, SILVER
 from ridemart.session import new_folder
 from ridemart.sources import rides as ride_sources
 from ridemart.sources.tables import append_ledger, new_rows_only, read_table
-from ridemart.streaming.feeds import Feed, land_rides, merge_new, start_feed
+from ridemart.streaming.feeds import Feed, await_feed, land_rides, merge_new, start_feed
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -498,6 +498,92 @@ def landed_rides(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ride_sources.read_ride_files(spark, f"{folder}/bronze").select(*RAW.names)
 
 
+def stream_reject_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines that two micro-batches turned away, as they came, and why."""
+    folder = new_folder(spark, "reject-text")
+    paths = MartPaths(f"{folder}/mart")
+    for arrived in _arrivals(fixtures.ride_lines(spark, sf_dir), STREAM_ARRIVALS):
+        arrived.select("value").write.mode("append").text(f"{folder}/lines")
+        lines = ride_sources.read_lines_stream(spark, "text", path=f"{folder}/lines")
+        rides = ride_sources.parse_ride_lines(lines, keep_record=True)
+        start_feed(rides, paths.feed("lines-1", stream=True), f"{folder}/checkpoint", availableNow=True).awaitTermination()
+    rejects = read_table(spark, paths.rejects, REJECTS)
+    return rejects.select("line", "reject_reason", "batch_id", F.col("place").isNotNull().cast("int").alias("has_place"))
+
+
+def stream_state_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each micro-batch of a feed with a state of its own did. The lines arrive in two parts, then all again."""
+    folder = new_folder(spark, "state-metrics")
+    feed = Feed("state-1", f"{folder}/stream", rejects=f"{folder}/rejects", metrics=f"{folder}/metrics", dedup="audited-state")
+    before = spark.conf.get(incremental.STATE_STORE)
+    spark.conf.set(incremental.STATE_STORE, incremental.ROCKSDB)
+    try:
+        rides = fixtures.rides_events(spark, sf_dir)
+        for arrived in (*_arrivals(rides, STREAM_ARRIVALS), rides):
+            ride_sources.publish_rides(arrived, "text", path=f"{folder}/lines")
+            lines = ride_sources.read_lines_stream(spark, "text", path=f"{folder}/lines")
+            await_feed(start_feed(ride_sources.parse_ride_lines(lines), feed, f"{folder}/checkpoint", availableNow=True))
+    finally:
+        spark.conf.set(incremental.STATE_STORE, before)
+    return read_table(spark, feed.metrics, METRICS)
+
+
+def landed_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages landed field by field as they came, the faulty ones too, and read back as text."""
+    folder = new_folder(spark, "landed-text")
+    fixtures.ride_lines(spark, sf_dir).select("value").write.text(f"{folder}/lines")
+    fields = ride_sources.split_ride_lines(ride_sources.read_lines_stream(spark, "text", path=f"{folder}/lines"))
+    land_rides(fields, f"{folder}/bronze", f"{folder}/checkpoint", bounded=True).awaitTermination()
+    rows = spark.read.option("header", True).csv(f"{folder}/bronze")
+    return rows.select("trip_id", "start_lat", "start_lon", "end_lat", "end_lon", "start_time", "end_time", "distance", "extra")
+
+
+def silver_csv_permuted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver rides from one folder of headed CSV files whose columns stand in different orders."""
+    folder = new_folder(spark, "permuted")
+    rides = clean.clean_rides(fixtures.rides_events(spark, sf_dir))
+    orders = (SILVER.names, SILVER.names[::-1], [*SILVER.names[2:], "note", *SILVER.names[:2]])
+    for k, names in enumerate(orders):
+        part = rides.filter(F.hour("start_time") % len(orders) == k).withColumn("note", F.lit("x, y"))
+        part.select(*names).write.mode("append").option("header", True).csv(f"{folder}/silver")
+    return read_table(spark, f"{folder}/silver", SILVER, fmt="csv")
+
+
+_other_grids: dict[tuple[str, str], Star] = {}
+
+
+def _other_cell(lat: Column, lon: Column) -> Column:
+    return F.concat_ws("x", F.floor(lat * 100).cast("string"), F.floor(lon * 100).cast("string"))
+
+
+def _describe_other_cells(cells: DataFrame) -> DataFrame:
+    lat, lon = (F.split_part("geo_hash", F.lit("x"), F.lit(k)).cast("int") for k in (1, 2))
+    tens, ones = (
+        F.concat_ws("x", F.floor(lat / size).cast("string"), F.floor(lon / size).cast("string")) for size in (10, 100)
+    )
+    return cells.select("geo_hash", lat / 100, lon / 100, tens, ones).toDF(*DIM_GEOGRAPHY.names)
+
+
+def other_grid_star(spark: SparkSession, sf_dir: str) -> Star:
+    """The event rides' star on a grid of hundredths of a degree, read like any other star."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _other_grids:
+        paths = MartPaths(new_folder(spark, "other-grid"))
+        rides = fixtures.rides_events(spark, sf_dir)
+        merge_new(rides, 0, paths.feed("events", audit=False, dedup="union", cell_fn=_other_cell), persist=False)
+        refresh_mart(spark, paths, describe_cells=_describe_other_cells)
+        _other_grids[key] = load_star(spark, paths.gold)
+    return _other_grids[key]
+
+
+def top_routes_other_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report.top_routes(other_grid_star(spark, sf_dir))
+
+
+def pct_same_region_other_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report.pct_same_region_res6(other_grid_star(spark, sf_dir))
+
+
 DIRECT = (
     parse_lines, valid_rides, reject_reasons, ride_duration, silver_rides,
     geo_cells, cell_centroids, cell_parents,
@@ -506,6 +592,7 @@ DIRECT = (
     fact_two_runs, dim_date_two_runs, dim_geography_two_runs, star_overlapping_loads,
     sql_script, count_all_sql, export_counts,
     stream_silver, stream_metrics, stream_capped, stream_rejects, stream_replay_silver, stream_state_dedup, landed_rides,
+    stream_reject_text, stream_state_metrics, landed_text, silver_csv_permuted, top_routes_other_grid, pct_same_region_other_grid,
 )
 
 

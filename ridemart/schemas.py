@@ -26,7 +26,9 @@ SILVER = _struct(
 ORIGIN = _struct(source=STRING, batch_id=LONG)
 FEED = T.StructType(SILVER.fields + ORIGIN.fields)
 UNIFIED = T.StructType(FEED.fields + _struct(run_id=LONG).fields)
-REJECTS = T.StructType(RAW.fields + _struct(reject_reason=STRING).fields + ORIGIN.fields)
+# A ride's record as it came, and where it came from: what a person needs to repair a reject.
+RECORD = _struct(line=STRING, place=STRING)
+REJECTS = T.StructType(RAW.fields + _struct(reject_reason=STRING).fields + RECORD.fields + ORIGIN.fields)
 
 DIM_DATE = _struct(
     date_key=INT, full_date=DATE, day=INT, day_name=STRING, day_of_week=INT, is_weekend=INT,

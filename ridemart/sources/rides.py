@@ -1,6 +1,7 @@
 """Ride inputs: message lines, CSV folders, and newly arrived files."""
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ridemart.schemas import FILE_MANIFEST, RAW
 from ridemart.sources.tables import constant_rows, new_rows_only, read_ledger
@@ -23,11 +24,23 @@ def line_text(value: Column) -> Column:
     return value.cast("string")
 
 
-def parse_ride_lines(lines: DataFrame, column: str = "value") -> DataFrame:
+def place_of(lines: DataFrame) -> Column:
+    """Where a message came from: topic, partition and offset, or the file; NULL for other rows."""
+    if {"topic", "partition", "offset"} <= set(lines.columns):
+        return F.concat(F.col("topic"), F.lit("-"), F.col("partition").cast("string"), F.lit("@"), F.col("offset").cast("string"))
+    try:
+        lines.select("_metadata.file_path")
+    except AnalysisException:
+        return F.lit(None).cast("string")
+    return F.col("_metadata.file_path")
+
+
+def parse_ride_lines(lines: DataFrame, column: str = "value", keep_record: bool = False) -> DataFrame:
     """Typed raw rides from CSV lines, by position; batch or stream.
 
     A missing field or one that does not convert becomes NULL, never an error. Fields past the last
-    are ignored, an empty id is NULL, and blank lines are skipped.
+    are ignored, an empty id is NULL, and blank lines are skipped. With ``keep_record`` every ride carries its
+    ``line`` and ``place``, so that a reject can be repaired.
     """
     text = line_text(F.col(column))
     fields = F.split(F.col("_line"), ",")
@@ -35,10 +48,13 @@ def parse_ride_lines(lines: DataFrame, column: str = "value") -> DataFrame:
         F.get(fields, position).try_cast(field.dataType).alias(field.name)
         for position, field in enumerate(RAW.fields)
     ]
+    record, place = [], []
+    if keep_record:
+        record, place = [F.col("_line").alias("line"), F.col("_place").alias("place")], [place_of(lines).alias("_place")]
     return (
-        lines.select(text.alias("_line"))
+        lines.select(text.alias("_line"), *place)
         .filter(F.trim("_line") != "")
-        .select(*parsed)
+        .select(*parsed, *record)
         .withColumn("trip_id", F.nullif(F.col("trip_id"), F.lit("")))
     )
 
@@ -88,15 +104,24 @@ def read_ride_files(spark: SparkSession, *paths: str) -> DataFrame:
     return rows.select(*[F.col(field.name).try_cast(field.dataType).alias(field.name) for field in RAW.fields])
 
 
-def stream_ride_files(spark: SparkSession, path: str, max_files: int | None = 5) -> DataFrame:
+def stream_ride_files(
+    spark: SparkSession, path: str, max_files: int | None = 5, keep_record: bool = False,
+) -> DataFrame:
     """A growing folder of headed CSV files; ``max_files`` limits one trigger, None takes all.
 
-    A stream's files are read by position, in the order of ``RAW``; columns after its last are ignored.
+    A stream's files are read by position, in the order of ``RAW``; columns after its last are ignored. With
+    ``keep_record`` a row that does not fit carries its text as ``line``, another one its fields put together
+    again, and all their file as ``place``.
     """
-    reader = spark.readStream.schema(RAW).option("header", True)
+    schema = T.StructType([*RAW.fields, T.StructField("line", T.StringType())]) if keep_record else RAW
+    reader = spark.readStream.schema(schema).option("header", True)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.csv(path)
+    if not keep_record:
+        return reader.csv(path)
+    rows = reader.option("columnNameOfCorruptRecord", "line").csv(path)
+    whole = F.to_csv(F.struct(*RAW.names), {"timestampNTZFormat": "yyyy-MM-dd HH:mm:ss[.SSSSSS]"})
+    return rows.select(*RAW.names, F.coalesce("line", whole).alias("line"), F.col("_metadata.file_path").alias("place"))
 
 
 def new_files_only(spark: SparkSession, path: str, manifest: str) -> DataFrame:

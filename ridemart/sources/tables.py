@@ -1,7 +1,9 @@
 """Stored tables: typed reads, key ledgers, seeds, and replay-safe partition writes."""
 
+import csv
 from collections.abc import Iterable, Iterator, Sequence
 from contextlib import contextmanager
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql import types as T
@@ -86,13 +88,42 @@ def constant_rows(spark: SparkSession, rows: Sequence[Sequence[object]], schema:
 def read_table(
     spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
 ) -> DataFrame | None:
-    """The table at ``path`` with a declared schema, or None when nothing is there."""
+    """The table at ``path`` with a declared schema, or None when nothing is there. Headed CSV goes by the headers' names."""
     if not path_exists(spark, path):
         return None
-    reader = spark.read.schema(schema)
     if fmt == "csv":
-        reader = reader.option("header", True)
-    return reader.format(fmt).load(path)
+        return read_headed_csv(spark, path, schema)
+    return spark.read.schema(schema).format(fmt).load(path)
+
+
+def csv_headers(spark: SparkSession, *paths: str) -> dict[str, list[str]]:
+    """The files of each distinct first line. One pass over the lines, without parsing them."""
+    lines = spark.read.text(list(paths)).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("at"), "value",
+    )
+    firsts = lines.filter("start = 0").groupBy("file").agg(F.min_by("value", "at").alias("header"))
+    grouped = firsts.groupBy("header").agg(F.array_sort(F.collect_list("file")).alias("files"))
+    return {row["header"]: row["files"] for row in grouped.collect()}
+
+
+def read_headed_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Headed CSV files with the declared types, each file by the names in its own header.
+
+    The files of a folder may have their columns in different orders, and others besides. A column that a header
+    lacks is an error, and what does not convert becomes NULL. Files are read in one go per distinct header.
+    """
+    parts = []
+    for header, files in sorted(csv_headers(spark, path).items()):
+        names = next(csv.reader([header.lstrip("\ufeff")]))
+        at = {name.strip().lower(): f"_c{k}" for k, name in reversed(list(enumerate(names)))}
+        missing = [name for name in schema.names if name.lower() not in at]
+        if missing:
+            raise ValueError(f"no column {', '.join(missing)} in the header of {', '.join(files[:3])}")
+        text = T.StructType([T.StructField(f"_c{k}", T.StringType()) for k in range(len(names))])
+        rows = spark.read.schema(text).option("header", True).csv(files)
+        parts.append(rows.select(*[F.col(at[field.name.lower()]).try_cast(field.dataType).alias(field.name) for field in schema]))
+    return reduce(DataFrame.unionByName, parts) if parts else constant_rows(spark, [], schema)
 
 
 def read_star_table(spark: SparkSession, gold: str, name: str) -> DataFrame:

@@ -4,10 +4,12 @@ import re
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
+from threading import Lock
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
+from pyspark.sql.streaming.listener import StreamingQueryProgress
 
 from ridemart.functions.geo import geo_cell
 from ridemart.operators.clean import (
@@ -15,12 +17,16 @@ from ridemart.operators.clean import (
 )
 from ridemart.operators.incremental import KeySize, dedup_stream, key_bytes
 from ridemart.operators.ledger import History, IdLedger, note_open, open_batches, write_unseen
-from ridemart.schemas import FEED, METRICS, ORIGIN, UNIFIED
+from ridemart.schemas import FEED, METRICS, ORIGIN, RECORD, UNIFIED
 from ridemart.sources.tables import (
     batch_folders, constant_rows, merged_batches, path_exists, read_partitions, read_table, replace_batch,
 )
 
 
+# The valid rides of a batch before the state, as its query reports them.
+VALID_IN = "valid_rides_in"
+
+
 @dataclass(frozen=True)
 class Feed:
     """Where one feed writes, and where else its ids may be stored already.
@@ -33,7 +39,9 @@ class Feed:
     - "stored": each batch is checked against everything the feeds have written.
     - "state": the streaming query's own state; a batch then never looks at the history, and ids that
       another feed has written are left to the union. Of several rides with one id the state keeps the
-      one it sees first. State takes valid rides only, so rejects and metrics need another choice.
+      one it sees first. State takes valid rides only, so rejects and metrics need another choice:
+    - "audited-state": the same, and invalid rides go past the state to the rejects. What the state drops is only
+      known to the query's progress, so metrics are completed when that is reported, see ``await_feed``.
     - "union": nobody before the union; the feed is written without any shuffle. For bulk loads.
     """
 
@@ -50,12 +58,12 @@ class Feed:
     def __post_init__(self) -> None:
         if not re.fullmatch(r"[\w.-]+", self.source):
             raise ValueError(f"a source name may hold letters, digits, '_', '.' and '-', not {self.source!r}")
-        if self.dedup not in ("stored", "state", "union"):
-            raise ValueError(f"dedup must be 'stored', 'state' or 'union', not {self.dedup!r}")
+        if self.dedup not in ("stored", "state", "audited-state", "union"):
+            raise ValueError(f"dedup must be 'stored', 'state', 'audited-state' or 'union', not {self.dedup!r}")
         if bool(self.unified) != bool(self.progress):
             raise ValueError("a unified table goes with its progress ledger")
         if self.dedup == "state" and (self.rejects or self.metrics):
-            raise ValueError("state keeps no rejects and no metrics")
+            raise ValueError("state alone keeps no rejects and no metrics; use 'audited-state'")
 
 
 def stored_trip_ids(spark: SparkSession, batch_id: int, feed: Feed) -> DataFrame | None:
@@ -118,8 +126,9 @@ def merge_new(rides: DataFrame, batch_id: int, feed: Feed, persist: bool = True)
             return
         if feed.rejects and (size is None or size["rows_in"] > size["valid"]):
             _, rejects = split_valid_rejects(rides)
-            replace_batch(rejects, feed.rejects, feed.source, batch_id)
-        # State has removed repeated ids already, and the union will.
+            missing = {name: F.lit(None).cast("string") for name in RECORD.names if name not in rejects.columns}
+            replace_batch(rejects.withColumns(missing), feed.rejects, feed.source, batch_id)
+        # State has removed repeated ids already, or the union will.
         clean = clean_first_rides if feed.dedup == "stored" else clean_rides
         if feed.progress:
             # Noted before it is written: a batch that is noted and not there is skipped, the other way round it is missed.
@@ -147,10 +156,66 @@ def _measure(rides: DataFrame):
 
 def _write_metrics(rides: DataFrame, size, written: int, batch_id: int, feed: Feed) -> None:
     rejected, duplicates = size["rows_in"] - size["valid"], size["valid"] - written
-    columns = [field for field in METRICS if field.name not in ORIGIN.names]
     row = (size["rows_in"], rejected, duplicates, written)
-    metrics = constant_rows(rides.sparkSession, [row], T.StructType(columns))
-    replace_batch(metrics, feed.metrics, feed.source, batch_id)
+    if feed.dedup == "audited-state":
+        row = (None, rejected, None, written)  # what the state dropped is not known yet
+    _replace_metrics(rides.sparkSession, row, batch_id, feed)
+
+
+def _replace_metrics(spark: SparkSession, row: tuple, batch_id: int, feed: Feed) -> None:
+    columns = [field for field in METRICS if field.name not in ORIGIN.names]
+    replace_batch(constant_rows(spark, [row], T.StructType(columns)), feed.metrics, feed.source, batch_id)
+
+
+class StateMetrics(StreamingQueryListener):
+    """Completes the metrics of an "audited-state" feed by what its query reports of each batch.
+
+    The batch's sink has noted what it rejected and wrote; the report has the valid rides that went into the
+    state. If the query dies between the two, rows_in and duplicates of that batch stay NULL.
+    """
+
+    def __init__(self, spark: SparkSession, feed: Feed) -> None:
+        self.session, self.feed, self.lock, self.done = spark, feed, Lock(), set()
+
+    def complete(self, progress: StreamingQueryProgress) -> None:
+        observed = progress.observedMetrics.get(VALID_IN)
+        with self.lock:
+            if observed is None or progress.batchId in self.done:
+                return
+            self.done.add(progress.batchId)
+            stored = read_table(self.session, self.feed.metrics, METRICS)
+            own = (F.col("source") == self.feed.source) & (F.col("batch_id") == progress.batchId)
+            noted = stored.filter(own).first() if stored is not None else None
+            rejected, written = (noted.rejected, noted.written) if noted else (0, 0)
+            if observed.valid or noted:
+                row = (observed.valid + rejected, rejected, observed.valid - written, written)
+                _replace_metrics(self.session, row, progress.batchId, self.feed)
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        if event.progress.name == self.feed.source:
+            self.complete(event.progress)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
+_state_metrics: dict[str, StateMetrics] = {}
+
+
+def await_feed(query: StreamingQuery) -> None:
+    """Wait for the end of a feed's query, and for the metrics of its last batches."""
+    query.awaitTermination()
+    listener = _state_metrics.pop(str(query.runId), None)
+    if listener is not None:
+        listener.session.streams.removeListener(listener)
+        for progress in query.recentProgress:
+            listener.complete(progress)
 
 
 def micro_batch_sink(feed: Feed, persist: bool = True) -> Callable[[DataFrame, int], None]:
@@ -162,14 +227,24 @@ def start_feed(
     rides: DataFrame, feed: Feed, checkpoint: str, persist: bool = True, **trigger: object,
 ) -> StreamingQuery:
     """Run a stream of raw rides into Silver; ``availableNow=True`` for a bounded run."""
+    spark, listener = rides.sparkSession, None
     if feed.dedup == "state":
         rides = dedup_stream(rides.filter(is_valid()), ["trip_id"])
+    elif feed.dedup == "audited-state":
+        valid = rides.filter(is_valid()).observe(VALID_IN, F.count(F.lit(1)).alias("valid"))
+        rides = dedup_stream(valid, ["trip_id"]).unionByName(rides.filter(~F.coalesce(is_valid(), F.lit(False))))
+        if feed.metrics:
+            listener = StateMetrics(spark, feed)
+            spark.streams.addListener(listener)
     writer = (
         rides.writeStream.queryName(feed.source)
         .foreachBatch(micro_batch_sink(feed, persist))
         .option("checkpointLocation", checkpoint)
     )
-    return (writer.trigger(**trigger) if trigger else writer).start()
+    query = (writer.trigger(**trigger) if trigger else writer).start()
+    if listener is not None:
+        _state_metrics[str(query.runId)] = listener
+    return query
 
 
 def land_rides(
