@@ -248,6 +248,14 @@ ORACLE: dict[str, str] = {
             _first('kept', 'both_feeds', 'start_time, trip_duration_sec, source'))}
         SELECT {SILVER_COLUMNS}, source FROM kept""",
     "new_files": f"{_with(RIDES_EVENTS)} SELECT {RAW_COLUMNS} FROM rides_events WHERE {_since}",
+    "new_content": f"{_with(RIDES_EVENTS)} SELECT {RAW_COLUMNS} FROM rides_events WHERE {_since}",
+    "price_ranges": """
+        WITH ranges AS (
+          SELECT o_orderkey AS range_key, floor(o_totalprice)::double AS low,
+                 floor(o_totalprice)::double + CASE WHEN o_orderkey % 97 = 0 THEN 5000.0::double
+                                                    ELSE (o_orderkey % 40 + 1) / 2.0::double END AS high FROM orders)
+        SELECT range_key, count(*)::bigint AS lines, min(l_extendedprice) AS least, max(l_extendedprice) AS most
+        FROM ranges JOIN lineitem ON l_extendedprice >= low AND l_extendedprice < high GROUP BY range_key""",
     "fact_trip": f"{ORDERS_FACT} SELECT * FROM fact",
     "dim_date": f"""{ORDERS_FACT}
         SELECT {DATE_ATTRIBUTES} FROM (SELECT DISTINCT start_time::date AS d FROM fact)""",

@@ -135,7 +135,7 @@ def wide(star: Star) -> DataFrame:
     """The fact with every dimension joined, geography twice, for free-form questions.
 
     Dates join on the month as well, so that a filter on a date attribute prunes the fact's partitions.
-    Prefer ``slice_fact`` where sums are wanted: it sums before it joins.
+    Prefer ``slice_fact`` or ``wide_sums`` where sums are wanted: they sum before they join.
     """
     rows = star.fact.join(star.date, ["date_key", "month_key"], "left")
     rows = rows.join(star.time, "time_key", "left").join(star.bucket, "duration_bucket_key", "left")
@@ -144,6 +144,26 @@ def wide(star: Star) -> DataFrame:
     return rows
 
 
+def wide_sums(star: Star, *attributes: str, fact: DataFrame | None = None) -> DataFrame:
+    """A rollup with any attributes of the ``wide`` star: for free-form questions, of both ends compared too.
+
+    The fact is summed by just the foreign keys that the named attributes need; only the sums are joined.
+    """
+    dims = {
+        "date_key": star.date, "time_key": star.time, "duration_bucket_key": star.bucket,
+        **{f"{end}_geo_key": geography_role(star, end) for end in ENDS},
+    }
+    used = {key: [name for name in attributes if name in dim.columns] for key, dim in dims.items()}
+    unknown = [name for name in attributes if not any(name in names for names in used.values())]
+    if unknown:
+        raise ValueError(f"unknown attributes: {', '.join(unknown)}")
+    used = {key: names for key, names in used.items() if names}
+    rows = rollup(star.fact if fact is None else fact, *used)
+    for key, names in used.items():
+        rows = rows.join(dims[key].select(key, *[name for name in names if name != key]), key, "left")
+    return rows
+
+
 _COMPARE = {
     "=": lambda column, value: column == value,
     "<>": lambda column, value: column != value,
@@ -179,19 +199,7 @@ def slice_fact(star: Star, conditions: Conditions, *by: str) -> DataFrame:
         fact = fact.join(days, ["date_key", "month_key"], "left_semi")
     rest = {name: wanted for name, wanted in conditions.items() if name not in dated}
 
-    needed = dict.fromkeys([*rest, *by])
-    dims = {
-        "date_key": star.date, "time_key": star.time, "duration_bucket_key": star.bucket,
-        **{f"{end}_geo_key": geography_role(star, end) for end in ENDS},
-    }
-    used = {key: [name for name in needed if name in dim.columns] for key, dim in dims.items()}
-    unknown = [name for name in needed if not any(name in names for names in used.values())]
-    if unknown:
-        raise ValueError(f"unknown attributes: {', '.join(unknown)}")
-    used = {key: names for key, names in used.items() if names}
-    rows = rollup(fact, *used)
-    for key, names in used.items():
-        rows = rows.join(dims[key].select(key, *[name for name in names if name != key]), key, "left")
+    rows = wide_sums(star, *dict.fromkeys([*rest, *by]), fact=fact)
     return slice_rows(rows, rest)
 
 

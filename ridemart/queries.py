@@ -8,6 +8,7 @@ from ridemart import fixtures
 from ridemart.functions import geo, ride
 from ridemart.functions.geo import DISTRICT_LEVEL, REGION_LEVEL
 from ridemart.operators import clean, incremental, serve, star as star_ops
+from ridemart.operators.ranges import join_ranges
 from ridemart.operators.star import Star, load_star
 from ridemart.plans import gold, report, silver
 from ridemart.plans.mart import MartPaths, refresh_mart
@@ -264,8 +265,9 @@ def slice_places(star: Star) -> DataFrame:
 
 def slice_wide(star: Star) -> DataFrame:
     """A free-form question: rides that stay in their district, by year."""
-    rows = star_ops.wide(star).filter(F.col("start_district") == F.col("end_district"))
-    return rows.groupBy("year").agg(F.sum("trip_count").alias(report.TRIPS))
+    rows = star_ops.wide_sums(star, "start_district", "end_district", "year")
+    rows = rows.filter(F.col("start_district") == F.col("end_district"))
+    return rows.groupBy("year").agg(star_ops.total_trips().alias(report.TRIPS))
 
 
 STORED_QUESTIONS = {
@@ -584,6 +586,32 @@ def pct_same_region_other_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.pct_same_region_res6(other_grid_star(spark, sf_dir))
 
 
+def new_content(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rides from files that hold something new: a copy under another name of what was taken before does not count."""
+    folder = new_folder(spark, "new-content")
+    files, ledger = f"{folder}/in", f"{folder}/ledger"
+    rides = fixtures.rides_events(spark, sf_dir)
+    _write_ride_files(rides.filter(_before(STREAM_FEED_FROM)).coalesce(1), files)
+    append_ledger(ride_sources.new_content_only(spark, files, ledger), ledger)
+    _write_ride_files(rides.filter(_before(STREAM_FEED_FROM)).coalesce(1), files)
+    for _ in range(2):
+        _write_ride_files(rides.filter(_since(STREAM_FEED_FROM)).coalesce(1), files)
+    paths = [row["path"] for row in ride_sources.new_content_only(spark, files, ledger).collect()]
+    return ride_sources.read_ride_files(spark, *paths)
+
+
+def price_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines by the price ranges that hold them: as many overlapping ranges as there are orders."""
+    low = F.floor("o_totalprice").cast("double")
+    width = F.when(F.col("o_orderkey") % 97 == 0, 5000.0).otherwise((F.col("o_orderkey") % 40 + 1) / 2)
+    ranges = fixtures.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("range_key"), low.alias("low"), (low + width).alias("high"))
+    lines = fixtures.table(spark, sf_dir, "lineitem").select(F.col("l_extendedprice").alias("price"), "l_quantity")
+    joined = join_ranges(lines, ranges, "price", "low", "high")
+    return joined.groupBy("range_key").agg(
+        F.count(F.lit(1)).alias("lines"), F.min("price").alias("least"), F.max("price").alias("most"),
+    )
+
+
 DIRECT = (
     parse_lines, valid_rides, reject_reasons, ride_duration, silver_rides,
     geo_cells, cell_centroids, cell_parents,
@@ -593,6 +621,7 @@ DIRECT = (
     sql_script, count_all_sql, export_counts,
     stream_silver, stream_metrics, stream_capped, stream_rejects, stream_replay_silver, stream_state_dedup, landed_rides,
     stream_reject_text, stream_state_metrics, landed_text, silver_csv_permuted, top_routes_other_grid, pct_same_region_other_grid,
+    new_content, price_ranges,
 )
 
 

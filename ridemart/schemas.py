@@ -52,6 +52,7 @@ FEED_PROGRESS = T.StructType(ORIGIN.fields + _struct(run_id=LONG).fields)
 RUN_PROGRESS = _struct(run_id=LONG)
 ID_LEDGER = T.StructType(_struct(trip_id=STRING).fields + ORIGIN.fields)
 FILE_MANIFEST = _struct(path=STRING)
+FILE_LEDGER = _struct(path=STRING, digest=STRING)
 METRICS = T.StructType(
     _struct(rows_in=LONG, rejected=LONG, duplicates=LONG, written=LONG).fields + ORIGIN.fields
 )

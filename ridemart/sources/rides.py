@@ -3,7 +3,7 @@
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from ridemart.schemas import FILE_MANIFEST, RAW
+from ridemart.schemas import FILE_LEDGER, FILE_MANIFEST, RAW
 from ridemart.sources.tables import constant_rows, new_rows_only, read_ledger
 
 
@@ -133,3 +133,37 @@ def new_files_only(spark: SparkSession, path: str, manifest: str) -> DataFrame:
     listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
     names = listed.select(F.col("path"))
     return new_rows_only(names, read_ledger(spark, manifest, FILE_MANIFEST), ["path"])
+
+
+def file_digests(spark: SparkSession, *paths: str) -> DataFrame:
+    """What each text file holds, as path and digest: equal for files of the same lines, in whatever order.
+
+    Sums over the lines, so a file of any size is read in parts and no part of it moves. 128 bits of sums and
+    the numbers of lines and bytes make an accidental match as good as impossible.
+    """
+    lines = spark.read.text(list(paths)).select(F.col("_metadata.file_path").alias("path"), "value")
+
+    def total(seed: int) -> Column:
+        return F.sum(F.xxhash64(F.lit(seed), F.col("value")).cast("decimal(20,0)"))
+
+    sums = lines.groupBy("path").agg(
+        F.count(F.lit(1)).alias("lines"), F.sum(F.octet_length("value")).alias("bytes"), total(1).alias("one"), total(2).alias("two"),
+    )
+    parts = [F.col(name).cast("string") for name in ("lines", "bytes", "one", "two")]
+    return sums.select("path", F.sha2(F.concat_ws("/", *parts), 256).alias("digest"))
+
+
+def new_content_only(spark: SparkSession, path: str, ledger: str) -> DataFrame:
+    """Files below ``path`` that hold something new, as path and digest; for ``append_ledger`` once they are taken.
+
+    A file whose path the ledger has is not opened. One that holds the same lines as a file of the ledger, a
+    renamed or repeated copy, is left out; of several new files with the same lines the first by name stays.
+    The names of unknown files reach the driver, as Spark's reader needs them there.
+    """
+    known = read_ledger(spark, ledger, FILE_LEDGER)
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path")
+    unknown = [row["path"] for row in new_rows_only(listed, known, ["path"]).collect()]
+    if not unknown:
+        return constant_rows(spark, [], FILE_LEDGER)
+    fresh = new_rows_only(file_digests(spark, *unknown), known, ["digest"])
+    return fresh.groupBy("digest").agg(F.min("path").alias("path")).select(*FILE_LEDGER.names)
