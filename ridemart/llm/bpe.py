@@ -10,18 +10,26 @@ import base64
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, SparkSession, functions as F, types as T
+import pyarrow.compute  # noqa: F401
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.functions import arrow_udf
 
+from ridemart.llm.common import give_back
+
 # Ids must fit 16 bits, as two of them make a key. It also bounds what is broadcast: a few MB.
 MAX_TOKENS = 1 << 16
 NO_RANK = np.int32(2**31 - 1)
-# Cells of one matrix, and distinct pieces whose ids a task remembers (some 200 bytes each).
+# Cells of one matrix, and distinct pieces whose ids a task remembers (some 200 bytes each) and their letters.
 MATRIX_CELLS = 1 << 20
-REMEMBERED_PIECES = 300_000
+REMEMBERED_PIECES, REMEMBERED_LETTERS = 150_000, 8 << 20
+# Bytes of the texts that are worked on together and handed on as one batch.
+GROUP_BYTES = 1 << 20
+# A piece from this length on is a row of its own, whose rounds touch one block of so many cells.
+LONG_PIECE, LONG_BLOCK = 1 << 13, 1 << 10
 
 
 @dataclass(frozen=True)
@@ -53,6 +61,22 @@ class Vocabulary:
         return out.reshape(key.shape)
 
 
+    def pair_rank(self, left: int, right: int) -> int:
+        """``pair_ranks`` of one pair."""
+        key = left << 16 | right
+        slot = (key * 0x9E3779B97F4A7C15 % 2**64) >> (64 - len(self.keys).bit_length() + 1)
+        while (at := self.keys[slot]) != -1:
+            if at == key:
+                return int(self.ranks[slot])
+            slot = (slot + 1) % len(self.keys)
+        return int(NO_RANK)
+
+
+    def parts(self) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
+        """What it is made of: this can be broadcast to workers that do not have the class."""
+        return self.tokens, self.byte_ids, self.keys, self.ranks
+
+
 def _slots(keys: np.ndarray, size: int) -> np.ndarray:
     mixed = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     return (mixed >> np.uint64(64 - int(size).bit_length() + 1)).astype(np.int64)
@@ -134,6 +158,59 @@ def merge_rows(vocabulary: Vocabulary, pieces: list[bytes]) -> list[np.ndarray]:
         ranks[at, place - 1] = vocabulary.pair_ranks(ids[at, place - 1], ids[at, place])
 
 
+def merge_long(vocabulary: Vocabulary, piece: bytes) -> np.ndarray:
+    """Ids of one long piece: the same rounds, the leftmost pair of minimum rank at a time.
+
+    The row is kept in blocks with the smallest rank of each, so a round looks at the blocks' minima and moves the
+    cells of one block, not of the whole row.
+    """
+    start = vocabulary.byte_ids[np.frombuffer(piece, np.uint8)]
+    ranks = np.append(vocabulary.pair_ranks(start[:-1], start[1:]), NO_RANK)
+    ids_of = [start[k:k + LONG_BLOCK].copy() for k in range(0, len(start), LONG_BLOCK)]
+    ranks_of = [ranks[k:k + LONG_BLOCK].copy() for k in range(0, len(start), LONG_BLOCK)]
+    sizes = [len(ids) for ids in ids_of]
+    least = np.array([block.min() for block in ranks_of])
+    after, before = list(range(1, len(sizes) + 1)), list(range(-1, len(sizes) - 1))
+
+    def drop(b: int, k: int) -> None:
+        """Take a cell out of a block; an empty block leaves the chain."""
+        size = sizes[b]
+        ids_of[b][k:size - 1] = ids_of[b][k + 1:size]
+        ranks_of[b][k:size - 1] = ranks_of[b][k + 1:size]
+        ranks_of[b][size - 1] = NO_RANK
+        sizes[b] = size - 1
+        if size == 1:
+            if before[b] >= 0:
+                after[before[b]] = after[b]
+            if after[b] < len(sizes):
+                before[after[b]] = before[b]
+
+    def rank(b: int, k: int) -> int:
+        """Rank of the pair that begins at a cell."""
+        if k + 1 < sizes[b]:
+            return vocabulary.pair_rank(int(ids_of[b][k]), int(ids_of[b][k + 1]))
+        following = after[b]
+        if following == len(sizes):
+            return int(NO_RANK)
+        return vocabulary.pair_rank(int(ids_of[b][k]), int(ids_of[following][0]))
+
+    while True:
+        b = int(least.argmin())
+        best = least[b]
+        if best == NO_RANK:
+            return np.concatenate([ids[:size] for ids, size in zip(ids_of, sizes)])
+        k = int(ranks_of[b].argmin())
+        gone = b if k + 1 < sizes[b] else after[b]
+        drop(gone, k + 1 if gone == b else 0)
+        ids_of[b][k] = best
+        ranks_of[b][k] = rank(b, k)
+        left, at = (b, k - 1) if k else (before[b], sizes[before[b]] - 1 if before[b] >= 0 else 0)
+        if left >= 0:
+            ranks_of[left][at] = rank(left, at)
+        for touched in {b, gone, left} - {-1}:
+            least[touched] = ranks_of[touched].min()
+
+
 def encode_pieces(vocabulary: Vocabulary, pieces: list[bytes]) -> list[np.ndarray]:
     """Ids of each piece: buckets of equal or nearly equal length, cut into matrices of bounded size."""
     whole = vocabulary.whole
@@ -141,10 +218,12 @@ def encode_pieces(vocabulary: Vocabulary, pieces: list[bytes]) -> list[np.ndarra
     order = []
     for k, piece in enumerate(pieces):
         rank = whole.get(piece)
-        if rank is None:
-            order.append(k)
-        else:
+        if rank is not None:
             out[k] = np.array([rank], np.int32)
+        elif len(piece) >= LONG_PIECE:
+            out[k] = merge_long(vocabulary, piece)
+        else:
+            order.append(k)
     order.sort(key=lambda k: len(pieces[k]))
     first = 0
     while first < len(order):
@@ -181,27 +260,29 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.numbers = _Pieces()
+        self.numbers, self.letters = _Pieces(), 0
         self.starts, self.sizes, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
 
     def _learn(self, known: int) -> None:
         if len(self.numbers) == known:
             return
-        new = [piece.encode() for piece in list(self.numbers)[known:]]
+        new = [piece.encode() for piece in islice(self.numbers, known, None)]
+        self.letters += sum(map(len, new))
         ids = encode_pieces(self.vocabulary, new)
         sizes = np.array([len(x) for x in ids], np.int64)
         self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(sizes) - sizes])
         self.sizes, self.ids = np.concatenate([self.sizes, sizes]), np.concatenate([self.ids, *ids])
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.numbers) > REMEMBERED_PIECES:
-            self._forget()
         known, numbers = len(self.numbers), []
         for text in texts:
             pieces = self.cut(text)
             numbers.append(np.fromiter(map(self.numbers.__getitem__, pieces), np.int32, len(pieces)))
         self._learn(known)
-        return [self._gather(number) for number in numbers]
+        out = [self._gather(number) for number in numbers]
+        if len(self.numbers) > REMEMBERED_PIECES or self.letters > REMEMBERED_LETTERS:
+            self._forget()
+        return out
 
     def _gather(self, numbers: np.ndarray) -> np.ndarray:
         sizes = self.sizes[numbers]
@@ -210,26 +291,28 @@ class Encoder:
         return self.ids[np.arange(total) + np.repeat(self.starts[numbers] - ends + sizes, sizes)]
 
 
-def _some(texts: pa.Array, size: int = 2 << 20) -> Iterator[list[str]]:
-    """The texts of a batch in groups of bounded size."""
-    group, held = [], 0
-    for value in texts:
-        text = value.as_py() or ""
-        group.append(text)
-        held += len(text)
-        if held >= size:
-            yield group
-            group, held = [], 0
-    if group:
-        yield group
+def _groups(texts: pa.Array, size: int = GROUP_BYTES) -> Iterator[tuple[int, int]]:
+    """Runs of rows of a batch whose texts have ``size`` bytes together, or a single row."""
+    ends = np.cumsum(pa.compute.fill_null(pa.compute.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    first = 0
+    while first < len(ends):
+        before = int(ends[first - 1]) if first else 0
+        last = max(first + 1, int(np.searchsorted(ends, before + size, "right")))
+        yield first, last
+        first = last
 
 
-def _encode_batch(encoder: Encoder, batch: pa.Array) -> pa.ListArray:
-    ids = [row for texts in _some(batch) for row in encoder.encode(texts)]
+def _encode_group(encoder: Encoder, texts: pa.Array) -> pa.ListArray:
+    ids = encoder.encode([value.as_py() or "" for value in texts])
     ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
     return pa.ListArray.from_arrays(ends, np.concatenate([np.zeros(0, np.int32), *ids]))
 
 
+def _encode_batch(encoder: Encoder, batch: pa.Array) -> pa.ListArray:
+    groups = [_encode_group(encoder, batch.slice(first, last - first)) for first, last in _groups(batch)]
+    return pa.concat_arrays(groups) if groups else pa.array([], pa.list_(pa.int32()))
+
+
 def _decode_batch(tokens: list[bytes], batch: pa.ListArray) -> pa.Array:
     token, values = tokens.__getitem__, batch.values.to_numpy()
     if len(values) and values.min() < 0:
@@ -244,11 +327,11 @@ def encode(spark: SparkSession, text: Column, vocabulary: Vocabulary, pattern: s
     NULL and empty texts give an empty array. Works row by row: repeated rows, other columns and empty
     tables need no rule. The vocabulary is broadcast; its size is bounded by MAX_TOKENS.
     """
-    shared = spark.sparkContext.broadcast(vocabulary)
+    shared = spark.sparkContext.broadcast(vocabulary.parts())
 
     @arrow_udf(T.ArrayType(T.IntegerType()))
     def encode_texts(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encoder = Encoder(shared.value, pattern)
+        encoder = Encoder(Vocabulary(*shared.value), pattern)
         for batch in batches:
             yield _encode_batch(encoder, batch)
 
@@ -269,13 +352,45 @@ def decode(spark: SparkSession, ids: Column, vocabulary: Vocabulary) -> Column:
 
 def encode_and_decode(spark: SparkSession, text: Column, vocabulary: Vocabulary, pattern: str) -> Column:
     """Struct of ids and of the bytes that these ids give, by ``encode`` and ``decode`` in one pass of one task."""
-    shared = spark.sparkContext.broadcast(vocabulary)
+    shared = spark.sparkContext.broadcast(vocabulary.parts())
 
     @arrow_udf(T.StructType.fromDDL("ids array<int>, decoded binary"))
     def there_and_back(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encoder = Encoder(shared.value, pattern)
+        encoder = Encoder(Vocabulary(*shared.value), pattern)
         for batch in batches:
             ids = _encode_batch(encoder, batch)
-            yield pa.StructArray.from_arrays([ids, _decode_batch(shared.value.tokens, ids)], ["ids", "decoded"])
+            yield pa.StructArray.from_arrays([ids, _decode_batch(encoder.vocabulary.tokens, ids)], ["ids", "decoded"])
 
     return there_and_back(F.coalesce(text.cast("string"), F.lit("")))
+
+
+def encode_rows(
+    docs: DataFrame, vocabulary: Vocabulary, pattern: str, text_col: str = "text",
+) -> DataFrame:
+    """The other columns of ``docs`` as a struct ``row``, the token ids of the text, and the bytes that these ids give.
+
+    The rules of ``encode`` and ``decode``, in one pass of one task. A task holds some texts at a time and hands
+    them on before it takes the next ones, so its memory does not grow with the batches that it is given. What
+    other columns are called does not matter.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(vocabulary.parts())
+    # The text travels once, beside the other columns of its row.
+    others = [F.col(name) for name in docs.columns if name != text_col] or [F.lit(None).cast("int").alias("none")]
+    rows = docs.select(F.struct(*others).alias("row"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+
+    def there_and_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
+        encoder = Encoder(Vocabulary(*shared.value), pattern)
+        for batch in batches:
+            for first, last in _groups(batch.column(1)):
+                part = batch.slice(first, last - first)
+                ids = _encode_group(encoder, part.column(1))
+                decoded = _decode_batch(encoder.vocabulary.tokens, ids)
+                yield pa.RecordBatch.from_arrays([part.column(0), ids, decoded], ["row", "ids", "decoded"])
+        del encoder
+        give_back()
+
+    return rows.mapInArrow(there_and_back, T.StructType([
+        T.StructField("row", rows.schema["row"].dataType), T.StructField("ids", T.ArrayType(T.IntegerType())),
+        T.StructField("decoded", T.BinaryType()),
+    ]))

@@ -1,18 +1,21 @@
 """Small helpers that several operators share."""
 
+import ctypes
+import gc
+import pickle
 import zlib
 from collections.abc import Iterable
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ridemart.session import new_folder, shared_folder
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-# Code points besides A-Z that lower() may change.
-_OTHER_CAPITALS = r"[\p{Lu}\p{Lt}\p{Nl}\p{So}&&[^A-Z]]"
+# Code points besides A-Z that lower() may change. Capitals newer than the JVM's tables are unassigned to it.
+_OTHER_CAPITALS = r"[\p{Lu}\p{Lt}\p{Nl}\p{So}\p{Cn}&&[^A-Z]]"
 
 
 def whole_text(name: str) -> Column:
@@ -102,8 +105,22 @@ _BASE = 0x9E3779B97F4A7C15 | 3
 _SEGMENT = 1 << 18
 
 
-@lru_cache(maxsize=1)
-def _hash_tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+class _Once:
+    """Remembers what a function gives. Travels to a worker empty, and without the function's module."""
+
+    def __init__(self, make) -> None:
+        self.make, self.made = make, None
+
+    def __call__(self):
+        if self.made is None:
+            self.made = self.make()
+        return self.made
+
+    def __reduce__(self):
+        return _Once, (self.make,)
+
+
+def _make_hash_tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     values = np.random.default_rng(20240229).integers(1, 2**63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
     powers = np.full(_SEGMENT + 1, _BASE, np.uint64)
     inverse = np.full(_SEGMENT + 1, pow(_BASE, -1, 2**64), np.uint64)
@@ -111,6 +128,9 @@ def _hash_tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return values, np.cumprod(powers, dtype=np.uint64), np.cumprod(inverse, dtype=np.uint64)
 
 
+_hash_tables = _Once(_make_hash_tables)
+
+
 def mix(values: np.ndarray) -> np.ndarray:
     """Spread 64-bit values so that every bit of the input moves every bit of the output."""
     values = (values ^ (values >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -161,5 +181,27 @@ def _long_hash(word: np.ndarray) -> np.uint64:
     return np.uint64(total)
 
 
+def sent(spark: SparkSession, value: object) -> Broadcast:
+    """A broadcast of a value whose class the workers may not have installed; ``received`` gives the value."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+def received(shared: Broadcast) -> object:
+    return pickle.loads(shared.value)
+
+
+def give_back() -> None:
+    """Return what Python, Arrow and the C library hold of freed memory to the system.
+
+    A worker is used again by later stages, so what an earlier task needed would stay with it.
+    """
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass  # another C library: nothing to return
+
+
 def seeded(seed: int) -> np.random.Generator:
     return np.random.default_rng(seed)

@@ -373,6 +373,5 @@ def drop_leaks(
 ) -> DataFrame:
     """The documents that hold no benchmark item, with all their columns. Rows without an id stay."""
     leaks = stored(find_leaks(docs, benchmark, id_col, text_col, **options).select(id_col).distinct(), "leaks")
-    leaks = leaks.select(F.col(id_col).alias("_leak"))
     small = leaks.count() <= broadcast_rows
-    return docs.join(F.broadcast(leaks) if small else leaks, docs[id_col] == F.col("_leak"), "left_anti")
+    return docs.join(F.broadcast(leaks) if small else leaks, id_col, "left_anti").select(*docs.columns)

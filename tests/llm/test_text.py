@@ -202,3 +202,13 @@ def test_pipeline(spark, sf):
     assert len(tokens) == docs.count() and all(r.round_trip for r in tokens)
     texts = {shingle for r in docs.collect() for shingle in [r.text.lower()]}
     assert len(texts) == docs.count()
+
+
+def test_long_runs_merge_like_short_ones():
+    import public_tokenizers
+
+    vocabulary = bpe.read_vocabulary(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    rng = random.Random(8)
+    for piece in (b"a" * 20_000, bytes(rng.choice(b"abcdefgh") for _ in range(9_000)), b"\xe4\xbd\xa0" * 4_000, b"ab" * 5_000, bytes(9_000)):
+        assert bpe.merge_long(vocabulary, piece).tolist() == bpe.merge_rows(vocabulary, [piece])[0].tolist()
+    assert bpe.merge_long(vocabulary, b"xq").tolist() == bpe.merge_rows(vocabulary, [b"xq"])[0].tolist()
