@@ -12,7 +12,7 @@ reached, however complete the record after it looks.
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from ridemart.llm.common import checkpointed, few
+from ridemart.llm.common import checkpointed, few, stored
 
 VERSION = "WARC/1.1\r\n"
 END = "\r\n\r\n"
@@ -68,24 +68,26 @@ def write_pages(
 
 
 def _raw_chunks(spark: SparkSession, path: str) -> DataFrame:
-    """The files cut at every version line: file, split, row (in order within a split), chunk."""
+    """The files cut at every version line: file, split, row (in order within a split), chunk, digest."""
     return spark.read.option("lineSep", VERSION).text(path).select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"),
         F.monotonically_increasing_id().alias("row"), F.col("value").alias("chunk"),
-    )
+    ).withColumn("digest", F.unhex(F.sha2(F.col("chunk").cast("binary"), 256)))
 
 
 def read_candidates(raw: DataFrame) -> DataFrame:
-    """Every version line: file, split, row, offset, next (where its record would end), without the payloads.
+    """Every version line: file, split, digest, offset, next (where its record would end), without the payloads.
 
+    What stands before a file's first version line is a row as well, with an offset below 0.
     A split's chunks come in order, so an offset is the bytes before it: of earlier splits, then within its
-    own. ``next`` is NULL where header or length cannot be read.
+    own. ``next`` is NULL where header or length cannot be read. Splits are those of one reading, whose sizes
+    are set down; a later reading may cut the files elsewhere, so chunks are found again by their digest.
     """
-    sized = raw.select(
-        "file", "split", "row", (F.octet_length("chunk").cast("bigint") + len(VERSION)).alias("bytes"),
+    sized = stored(raw.select(
+        "file", "split", "row", "digest", (F.octet_length("chunk").cast("bigint") + len(VERSION)).alias("bytes"),
         F.octet_length(F.substring_index("chunk", END, 1)).cast("bigint").alias("head"),
         F.col("chunk").contains(END).alias("complete"), _field(F.col("chunk"), "Content-Length").try_cast("bigint").alias("length"),
-    )
+    ), "chunk-sizes")
     own = Window.partitionBy("file", "split").orderBy("row").rowsBetween(Window.unboundedPreceding, 0)
     placed = sized.withColumn("end", F.sum("bytes").over(own))
     # One row per split is left of this: few enough for a window per file.
@@ -94,8 +96,8 @@ def read_candidates(raw: DataFrame) -> DataFrame:
     starts = totals.select("file", "split", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("before"))
     offset = F.col("before") + F.col("end") - F.col("bytes") - len(VERSION)
     following = F.col("offset") + len(VERSION) + F.col("head") + len(END) + F.col("length") + len(END)
-    return placed.join(starts, ["file", "split"]).withColumn("offset", offset).filter("offset >= 0").select(
-        "file", "split", "row", "offset", F.when(F.col("complete") & (F.col("length") >= 0), following).alias("next"),
+    return placed.join(starts, ["file", "split"]).withColumn("offset", offset).select(
+        "file", "split", "digest", "offset", F.when(F.col("complete") & (F.col("length") >= 0), following).alias("next"),
     )
 
 
@@ -137,7 +139,11 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
 
     ``intact`` says that the payload has the stated length, ends as a record must, and has the stated digest
     (revisits have no payload of their own). A payload that holds version lines is put together again from
-    its chunks: the pieces of one record meet in one task, those of a file do not.
+    its chunks: the pieces of one record meet in one task, those of a file do not. Payloads are found by file and
+    SHA-256 of their chunk, never by place in a split, as executors that come or go change how files are cut.
+
+    Files without a record and empty files give no row, nor does what stands before a file's first record or after
+    the end of its chain. Repeated records are rows each. A payload of any length is one value.
     """
     raw = _raw_chunks(spark, path)
     candidates = checkpointed(read_candidates(raw))
@@ -150,17 +156,29 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
         "file", "split", F.max("last").over(before).alias("carried"),
     )
     owner = owned.withColumn("own", F.max("starts").over(own)).join(carried, ["file", "split"]).select(
-        "file", "split", "row", "offset", F.coalesce("own", "carried").alias("record"),
-    ).filter("record IS NOT NULL")
+        "file", "digest", "offset", F.coalesce("own", "carried").alias("record"),
+    )
     several = owner.groupBy("file", "record").agg(F.count(F.lit(1)).alias("n"))
-    owner = checkpointed(owner.join(several, ["file", "record"]))
-    # The payloads move once, to meet their places; those of one piece need no more.
-    one, more = owner.filter("n = 1"), owner.filter("n > 1")
-    alone = raw.join(few(one, BROADCAST_ROWS), ["file", "split", "row"]).select("file", F.col("record").alias("offset"), F.col("chunk").alias("text"))
-    split_up = raw.join(few(more, BROADCAST_ROWS), ["file", "split", "row"]).groupBy("file", "record").agg(
+    owner = checkpointed(owner.join(several, ["file", "record"], "left"))
+    # The payloads move once, to meet their places; those of one piece need no more. A chunk that a file has
+    # several times stands for all its places, so only the first of equal chunks goes on.
+    place = F.when(F.col("record").isNotNull(), F.struct("record", "offset", "n"))
+    places = checkpointed(owner.groupBy("file", "digest").agg(
+        F.collect_list(place).alias("places"), F.count(F.lit(1)).alias("times"),
+    ).filter(F.size("places") > 0))
+    single, repeated = places.filter("times = 1"), places.filter("times > 1")
+    found = raw.join(few(single, BROADCAST_ROWS), ["file", "digest"]).select("file", "places", "chunk")
+    if not repeated.isEmpty():
+        again = raw.join(few(repeated, BROADCAST_ROWS), ["file", "digest"]).groupBy("file", "digest").agg(
+            F.first("places").alias("places"), F.first("chunk").alias("chunk"),
+        )
+        found = found.unionByName(again.select("file", "places", "chunk"))
+    pieces = found.select("file", F.explode("places").alias("place"), "chunk").select("file", "place.*", "chunk")
+    alone = pieces.filter("n = 1").select("file", F.col("record").alias("offset"), F.col("chunk").alias("text"))
+    split_up = pieces.filter("n > 1").groupBy("file", "record").agg(
         F.array_sort(F.collect_list(F.struct("offset", "chunk"))).alias("pieces"),
     ).select("file", F.col("record").alias("offset"), F.array_join("pieces.chunk", VERSION).alias("text"))
-    whole = alone if more.isEmpty() else alone.unionByName(split_up)
+    whole = alone if owner.filter("record IS NOT NULL AND n > 1").isEmpty() else alone.unionByName(split_up)
 
     text = F.col("text")
     urn = rf"<{_PREFIX}(.*)>"
