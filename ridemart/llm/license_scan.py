@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.functions import arrow_udf
 
-from ridemart.llm.common import binary_values
+from ridemart.llm.common import binary_values, received, sent
 
 THRESHOLD = 0.8
 # Lower-cased words: digits, a-z, and every byte of a character beyond ASCII.
@@ -194,7 +194,7 @@ def scan(spark: SparkSession, text: Column, index: Index) -> Column:
     Works on each whole text by itself. NULL counts as empty, which has no words, places or blocks. Other
     columns, repeated rows and empty tables need no rule. Words count from 0; both lists are in order.
     """
-    shared = spark.sparkContext.broadcast(index)
+    shared = sent(spark, index)
     fields = T.StructType.fromDDL(RESULT)
     base = pa.list_(pa.struct([("label", pa.string()), ("word", pa.int64())]))
     blocks = pa.list_(pa.struct([
@@ -205,7 +205,7 @@ def scan(spark: SparkSession, text: Column, index: Index) -> Column:
 
     @arrow_udf(fields)
     def scan_texts(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        index = shared.value
+        index = received(shared)
         look = _Numbers(index.numbers)
         for batch in batches:
             yield pa.array([scan_text(index, look, text) for text in binary_values(batch)], kind)

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.functions import arrow_udf
 
-from ridemart.llm.common import binary_values, labelled_sample, seeded
+from ridemart.llm.common import binary_values, labelled_sample, received, seeded, sent
 
 WIDTH, FILTERS, HIDDEN, HALF = 6, 24, 12, 256
 THRESHOLD = 0.7
@@ -169,11 +169,11 @@ def score(spark: SparkSession, text: Column, network: Network) -> Column:
     NULL counts as empty; an empty text is one chunk of zero bytes and has a score like any other. Nothing
     but the text goes in, so other columns, ties and repeated rows need no rule.
     """
-    shared = spark.sparkContext.broadcast(network)
+    shared = sent(spark, network)
 
     @arrow_udf(T.DoubleType())
     def score_texts(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        model = shared.value
+        model = received(shared)
         tables = model.pair_tables()
         for batch in batches:
             yield pa.array([

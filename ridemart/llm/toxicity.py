@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.functions import arrow_udf
 
-from ridemart.llm.common import fold, labelled_sample
+from ridemart.llm.common import fold, labelled_sample, received, sent
 
 THRESHOLD = 0.5
 # Bounds of the training sample and of the features that get a value.
@@ -184,13 +184,13 @@ def score(spark: SparkSession, text: Column, weights: Weights, threshold: float
     as empty; a text without words is one empty sentence and has a score like any other. Nothing but the
     text goes in, so other columns, ties and repeated rows need no rule.
     """
-    shared = spark.sparkContext.broadcast(weights)
+    shared = sent(spark, weights)
     kind = T.StructType.fromDDL(RESULT)
     sentences = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())]))
 
     @arrow_udf(kind)
     def score_texts(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        model = shared.value
+        model = received(shared)
         look = _Words(model)
         for batch in batches:
             scores, found = [], []
