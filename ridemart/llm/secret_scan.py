@@ -3,7 +3,7 @@
 A candidate is a run of at least MIN_LENGTH characters of tokens that holds a digit, without the name it is
 assigned to, or any value that is assigned to a key word, whatever its length and characters. The forest (Spark's own) sees its length, character transitions, dictionary coverage, the path of its document and the words around
 it. It is trained from labelled findings, which may come from anywhere; ``assigned_findings`` derives some
-from the documents themselves.
+from the documents themselves, which are shown to the forest in and out of the context that they were found by.
 """
 
 import re
@@ -164,7 +164,8 @@ def dictionary_of(docs: DataFrame, text_col: str = "text", words: int = DICTIONA
     """The most frequent words of all documents, of four letters or more, counted as DataFrame operations."""
     word = F.explode(F.split(F.lower(F.col(text_col).cast("string")), r"[^\p{L}]+"))
     counted = docs.select(word.alias("word")).filter(F.length("word").between(4, 24)).groupBy("word").count()
-    top = counted.filter(F.col("count") > 1).orderBy(F.desc("count"), "word").limit(words)
+    # Set down first: the driver then gets these words alone, not the first words of every task.
+    top = checkpointed(counted.filter(F.col("count") > 1).orderBy(F.desc("count"), "word").limit(words).select("word"))
     return frozenset(row["word"] for row in top.collect())
 
 
@@ -206,11 +207,18 @@ def find_candidates(
 HARMLESS_SHAPES = (
     r"^[\w.+\-]+@[\w\-]+(\.[\w\-]+)+$", r"^[\d.:/T+\-]+Z?$", r"^https?://[^@=]+$",
 )
+# Shapes of keys and tokens as their issuers document them.
+ISSUER_SHAPES = (
+    r"^(AKIA|ASIA)[0-9A-Z]{16}$", r"^gh[pousr]_[0-9A-Za-z]{36,}$", r"^github_pat_\w{22,}$", r"^glpat-[\w-]{20,}$",
+    r"^xox[abprs]-[0-9A-Za-z-]{10,}$", r"^AIza[\w-]{35}$", r"^[rs]k_(live|test)_[0-9A-Za-z]{16,}$", r"^SG\.[\w-]{16,}\.[\w-]{16,}$",
+    r"^npm_[0-9A-Za-z]{36}$", r"^eyJ[\w-]+\.eyJ[\w-]+\.[\w-]+$",
+)
 CHECKSUM = r"^((md5|sha\d*)[:=\-])?([0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{64})$"
 
 
 def assigned_findings(candidates: DataFrame) -> DataFrame:
-    """Labelled findings by distant supervision: what is assigned to a key word is a secret, known shapes are not.
+    """Labelled findings by distant supervision: what is assigned to a key word or has an issuer's shape is a secret,
+    known harmless shapes are not.
 
     Findings of which neither or both is true have no label and serve no training. A checksum, or a finding in a test
     path, is harmless only by the words around it or the path.
@@ -220,15 +228,38 @@ def assigned_findings(candidates: DataFrame) -> DataFrame:
     for pattern in HARMLESS_SHAPES:
         shape = shape | value.rlike(pattern)
     context = feature("test_path") | (F.lower(value).rlike(CHECKSUM) & feature("harmless_before"))
-    label = F.when(F.col("assigned") & ~shape, 1).when(~F.col("assigned") & (shape | context), 0)
+    issued = F.lit(False)
+    for pattern in ISSUER_SHAPES:
+        issued = issued | value.rlike(pattern)
+    label = F.when((F.col("assigned") | issued) & ~shape, 1).when(~F.col("assigned") & ~issued & (shape | context), 0)
     return candidates.select("features", label.cast("int").alias("label"))
 
 
+# The features that say what ``assigned_findings`` makes its labels from.
+TELLING = ("key_before", "key_after", "assigned", "quoted")
+
+
+def blanked(features: Column) -> Column:
+    """The features of a candidate as if nothing around it said that it is a value of a key word."""
+    places = F.array(*[F.lit(FEATURES.index(name)) for name in TELLING])
+    return F.transform(features, lambda x, k: F.when(F.array_contains(places, k), F.lit(0.0)).otherwise(x))
+
+
+def in_and_out_of_context(labelled: DataFrame) -> DataFrame:
+    """Each labelled finding as it stands and once more blanked.
+
+    Labels that come from the context would teach the forest the context alone. From the blanked findings it has
+    to learn what secrets look like, so that it finds those that no key word stands before.
+    """
+    return labelled.unionByName(labelled.withColumn("features", blanked(F.col("features"))))
+
+
 def train(labelled: DataFrame, max_rows: int = TRAIN_ROWS) -> RandomForestClassificationModel | None:
     """A forest from rows of ``features`` and ``label``: at most ``max_rows``, half of each label.
 
     The sample is the rows with the smallest hash of their features, each once, in one order and one
-    partition, so equal findings give an equal forest. None when a label is missing altogether.
+    partition, so equal findings give an equal forest. Rows with a NULL in either column serve no training, and
+    other columns are ignored. None when a label is missing altogether, as in an empty table.
     """
     rows = labelled.filter(F.col("features").isNotNull() & F.col("label").isNotNull()).distinct()
     order = (F.xxhash64("features"), F.col("features"))
@@ -247,7 +278,7 @@ def train(labelled: DataFrame, max_rows: int = TRAIN_ROWS) -> RandomForestClassi
 def score(candidates: DataFrame, model: RandomForestClassificationModel | None) -> DataFrame:
     """The candidates with the forest's probability as ``score`` and ``is_secret`` from one half on.
 
-    Without a model every candidate keeps the score 1: nothing is removed on no evidence.
+    All columns stay; candidates of an empty table, repeated ones and NULL ids need no rule. Without a model every candidate keeps the score 1: nothing is removed on no evidence.
     """
     if model is None:
         return candidates.withColumn("score", F.lit(1.0)).withColumn("is_secret", F.lit(True))
