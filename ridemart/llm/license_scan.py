@@ -7,7 +7,11 @@ when it holds at least THRESHOLD of the template's words.
 The join finds every such block. Template words are ordered by how often they occur in the whole corpus,
 rarest first. A matching block must hold one of the first |T| - ceil(THRESHOLD * |T|) + 1 of them (prefix
 filter), enough template words at all (length filter), and at the first shared word both sides must have
-enough words left (positional filter). What passes is counted.
+enough words left (positional filter). What passes is counted. The words of a text look the templates up in an
+inverted index of their prefixes, so templates whose prefix words a text does not have cost it nothing.
+
+The words that name a template's licence must all be in the block, whatever share of the others it holds:
+notices of two licences often differ in one word only.
 """
 
 import math
@@ -32,21 +36,23 @@ PHRASES = {
     "apache license version 2": "apache-2",
     "cc by nc": "cc-by-nc",
 }
-# Label and notice. Several notices may have one label.
+# Label, notice, and the notice's words that name the licence. Several notices may have one label.
 TEMPLATES = (
-    ("mit", "released under the mit license"),
+    ("mit", "released under the mit license", "mit"),
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and "
-            "associated documentation files to deal in the software without restriction"),
-    ("apache-2", "licensed under the apache license version 2 0"),
-    ("apache-2", "you may not use this file except in compliance with the license you may obtain a copy of the license"),
-    ("cc-by-nc", "licensed under cc by nc 4 0"),
-    ("cc-by-nc", "this work is licensed under a creative commons attribution noncommercial license"),
-    ("cc-by", "this work is licensed under a creative commons attribution 4 0 international license"),
-    ("gpl-3", "this work is licensed under the gnu general public license version 3"),
+            "associated documentation files to deal in the software without restriction", ""),
+    ("apache-2", "licensed under the apache license version 2 0", "apache 2"),
+    ("apache-2", "you may not use this file except in compliance with the license you may obtain a copy of the license", ""),
+    ("cc-by-nc", "licensed under cc by nc 4 0", "cc by nc"),
+    ("cc-by-nc", "this work is licensed under a creative commons attribution noncommercial license",
+     "creative commons attribution noncommercial"),
+    ("cc-by", "this work is licensed under a creative commons attribution 4 0 international license",
+     "creative commons attribution"),
+    ("gpl-3", "this work is licensed under the gnu general public license version 3", "gnu 3"),
     ("gpl-3", "this program is free software you can redistribute it and or modify it under the terms of the gnu "
-              "general public license as published by the free software foundation"),
+              "general public license as published by the free software foundation", "gnu"),
     ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided "
-            "that the following conditions are met"),
+            "that the following conditions are met", ""),
 )
 RESULT = (
     "n_words bigint, base array<struct<label:string,word:bigint>>, "
@@ -56,12 +62,39 @@ RESULT = (
 
 @dataclass(frozen=True)
 class Template:
-    """Distinct words as numbers, the rarest first; how many of them a match needs; the length of a block."""
+    """Distinct words as numbers, the rarest first; how many and which of them a match needs; the length of a block."""
 
     label: str
     words: np.ndarray
     need: int
     block: int
+    names: np.ndarray
+
+    @property
+    def prefix(self) -> np.ndarray:
+        return self.words[:len(self.words) - self.need + 1]
+
+
+@dataclass(frozen=True)
+class Postings:
+    """The templates of each word, one word after the other."""
+
+    begin: np.ndarray
+    template: np.ndarray
+
+    @staticmethod
+    def of(words: Sequence[np.ndarray], n_words: int) -> "Postings":
+        word = np.concatenate([np.zeros(0, np.int64), *words])
+        template = np.repeat(np.arange(len(words)), [len(own) for own in words])
+        order = np.argsort(word, kind="stable")
+        return Postings(np.searchsorted(word[order], np.arange(n_words + 1)), template[order])
+
+    def meet(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Every (index into ``words``, template) that meet in a word."""
+        n = self.begin[words + 1] - self.begin[words]
+        skipped = np.cumsum(n) - n
+        at = np.arange(n.sum()) + np.repeat(self.begin[words] - skipped, n)
+        return np.repeat(np.arange(len(words)), n), self.template[at]
 
 
 @dataclass(frozen=True)
@@ -69,6 +102,8 @@ class Index:
     numbers: dict[bytes, int]
     phrases: list[tuple[str, np.ndarray]]
     templates: list[Template]
+    whole: Postings
+    prefixes: Postings
 
 
 class _Numbers(dict):
@@ -90,8 +125,8 @@ class _Numbers(dict):
         return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
 
 
-def vocabulary(phrases: Mapping[str, str], templates: Sequence[tuple[str, str]]) -> list[bytes]:
-    texts = [*phrases, *(text for _, text in templates)]
+def vocabulary(phrases: Mapping[str, str], templates: Sequence[tuple[str, str, str]]) -> list[bytes]:
+    texts = [*phrases, *(text for _, text, _ in templates)]
     return sorted({word.encode() for text in texts for word in text.split()})
 
 
@@ -113,9 +148,12 @@ def count_words(docs: DataFrame, words: list[bytes], text_col: str = "text") ->
 
 def build_index(
     frequency: Mapping[bytes, int], phrases: Mapping[str, str] = PHRASES,
-    templates: Sequence[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD,
+    templates: Sequence[tuple[str, str, str]] = TEMPLATES, threshold: float = THRESHOLD,
 ) -> Index:
-    """Numbers follow the global order: fewest occurrences first, ties by the word itself."""
+    """Numbers follow the global order: fewest occurrences first, ties by the word itself.
+
+    A template is its label, its words, and those of its words that must be in a match, all lower-cased.
+    """
     order = sorted(vocabulary(phrases, templates), key=lambda word: (frequency.get(word, 0), word))
     numbers = {word: k for k, word in enumerate(order)}
 
@@ -123,10 +161,15 @@ def build_index(
         return np.array([numbers[word.encode()] for word in text.split()], np.int64)
 
     built = []
-    for label, text in templates:
-        words = np.unique(numbered(text))
-        built.append(Template(label, words, math.ceil(threshold * len(words) - 1e-9), 2 * len(text.split())))
-    return Index(numbers, [(label, numbered(phrase)) for phrase, label in phrases.items()], built)
+    for label, text, names in templates:
+        if not set(names.split()) <= set(text.split()):
+            raise ValueError(f"the words {names!r} do not all stand in the template {text!r}")
+        words, named = np.unique(numbered(text)), np.unique(numbered(names))
+        need = max(1, math.ceil(threshold * len(words) - 1e-9))
+        built.append(Template(label, words, need, 2 * len(text.split()), named))
+    whole = Postings.of([template.words for template in built], len(numbers))
+    prefixes = Postings.of([template.prefix for template in built], len(numbers))
+    return Index(numbers, [(label, numbered(phrase)) for phrase, label in phrases.items()], built, whole, prefixes)
 
 
 def _phrase_places(index: Index, at: np.ndarray) -> list[tuple[int, str]]:
@@ -145,13 +188,24 @@ def block_starts(n_words: int, block: int) -> np.ndarray:
     return np.arange(0, max(1, n_words - half), half) if n_words else np.zeros(0, np.int64)
 
 
-def _template_blocks(template: Template, at: np.ndarray) -> list[tuple[int, int, float]]:
-    """Blocks that match: first and last word, and the share of the template's words."""
+def _candidates(index: Index, at: np.ndarray, places: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Templates that share enough words with the whole text, each with the places of its prefix words."""
+    numbers = at[places]
+    _, template = index.whole.meet(np.unique(numbers))
+    shared = np.bincount(template, minlength=len(index.templates))
+    enough = shared >= [template.need for template in index.templates]
+    place, template = index.prefixes.meet(numbers)
+    keep = np.flatnonzero(enough[template])
+    keep = keep[np.argsort(template[keep], kind="stable")]
+    place, template = places[place[keep]], template[keep]
+    cuts = np.flatnonzero(np.diff(template)) + 1
+    for own in np.split(np.arange(len(template)), cuts) if len(template) else ():
+        yield int(template[own[0]]), place[own]
+
+
+def _template_blocks(template: Template, at: np.ndarray, places: np.ndarray) -> list[tuple[int, int, float]]:
+    """Blocks around these places that match: first and last word, and the share of the template's words."""
     size, need, half = len(template.words), template.need, template.block // 2
-    prefix = template.words[:size - need + 1]
-    places = np.flatnonzero(np.isin(at, prefix))
-    if not len(places):
-        return []
     starts = block_starts(len(at), template.block)
     last = np.minimum(places // half, len(starts) - 1)
     candidates = np.unique(np.concatenate([last, np.maximum(last - 1, 0)]))
@@ -166,7 +220,7 @@ def _template_blocks(template: Template, at: np.ndarray) -> list[tuple[int, int,
         shared = np.flatnonzero(template.words[np.minimum(place, size - 1)] == block)
         if not len(shared) or 1 + min(size - place[shared[0]] - 1, len(block) - shared[0] - 1) < need:
             continue
-        if len(shared) >= need:
+        if len(shared) >= need and np.isin(template.names, block).all():
             found.append((int(start), int(stop) - 1, len(shared) / size))
     return found
 
@@ -175,15 +229,12 @@ def scan_text(index: Index, look: _Numbers, text: bytes) -> dict:
     words = WORDS.findall(text.lower())
     at = look.of(words)
     base, blocks = [], []
-    present = np.zeros(len(index.numbers) + 1, bool)
-    present[at] = True  # the last place takes the -1 of other words
-    present[-1] = False
-    if present.any():
+    places = np.flatnonzero(at >= 0)
+    if len(places):
         base = [{"label": label, "word": place} for place, label in _phrase_places(index, at)]
         blocks = [
-            {"label": template.label, "template": k, "first_word": a, "last_word": b, "containment": share}
-            for k, template in enumerate(index.templates) if present[template.words].sum() >= template.need
-            for a, b, share in _template_blocks(template, at)
+            {"label": index.templates[k].label, "template": k, "first_word": a, "last_word": b, "containment": share}
+            for k, own in _candidates(index, at, places) for a, b, share in _template_blocks(index.templates[k], at, own)
         ]
     return {"n_words": len(words), "base": base, "blocks": blocks}
 

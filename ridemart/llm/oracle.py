@@ -25,7 +25,7 @@ FROM sets
 """
 
 _phrases = ",\n    ".join(f"('{phrase}', '{label}')" for phrase, label in PHRASES.items())
-_templates = ",\n    ".join(f"('{label}', '{text}')" for label, text in TEMPLATES)
+_templates = ",\n    ".join(f"('{label}', '{text}', '{names}')" for label, text, names in TEMPLATES)
 
 LICENSES = f"""
 WITH words AS (
@@ -34,16 +34,19 @@ WITH words AS (
   SELECT string_split(phrase, ' ') AS p, label FROM (VALUES
     {_phrases}) v(phrase, label)
 ), templates AS (
-  SELECT label, list_distinct(string_split(t, ' ')) AS t, len(string_split(t, ' ')) AS half FROM (VALUES
-    {_templates}) v(label, t)
+  SELECT label, list_distinct(string_split(t, ' ')) AS t, len(string_split(t, ' ')) AS half,
+    list_filter(string_split(names, ' '), lambda x: x <> '') AS names
+  FROM (VALUES
+    {_templates}) v(label, t, names)
 ), starts AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM words
 ), base AS (
   SELECT doc_id, i - 1 AS word, label FROM starts JOIN phrases ON w[i] = p[1] AND w[i:i + len(p) - 1] = p
 ), blocks AS (
-  SELECT doc_id, w, label, t, half, unnest(range(0, greatest(1, len(w) - half), half)) AS b FROM words, templates WHERE len(w) > 0
+  SELECT doc_id, w, label, t, half, names, unnest(range(0, greatest(1, len(w) - half), half)) AS b FROM words, templates WHERE len(w) > 0
 ), matched AS (
   SELECT doc_id, label, CAST(len(list_intersect(t, list_distinct(w[b + 1:b + 2 * half]))) AS DOUBLE) / len(t) AS share
   FROM blocks WHERE len(list_intersect(t, list_distinct(w[b + 1:b + 2 * half]))) >= ceil(0.8 * len(t) - 1e-9)
+    AND list_has_all(w[b + 1:b + 2 * half], names)
 ), by_base AS (
   SELECT doc_id, count(*) AS n, min(word) AS first_word, max(word) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
   FROM base GROUP BY doc_id

@@ -1,5 +1,6 @@
 """Operators with numpy inside, against brute force, other libraries or held-out labels."""
 
+import math
 import random
 
 import numpy as np
@@ -115,7 +116,7 @@ def test_license_blocks_against_every_block(spark):
     rng = random.Random(4)
     words = [w.decode() for w in license_scan.vocabulary(license_scan.PHRASES, license_scan.TEMPLATES)] + ["x", "y", "z"]
     texts = ["", None, "Under the MIT license!"] + [" ".join(rng.choice(words) for _ in range(rng.randint(1, 300))) for _ in range(30)]
-    texts += [" ".join([*rng.choices("xyz", k=rng.randint(0, 60)), text, "end"]) for _, text in license_scan.TEMPLATES]
+    texts += [" ".join([*rng.choices("xyz", k=rng.randint(0, 60)), text, "end"]) for _, text, _ in license_scan.TEMPLATES]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     frequency = license_scan.count_words(docs, [w.encode() for w in words])
     index = license_scan.build_index(frequency)
@@ -123,16 +124,68 @@ def test_license_blocks_against_every_block(spark):
     for row in rows:
         own = (row.text or "").lower().replace("!", "").split()
         want = []
-        for k, (label, text) in enumerate(license_scan.TEMPLATES):
+        for k, (label, text, names) in enumerate(license_scan.TEMPLATES):
             template, size = set(text.split()), 2 * len(text.split())
             for start in license_scan.block_starts(len(own), size):
                 share = len(template & set(own[start:start + size])) / len(template)
-                if share >= license_scan.THRESHOLD:
+                if share >= license_scan.THRESHOLD and set(names.split()) <= set(own[start:start + size]):
                     want.append((label, k, start, min(start + size, len(own)) - 1, share))
         assert [tuple(x) for x in row.s.blocks] == want and row.s.n_words == len(own)
     assert [tuple(x) for x in rows[2].s.base] == [("mit", 0)]
 
 
+def _labels(index, text):
+    look = license_scan._Numbers(index.numbers)
+    return {block["label"] for block in license_scan.scan_text(index, look, text.encode())["blocks"]}
+
+
+def test_a_notice_is_not_taken_for_that_of_another_licence():
+    index = license_scan.build_index({})
+    for text in (
+        "Licensed under CC BY 4.0", "Released under the GPL license", "Licensed under the GPL License, Version 2.0",
+        "This work is licensed under the GNU General Public License version 2", "Licensed under the Apache License Version 1 0",
+    ):
+        assert _labels(index, text) == set(), text
+    assert _labels(index, "This work is licensed under a Creative Commons Attribution 4.0 International License.") == {"cc-by"}
+    assert _labels(index, "Licensed under CC-BY-NC 4.0") == {"cc-by-nc"}
+    assert _labels(index, "licensed under apache license, version 2.0") == {"apache-2"}  # a word is missing, but none of its names
+    with pytest.raises(ValueError):
+        license_scan.build_index({}, templates=[("a", "some words", "others")])
+
+
+def test_license_blocks_of_a_thousand_templates_against_every_block():
+    rng = random.Random(9)
+    words = [f"w{k}" for k in range(400)]
+    templates = []
+    for k in range(1000):
+        text = rng.choices(words, k=rng.randint(1, 14))
+        templates.append((f"l{k}", " ".join(text), rng.choice(["", text[-1]])))
+    frequency = {word.encode(): rng.randint(0, 9) for word in words}
+    index = license_scan.build_index(frequency, templates=templates)
+    look = license_scan._Numbers(index.numbers)
+    texts = [[], ["other"]]
+    for _ in range(40):
+        text = rng.choices([*words, "other"], k=rng.randint(0, 80))
+        for _, notice, _ in rng.sample(templates, 4):
+            kept = [word for word in notice.split() if rng.random() < 0.95]
+            at = rng.randint(0, len(text))
+            text[at:at] = kept
+        texts.append(text)
+    found = 0
+    for text in texts:
+        want = []
+        for k, (label, notice, names) in enumerate(templates):
+            size, own = 2 * len(notice.split()), set(notice.split())
+            for start in license_scan.block_starts(len(text), size):
+                block = set(text[start:start + size])
+                if len(own & block) >= max(1, math.ceil(0.8 * len(own) - 1e-9)) and set(names.split()) <= block:
+                    want.append((label, k, start, min(start + size, len(text)) - 1, len(own & block) / len(own)))
+        blocks = license_scan.scan_text(index, look, " ".join(text).encode())["blocks"]
+        assert [tuple(block.values()) for block in blocks] == want
+        found += len(want)
+    assert found > 500
+
+
 def test_secrets(spark):
     rng = random.Random(2)
     rows = [(k, f'hello token = "{rng.randbytes(20).hex()}" and mail a.{k}@mail7.example.com 97.51.17.{k + 100}', "src/a.py") for k in range(40)]
