@@ -398,6 +398,9 @@ ORACLE: dict[str, str] = {
                (count(*) FILTER (WHERE {VALID}) - coalesce(any_value(written), 0))::bigint AS duplicates,
                coalesce(any_value(written), 0)::bigint AS written, 'capped-1' AS source, batch_id
         FROM arrived LEFT JOIN survivors USING (batch_id) GROUP BY batch_id""",
+    "mart_compacted": f"""{EVENTS_KEPT}
+        SELECT table_name, trip_id, 1::bigint AS row_count
+        FROM kept, (VALUES ('feed'), ('unified'), ('fact_trip')) t(table_name)""",
     "stream_metrics": f"""{EVENTS_KEPT},
     feeds AS (
       SELECT *, 'batch-1' AS source, {_batch_number(BATCH_ARRIVALS)} AS batch_id FROM rides_events WHERE {_before}

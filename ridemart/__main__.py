@@ -5,6 +5,7 @@
     land    --output F --checkpoint C --topic T --bootstrap-servers H           messages into CSV files
     publish --input F --topic T --bootstrap-servers H                           CSV files as messages
     union | gold | export | run  --base B                                       the chain, or one step
+    compact --base B                                                            small partitions into few
     sql     --base B --text "..."                                               statements separated by ;
 """
 
@@ -16,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ridemart.operators.incremental import ROCKSDB, STATE_STORE
 from ridemart.operators.serve import export_mart, register_mart, run_sql_script
 from ridemart.plans.gold import build_gold
-from ridemart.plans.mart import MartPaths, run_mart
+from ridemart.plans.mart import MartPaths, compact_mart, run_mart
 from ridemart.plans.silver import union_silver
 from ridemart.sources.rides import (
     parse_ride_lines, publish_rides, read_lines_stream, read_ride_files, split_ride_lines, stream_ride_files,
@@ -49,7 +50,7 @@ def arguments() -> argparse.ArgumentParser:
     land = stage("land", "output", "checkpoint", messages=True)
     land.add_argument("--every", default="10 seconds")
     stage("publish", "input", messages=True)
-    for name in ("union", "gold", "export", "run"):
+    for name in ("union", "gold", "compact", "export", "run"):
         stage(name, "base")
     sql = stage("sql", "base", "text")
     sql.add_argument("--rows", type=int, default=1000, help="rows to print of each result")
@@ -101,6 +102,8 @@ def run_chain(spark: SparkSession, paths: MartPaths, stage: str) -> object:
         return union_silver(spark, feeds, paths.unified, paths.unified_progress)
     if stage == "gold":
         return build_gold(spark, paths.unified, paths.gold, unique=True)
+    if stage == "compact":
+        return compact_mart(spark, paths)
     if stage == "export":
         return export_mart(spark, paths.base)
     return run_mart(spark, paths)

@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ridemart.operators.incremental import KeySize, measure_keys
 from ridemart.schemas import ID_LEDGER
 from ridemart.sources.commits import create_once, file_names, read_text
-from ridemart.sources.tables import delete_path, new_rows_only, read_table, staged
+from ridemart.sources.live import covered_through, read_runs
+from ridemart.sources.tables import delete_path, new_rows_only, staged
 
 KEY = "trip_id"
 # Ids of one bucket, and the fewest buckets.
@@ -179,12 +180,13 @@ def close_batches(spark: SparkSession, progress: str, batches: Iterable[tuple[st
 
 
 def catch_up(spark: SparkSession, ledger: IdLedger, unified: str, runs: dict[int, str], schema) -> None:
-    """Add the ids of the unified table's runs that the ledger does not hold: all of them to a new ledger."""
+    """Add the ids of the unified table's runs that the ledger does not hold: all of them to a new ledger.
+
+    ``runs`` are partitions; runs that segments stand for are looked up there.
+    """
     state = ledger.state(spark)
-    missing = {run: folder for run, folder in runs.items() if state is None or run > state["through"]}
-    if not missing and state is not None:
-        return
-    rows = read_table(spark, unified, schema)
-    if rows is not None and missing:
-        rows = spark.read.schema(schema).option("basePath", unified).parquet(*missing.values())
+    through = state["through"] if state else 0
+    missing = {run for run in runs if state is None or run > through} | set(range(through + 1, covered_through(spark, unified) + 1))
+    rows = read_runs(spark, unified, schema, missing.__contains__) if missing else None
+    if rows is not None:
         ledger.add(spark, rows.select(*ID_LEDGER.names), max(missing))

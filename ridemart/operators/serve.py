@@ -8,6 +8,9 @@ from pyspark.sql import types as T
 
 from ridemart.schemas import STAR_TABLES, UNIFIED
 from ridemart.sources.commits import create_once, file_names
+from ridemart.sources.live import (
+    FACT_RUNS, RUNS, Manifest, live_partitions, partition_folders, read_manifest, segment_folder,
+)
 from ridemart.sources.tables import path_exists, qualified, read_table, set_down
 
 UNIFIED_NAME = "silver_unified_rides"
@@ -17,6 +20,7 @@ SERVED = {UNIFIED_NAME: ("silver/unified_rides", UNIFIED)} | {
 
 
 PARTITIONS = {UNIFIED_NAME: ("run_id",), "gold_fact_trip": ("run_id", "month_key")}
+LAYOUTS = {UNIFIED_NAME: RUNS, "gold_fact_trip": FACT_RUNS}
 SINGLE_FILES = ("gold_dim_date", "gold_dim_time", "gold_dim_duration_bucket")
 # A folder of the mart with one file per database that has tables over it.
 REGISTERED = "_registered"
@@ -60,6 +64,7 @@ def refresh_served(spark: SparkSession, base: str) -> None:
     for table in spark.catalog.listTables():
         if table.isTemporary and table.name in SERVED:
             spark.catalog.refreshTable(table.name)
+            _follow_manifest(spark, table.name, base)
     for database in file_names(spark, f"{base}/{REGISTERED}"):
         for name, (folder, _) in SERVED.items():
             full = f"{database}.{name}"
@@ -67,6 +72,21 @@ def refresh_served(spark: SparkSession, base: str) -> None:
                 _show_new_files(spark, full, PARTITIONS.get(name, ()))
 
 
+def _follow_manifest(spark: SparkSession, name: str, base: str) -> None:
+    """Let a view over a compacted table of this mart read what is live now."""
+    folder, schema = SERVED[name]
+    location = f"{base}/{folder}"
+    if name in LAYOUTS and read_manifest(spark, location) is not None:
+        root = local_name(qualified(spark, location))
+        if any(local_name(file).startswith(f"{root}/") for file in spark.table(name).inputFiles()):
+            read_table(spark, location, schema).createOrReplaceTempView(name)
+
+
+def local_name(path: str) -> str:
+    """A qualified path with its scheme in one spelling: file:/a and file:///a are the same."""
+    return re.sub(r"^file:/+", "file:/", path)
+
+
 def register_exports(spark: SparkSession, base: str, database: str) -> list[str]:
     """External tables over the exported CSV files, headers skipped."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
@@ -106,10 +126,40 @@ def _stored_location(spark: SparkSession, name: str) -> str | None:
 
 def _show_new_files(spark: SparkSession, name: str, partitions: Sequence[str]) -> None:
     if partitions:
-        spark.catalog.recoverPartitions(name)
+        location, layout = _stored_location(spark, name), LAYOUTS.get(name.rpartition(".")[2])
+        manifest = read_manifest(spark, location) if layout else None
+        if manifest is None:
+            spark.catalog.recoverPartitions(name)
+        else:
+            _show_live(spark, name, location, manifest)
     spark.catalog.refreshTable(name)
 
 
+def _show_live(spark: SparkSession, name: str, location: str, manifest: Manifest) -> None:
+    """Partitions of a catalog table over a compacted one: those beyond its segments, and a segment's as one run.
+
+    That run's number is minus its place in the order of segments ever made, so that it is nobody else's.
+    """
+    layout = manifest.layout
+    columns = (layout.number, *layout.kept)
+    wanted = live_partitions(spark, location, layout, manifest, below=True)
+    for segment in manifest.segments:
+        for values, folder in partition_folders(spark, segment_folder(location, segment["name"]), layout.kept).items():
+            wanted[(str(-segment["made"]), *values)] = folder
+    shown = {
+        tuple(part.partition("=")[2] for part in row[0].split("/")) for row in spark.sql(f"SHOW PARTITIONS {name}").collect()
+    }
+
+    def spec(values: tuple[str, ...]) -> str:
+        return f"PARTITION ({', '.join(f'{column} = {value}' for column, value in zip(columns, values))})"
+
+    if gone := sorted(shown - wanted.keys()):
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {', '.join(map(spec, gone))}")
+    if new := sorted(wanted.keys() - shown):
+        added = " ".join(f"{spec(values)} LOCATION '{wanted[values]}'" for values in new)
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {added}")
+
+
 # A quoted text, a comment, or a statement's end, whichever comes first.
 _TOKEN = re.compile(r"""'(?:\\.|[^'\\])*'|"(?:\\.|[^"\\])*"|`[^`]*`|--[^\n]*|/\*.*?\*/|;""", re.DOTALL)
 

@@ -14,9 +14,8 @@ from ridemart.schemas import (
 )
 from ridemart.operators.star import note_grid
 from ridemart.sources.commits import Lease, TableBusy, grow_table, leased
-from ridemart.sources.tables import (
-    constant_rows, new_rows_only, partition_folders, read_ledger, read_partitions, replace_partitions, seed_table,
-)
+from ridemart.sources.live import FACT_RUNS, RUNS, live_partitions, read_manifest, read_runs
+from ridemart.sources.tables import constant_rows, new_rows_only, read_ledger, replace_partitions, seed_table
 
 PROGRESS_TABLE = "loaded_runs"
 FACT_PARTITIONS = ("run_id", "month_key")
@@ -136,13 +135,16 @@ def _build_gold(
     if not unique and not lease.claim("ids"):
         raise TableBusy(f"another load is looking for known ids in {gold}")
 
-    folders = {int(run): folder for (run,), folder in partition_folders(spark, unified, ["run_id"]).items()}
-    # The ledger is read after the claims: what another load has let go of is in it by then.
-    claimed = {run for run in folders if run not in loaded_runs(spark, gold) and lease.claim(f"run-{run}")}
-    runs = {run: folders[run] for run in claimed - loaded_runs(spark, gold)} if claimed else {}
-    if not runs:
+    manifest = read_manifest(spark, unified)
+    present = {int(run) for (run,) in live_partitions(spark, unified, RUNS, manifest)}
+    present.update(range(1, manifest.through + 1) if manifest else ())
+    claimed = {run for run in sorted(present - loaded_runs(spark, gold)) if lease.claim(f"run-{run}")}
+    # The ledger is read again after the claims: what another load has let go of is in it by then.
+    runs = claimed - loaded_runs(spark, gold) if claimed else set()
+    pending = read_runs(spark, unified, UNIFIED, runs.__contains__) if runs else None
+    if pending is None:
         return 0
-    pending = read_partitions(spark, unified, UNIFIED, runs.values()).filter(F.col("trip_id").isNotNull())
+    pending = pending.filter(F.col("trip_id").isNotNull())
 
     fact_path = f"{gold}/{FACT_TABLE}"
     fresh, stored = pending, None
@@ -179,9 +181,7 @@ def _grow(
 
 def read_fact_runs(spark: SparkSession, path: str, wanted: Callable[[int], bool]) -> DataFrame | None:
     """The stored fact rows of some runs, None when there are none. Other runs' files are not listed."""
-    runs = partition_folders(spark, path, ["run_id"])
-    folders = [folder for (run,), folder in runs.items() if wanted(int(run))]
-    return read_partitions(spark, path, FACT_STORED, folders) if folders else None
+    return read_runs(spark, path, FACT_STORED, wanted, FACT_RUNS)
 
 
 def write_fact(fact: DataFrame, path: str) -> int:

@@ -6,9 +6,13 @@ from dataclasses import dataclass
 from pyspark.sql import SparkSession
 
 from ridemart.operators.serve import export_mart, refresh_served
-from ridemart.plans.gold import CellDescription, build_gold, cell_attributes
-from ridemart.plans.silver import union_silver
+from ridemart.plans.gold import CellDescription, build_gold, cell_attributes, loaded_runs
+from ridemart.plans.silver import id_ledger, union_silver
+from ridemart.schemas import FACT_STORED, FACT_TABLE, FEED, UNIFIED
 from ridemart.sources.commits import TableBusy
+from ridemart.sources.compaction import GRACE_SECONDS, LEAST_PARTITIONS, compact
+from ridemart.sources.live import BATCHES, FACT_RUNS, RUNS
+from ridemart.sources.tables import batch_folders, merged_batches
 from ridemart.streaming.feeds import Feed
 
 log = logging.getLogger(__name__)
@@ -77,6 +81,47 @@ def refresh_mart(
     return {"unified": unified, "fact": loaded}
 
 
+def compact_mart(
+    spark: SparkSession, paths: MartPaths, at_least: int = LEAST_PARTITIONS, grace: float = GRACE_SECONDS,
+) -> dict[str, int]:
+    """Take the mart's small partitions into segments; returns how many of each table. Feeds, unions and loads may go on.
+
+    Taken are the batches that the union has merged, but for the last of each source, which its stream may repeat;
+    the runs whose ids are in the union's ledger; and the facts of the runs up to the first that is not loaded.
+    """
+    merged = merged_batches(spark, paths.unified_progress)
+    state = id_ledger(paths.unified).state(spark)
+    through = state["through"] if state else 0
+    taken = {}
+    for name, feed in (("batch_output", paths.batch_output), ("stream_output", paths.stream_output)):
+        taken[name] = compact(
+            spark, feed, FEED, BATCHES, _settled_batches(spark, feed, merged), at_least=at_least, grace=grace,
+        )
+    taken["unified"] = compact(spark, paths.unified, UNIFIED, RUNS, {"": through}, at_least=at_least, grace=grace)
+    loaded = loaded_runs(spark, paths.gold)
+    first_open = min(set(range(1, max(loaded, default=0) + 2)) - loaded)
+    taken["fact"] = compact(
+        spark, f"{paths.gold}/{FACT_TABLE}", FACT_STORED, FACT_RUNS, {"": first_open - 1}, order=["date_key"],
+        at_least=at_least, grace=grace,
+    )
+    refresh_served(spark, paths.base)
+    return taken
+
+
+def _settled_batches(spark: SparkSession, feed: str, merged: set[tuple[str, int]]) -> dict[str, int]:
+    """For each source of a feed the batch up to which all are merged, and none is its last."""
+    present: dict[str, list[int]] = {}
+    for (source, batch_id) in batch_folders(spark, feed, skip=set()):
+        present.setdefault(source, []).append(batch_id)
+    settled = {}
+    for source, batches in present.items():
+        for batch_id in sorted(batches)[:-1]:
+            if (source, batch_id) not in merged:
+                break
+            settled[source] = batch_id
+    return settled
+
+
 def run_mart(
     spark: SparkSession, paths: MartPaths, describe_cells: CellDescription = cell_attributes,
 ) -> dict[str, int]:

@@ -10,9 +10,9 @@ from ridemart.operators.incremental import dedup_first
 from ridemart.operators.ledger import IdLedger, catch_up, close_batches, write_unseen as write_new
 from ridemart.schemas import FEED, FEED_PROGRESS, UNIFIED
 from ridemart.sources.commits import Lease, exclusive
+from ridemart.sources.live import RUNS, live_partitions, read_manifest
 from ridemart.sources.tables import (
-    append_ledger, batch_folders, constant_rows, merged_batches, partition_folders, path_exists,
-    read_partitions, replace_partitions,
+    append_ledger, batch_folders, constant_rows, merged_batches, path_exists, read_partitions, replace_partitions,
 )
 
 log = logging.getLogger(__name__)
@@ -67,10 +67,11 @@ def _union_silver(spark: SparkSession, feeds: Sequence[str], unified: str, progr
     pending = union_feeds(parts).filter(F.col("trip_id").isNotNull())
 
     lease.check()
-    runs = {int(run): folder for (run,), folder in partition_folders(spark, unified, ["run_id"]).items()}
+    manifest = read_manifest(spark, unified)
+    runs = {int(run): folder for (run,), folder in live_partitions(spark, unified, RUNS, manifest).items()}
     ledger = id_ledger(unified)
     catch_up(spark, ledger, unified, runs, UNIFIED)
-    run_id = max(runs, default=0) + 1
+    run_id = max([*runs, manifest.through if manifest else 0], default=0) + 1
     run = F.lit(run_id).cast("bigint").alias("run_id")
     added = write_new(
         merge_feeds(pending), ledger.histories(spark),

@@ -11,8 +11,8 @@ from ridemart.operators import clean, incremental, serve, star as star_ops
 from ridemart.operators.ranges import join_ranges
 from ridemart.operators.star import Star, load_star
 from ridemart.plans import gold, report, silver
-from ridemart.plans.mart import MartPaths, refresh_mart
-from ridemart.schemas import DIM_DATE, DIM_GEOGRAPHY, FACT, FEED, METRICS, RAW, REJECTS, SILVER
+from ridemart.plans.mart import MartPaths, compact_mart, refresh_mart
+from ridemart.schemas import DIM_DATE, DIM_GEOGRAPHY, FACT, FEED, METRICS, RAW, REJECTS, SILVER, UNIFIED
 from ridemart.session import new_folder
 from ridemart.sources import rides as ride_sources
 from ridemart.sources.tables import append_ledger, new_rows_only, read_table
@@ -456,6 +456,25 @@ def stream_capped(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, paths.metrics, METRICS)
 
 
+def mart_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per id of feed, unified table and fact, after ten micro-batches, two loads and a compaction after each."""
+    folder = new_folder(spark, "compacted")
+    paths = MartPaths(f"{folder}/mart")
+    arrivals = _arrivals(fixtures.rides_events(spark, sf_dir), CAPPED_ARRIVALS)
+    half = len(arrivals) // 2
+    for part in (arrivals[:half], arrivals[half:]):
+        for arrived in part:
+            _write_ride_files(arrived.coalesce(1), f"{folder}/csv")
+        files = ride_sources.stream_ride_files(spark, f"{folder}/csv", max_files=1)
+        start_feed(files, paths.feed("capped-1"), f"{folder}/checkpoint", availableNow=True).awaitTermination()
+        refresh_mart(spark, paths)
+        compact_mart(spark, paths, at_least=1, grace=0)
+    tables = {"feed": read_table(spark, paths.batch_output, FEED), "unified": read_table(spark, paths.unified, UNIFIED)}
+    tables["fact_trip"] = load_star(spark, paths.gold).fact
+    ids = [rows.select(F.lit(name).alias("table_name"), "trip_id") for name, rows in tables.items()]
+    return silver.union_feeds(ids).groupBy("table_name", "trip_id").agg(F.count(F.lit(1)).alias("row_count"))
+
+
 def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rides that each micro-batch of both feeds turned away, and why."""
     paths = _run_both_feeds(spark, sf_dir)
@@ -619,8 +638,8 @@ DIRECT = (
     fact_trip, dim_date, dim_geography, dim_time, dim_duration_bucket, band_range_join, new_dates, new_cells,
     fact_two_runs, dim_date_two_runs, dim_geography_two_runs, star_overlapping_loads,
     sql_script, count_all_sql, export_counts,
-    stream_silver, stream_metrics, stream_capped, stream_rejects, stream_replay_silver, stream_state_dedup, landed_rides,
-    stream_reject_text, stream_state_metrics, landed_text, silver_csv_permuted, top_routes_other_grid, pct_same_region_other_grid,
+    stream_silver, stream_metrics, stream_capped, mart_compacted, stream_rejects, stream_replay_silver, stream_state_dedup,
+    landed_rides, stream_reject_text, stream_state_metrics, landed_text, silver_csv_permuted, top_routes_other_grid, pct_same_region_other_grid,
     new_content, price_ranges,
 )
 

@@ -136,6 +136,11 @@ class Lease:
         finally:
             _delete(self.spark, probe)
 
+    def age(self, path: str) -> float | None:
+        """Seconds since a file was written, by the file system's clock; None if it is not there."""
+        written = self._time_of(path)
+        return None if written is None else (self._now() - written) / 1000
+
     def _is_dead(self, claim: str, holder: str) -> bool:
         seen = [when for when in map(self._time_of, (claim, self._beat_file(holder))) if when is not None]
         return bool(seen) and self._now() - max(seen) > self.seconds * 1000

@@ -8,18 +8,16 @@ from functools import reduce
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql import types as T
 
-from ridemart.schemas import FEED_PROGRESS, ORIGIN, STAR_TABLES
+from ridemart.schemas import FACT_TABLE, FEED_PROGRESS, ORIGIN, STAR_TABLES
 from ridemart.session import new_folder, shared_folder
 from ridemart.sources.commits import TableBusy, exclusive, hadoop_path  # noqa: F401  both are part of this module's interface
+from ridemart.sources.live import (  # noqa: F401  the same
+    BATCHES, live_partitions, partition_folders, path_exists, read_live, read_manifest, read_partitions,
+)
 
 MAX_PLAN_ROWS = 100
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    files, name = hadoop_path(spark, path)
-    return files.exists(name)
-
-
 def delete_path(spark: SparkSession, path: str) -> None:
     files, name = hadoop_path(spark, path)
     files.delete(name, True)
@@ -31,32 +29,6 @@ def qualified(spark: SparkSession, path: str) -> str:
     return files.makeQualified(name).toString()
 
 
-def partition_folders(spark: SparkSession, path: str, columns: Sequence[str]) -> dict[tuple[str, ...], str]:
-    """The partitions of a stored table: folder by partition values.
-
-    Folder names only, one listing per level: neither the table's files nor their footers are touched.
-    """
-    files, root = hadoop_path(spark, path)
-    if not files.exists(root):
-        return {}
-    found = {(): path}
-    for column in columns:
-        below = {}
-        for values, folder in found.items():
-            for status in files.listStatus(hadoop_path(spark, folder)[1]):
-                name = status.getPath().toString()
-                label, _, value = name.rpartition("/")[2].partition("=")
-                if label == column and value:
-                    below[(*values, value)] = name
-        found = below
-    return found
-
-
-def read_partitions(spark: SparkSession, path: str, schema: T.StructType, folders: Iterable[str]) -> DataFrame:
-    """Some partitions of a stored table. The others are not even listed."""
-    return spark.read.schema(schema).option("basePath", path).parquet(*folders)
-
-
 def merged_batches(spark: SparkSession, progress: str) -> set[tuple[str, int]]:
     """The feed batches that the union has taken, as (source, batch_id)."""
     ledger = read_ledger(spark, progress, FEED_PROGRESS).select(*ORIGIN.names)
@@ -64,8 +36,8 @@ def merged_batches(spark: SparkSession, progress: str) -> set[tuple[str, int]]:
 
 
 def batch_folders(spark: SparkSession, feed: str, skip: set[tuple[str, int]]) -> dict[tuple[str, int], str]:
-    """Folders of a feed's batches, without some."""
-    folders = partition_folders(spark, feed, ORIGIN.names)
+    """Folders of a feed's batches, without some and without those that segments stand for: the union has taken these."""
+    folders = live_partitions(spark, feed, BATCHES, read_manifest(spark, feed))
     found = {(source, int(batch_id)): folder for (source, batch_id), folder in folders.items()}
     return {batch: folder for batch, folder in found.items() if batch not in skip}
 
@@ -88,11 +60,16 @@ def constant_rows(spark: SparkSession, rows: Sequence[Sequence[object]], schema:
 def read_table(
     spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
 ) -> DataFrame | None:
-    """The table at ``path`` with a declared schema, or None when nothing is there. Headed CSV goes by the headers' names."""
+    """The table at ``path`` with a declared schema, or None when nothing is there.
+
+    Headed CSV goes by the headers' names, a compacted table by its manifest.
+    """
     if not path_exists(spark, path):
         return None
     if fmt == "csv":
         return read_headed_csv(spark, path, schema)
+    if fmt == "parquet":
+        return read_live(spark, path, schema)
     return spark.read.schema(schema).format(fmt).load(path)
 
 
@@ -127,6 +104,8 @@ def read_headed_csv(spark: SparkSession, path: str, schema: T.StructType) -> Dat
 
 
 def read_star_table(spark: SparkSession, gold: str, name: str) -> DataFrame:
+    if name == FACT_TABLE:
+        return read_live(spark, f"{gold}/{name}", STAR_TABLES[name])
     return spark.read.schema(STAR_TABLES[name]).parquet(f"{gold}/{name}")
 
 

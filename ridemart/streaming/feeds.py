@@ -18,6 +18,7 @@ from ridemart.operators.clean import (
 from ridemart.operators.incremental import KeySize, dedup_stream, key_bytes
 from ridemart.operators.ledger import History, IdLedger, note_open, open_batches, write_unseen
 from ridemart.schemas import FEED, METRICS, ORIGIN, RECORD, UNIFIED
+from ridemart.sources.live import read_manifest, read_segments
 from ridemart.sources.tables import (
     batch_folders, constant_rows, merged_batches, path_exists, read_partitions, read_table, replace_batch,
 )
@@ -79,6 +80,9 @@ def stored_trip_ids(spark: SparkSession, batch_id: int, feed: Feed) -> DataFrame
         folders = batch_folders(spark, path, skip=merged | {own})
         if folders:
             tables.append(read_partitions(spark, path, FEED, folders.values()))
+        segments = None if feed.unified else read_segments(spark, path, FEED, read_manifest(spark, path))
+        if segments is not None:
+            tables.append(segments.filter((F.col("source") != feed.source) | (F.col("batch_id") != batch_id)))
     unified = read_table(spark, feed.unified, UNIFIED) if feed.unified else None
     if unified is not None:
         tables.append(unified.filter((F.col("source") != feed.source) | (F.col("batch_id") != batch_id)))
