@@ -625,9 +625,9 @@ def price_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     width = F.when(F.col("o_orderkey") % 97 == 0, 5000.0).otherwise((F.col("o_orderkey") % 40 + 1) / 2)
     ranges = fixtures.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("range_key"), low.alias("low"), (low + width).alias("high"))
     lines = fixtures.table(spark, sf_dir, "lineitem").select(F.col("l_extendedprice").alias("price"), "l_quantity")
-    joined = join_ranges(lines, ranges, "price", "low", "high")
-    return joined.groupBy("range_key").agg(
-        F.count(F.lit(1)).alias("lines"), F.min("price").alias("least"), F.max("price").alias("most"),
+    held = join_ranges(lines, ranges, "price", "low", "high", summed=True)
+    return held.groupBy("range_key").agg(
+        F.sum("rows_held").alias("lines"), F.min("least").alias("least"), F.max("most").alias("most"),
     )
 
 

@@ -32,6 +32,37 @@ def test_ranges_against_brute_force(spark):
     assert per_range <= 3
 
 
+def test_sums_by_range_against_brute_force(spark, monkeypatch):
+    rng = random.Random(7)
+    ranges = [(k % 290, float(a), float(a) + rng.choice([0.001, 0.5, 1, 3, 64, 900, 1e6])) for k, a in enumerate(rng.randrange(-500, 500) / 4 for _ in range(300))]
+    ranges += [(900, None, -100.0), (901, 100.0, None), (902, None, None), (903, 5.0, 5.0), (904, 6.0, 5.0), (905, -1e15, 1e15), (906, 3e5, 4e5)]
+    values = [float(rng.randrange(-2000, 2000)) / 8 for _ in range(400)] + [None, float("nan"), 5.0, 5.0, -1e14] + [7.0] * 200
+    rows = spark.createDataFrame([(value,) for value in values], "v double")
+    bands = spark.createDataFrame(ranges, "key long, low double, high double")
+    want = []
+    for key, low, high in ranges:
+        held = [v for v in values if v is not None and v == v and (low is None or v >= low) and (high is None or v < high)]
+        if held:
+            want.append((key, low, high, len(held), min(held), max(held)))
+    for block_rows in (500_000, 50):  # one block, and many
+        monkeypatch.setattr("ridemart.operators.ranges.BLOCK_ROWS", block_rows)
+        got = join_ranges(rows, bands, "v", "low", "high", summed=True)
+        assert got.columns == ["key", "low", "high", "rows_held", "least", "most"]
+        assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want))
+    assert join_ranges(rows.limit(0), bands, "v", "low", "high", summed=True).count() == 0
+    assert join_ranges(rows, bands.limit(0), "v", "low", "high", summed=True).count() == 0
+
+
+def test_price_ranges_form_no_pairs(spark, folder):
+    """100,000 lines in each of 2,000 ranges, 200 million pairs: they are summed without the join by bins that forms them."""
+    spark.range(2000).select((F.col("id") * 97).alias("o_orderkey"), F.lit(1000.5).alias("o_totalprice")).write.parquet(f"{folder}/orders.parquet")
+    lines = spark.range(100_000).select((F.lit(1000.0) + F.col("id") % 4000).alias("l_extendedprice"), F.lit(1.0).alias("l_quantity"))
+    lines.write.parquet(f"{folder}/lineitem.parquet")
+    got = price_ranges(spark, folder)
+    assert as_set(got.agg(F.count("*"), F.min("lines"), F.max("lines"), F.min("least"), F.max("most"))) == {(2000, 100_000, 100_000, 1000.0, 4999.0)}
+    assert "_range_bin" not in plan_of(got)
+
+
 def test_whole_numbers_and_no_ranges(spark):
     rows = spark.range(10).withColumnRenamed("id", "v")
     bands = spark.createDataFrame([(1, 0, 3), (2, 2, 5)], "key int, low int, high int")
