@@ -154,6 +154,11 @@ def _write_ride_files(rides: DataFrame, path: str) -> None:
     rides.write.mode("append").option("header", True).csv(path)
 
 
+def _write_one_file(rides: DataFrame, path: str) -> None:
+    """Rides as one more file: every task reads and picks its share of the table, and only what it picked goes to the writer."""
+    _write_ride_files(rides.repartition(1), path)
+
+
 # --- the star, step by step ---
 
 def _orders_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -449,7 +454,7 @@ def stream_capped(spark: SparkSession, sf_dir: str) -> DataFrame:
     half = len(arrivals) // 2
     for part in (arrivals[:half], arrivals[half:]):
         for arrived in part:
-            _write_ride_files(arrived.coalesce(1), f"{folder}/csv")
+            _write_one_file(arrived, f"{folder}/csv")
         files = ride_sources.stream_ride_files(spark, f"{folder}/csv", max_files=1)
         start_feed(files, paths.feed("capped-1"), f"{folder}/checkpoint", availableNow=True).awaitTermination()
         silver.union_silver(spark, [paths.batch_output], paths.unified, paths.unified_progress)
@@ -464,7 +469,7 @@ def mart_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     half = len(arrivals) // 2
     for part in (arrivals[:half], arrivals[half:]):
         for arrived in part:
-            _write_ride_files(arrived.coalesce(1), f"{folder}/csv")
+            _write_one_file(arrived, f"{folder}/csv")
         files = ride_sources.stream_ride_files(spark, f"{folder}/csv", max_files=1)
         start_feed(files, paths.feed("capped-1"), f"{folder}/checkpoint", availableNow=True).awaitTermination()
         refresh_mart(spark, paths)

@@ -1,8 +1,10 @@
+import os
+
 import pytest
-from conftest import as_set, ride
+from conftest import as_set, plan_of, ride
 from pyspark.sql import functions as F
 
-from ridemart import fixtures
+from ridemart import fixtures, queries
 from ridemart.operators.clean import clean_first_rides
 from ridemart.operators.incremental import ROCKSDB, STATE_STORE
 from ridemart.queries import _arrivals, _run_csv_feed, _write_ride_files, registered
@@ -120,3 +122,19 @@ def test_landing_keeps_the_text(spark, folder):
     rows = {tuple(row) for row in split_ride_lines(lines).collect()}
     fields = tuple(f"f{k}" for k in range(size))
     assert rows == {(*fields, None), (*fields, "more,still"), ("id", "abc", *[None] * (size - 1))}
+
+
+def test_one_file_is_read_and_picked_by_many_tasks(spark, rides, folder, monkeypatch):
+    """Ten files were written by a task each that read the whole table."""
+    plans, write = [], queries._write_ride_files
+
+    def seen(rows, path):
+        plans.append(plan_of(rows))
+        write(rows, path)
+
+    monkeypatch.setattr(queries, "_write_ride_files", seen)
+    rows = rides(*[ride(f"r{k}") for k in range(20)]).repartition(4).filter("trip_id != 'r3'")
+    queries._write_one_file(rows, folder)
+    assert "Coalesce" not in plans[0] and "SinglePartition" in plans[0]
+    assert len([name for name in os.listdir(folder) if name.endswith(".csv")]) == 1
+    assert spark.read.option("header", True).csv(folder).count() == 19
