@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from ridemart.schemas import STAR_TABLES, UNIFIED
+from ridemart.session import small_tasks
 from ridemart.sources.commits import create_once, file_names
 from ridemart.sources.live import (
     FACT_RUNS, RUNS, Manifest, live_partitions, partition_folders, read_manifest, segment_folder,
@@ -222,5 +223,6 @@ def export_mart(spark: SparkSession, base: str) -> dict[str, int]:
         rows = read_table(spark, f"{base}/{folder}", schema)
         if rows is not None:
             exported = rows.drop(*INTERNAL_COLUMNS)
-            counts[name] = export_csv(exported, f"{base}/export/{name}", single_file=name in SINGLE_FILES)
+            with small_tasks(spark):
+                counts[name] = export_csv(exported, f"{base}/export/{name}", single_file=name in SINGLE_FILES)
     return counts

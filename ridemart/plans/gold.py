@@ -10,9 +10,10 @@ from ridemart.functions.geo import DISTRICT_LEVEL, REGION_LEVEL, cell_lat, cell_
 from ridemart.operators.incremental import dedup_first, distinct_keys, write_new
 from ridemart.schemas import (
     BANDS, BUCKET_TABLE, DATE_TABLE, DIM_DURATION_BUCKET, FACT_STORED, FACT_TABLE, GEOGRAPHY_TABLE,
-    RUN_PROGRESS, STAR_TABLES, TIME_TABLE, UNIFIED,
+    RUN_PROGRESS, SILVER, STAR_TABLES, TIME_TABLE, UNIFIED,
 )
 from ridemart.operators.star import note_grid
+from ridemart.session import small_tasks
 from ridemart.sources.commits import Lease, TableBusy, grow_table, leased
 from ridemart.sources.live import FACT_RUNS, RUNS, live_partitions, read_manifest, read_runs
 from ridemart.sources.tables import constant_rows, new_rows_only, read_ledger, replace_partitions, seed_table
@@ -122,7 +123,7 @@ def build_gold(
     heartbeat, and the dimensions grow by published versions, so every key is there once. Loads that are not
     ``unique`` look at each other's ids, so the second of two raises TableBusy.
     """
-    with leased(spark, f"{gold}/_claims") as lease:
+    with leased(spark, f"{gold}/_claims") as lease, small_tasks(spark):
         return _build_gold(spark, unified, gold, unique, describe_cells, lease)
 
 
@@ -153,7 +154,7 @@ def _build_gold(
         stored = read_fact_runs(spark, fact_path, lambda run: run not in runs)
     lease.check()
     added = write_new(
-        fresh, stored, "trip_id", lambda rows: write_fact(fact_columns(rows), fact_path), raw=pending,
+        fresh, stored, "trip_id", lambda rows: write_fact(rows, fact_path), raw=pending,
     )
     if added:
         # The dimensions' keys come from the columns just written: narrow, encoded, already unique.
@@ -184,16 +185,17 @@ def read_fact_runs(spark: SparkSession, path: str, wanted: Callable[[int], bool]
     return read_runs(spark, path, FACT_STORED, wanted, FACT_RUNS)
 
 
-def write_fact(fact: DataFrame, path: str) -> int:
-    """Store fact rows by run and month, in date order inside each file.
+def write_fact(silver: DataFrame, path: str) -> int:
+    """Store the fact rows of unified rides by run and month, in date order inside each file.
 
     The rebalance brings a month's rows together and lets AQE cut a month that holds far more rows
-    than others into several tasks; date order lets a date filter skip row groups.
+    than others into several tasks; date order lets a date filter skip row groups. The rides move as they are,
+    and the fact's other columns are added where they arrive.
     """
-    rows = fact.withColumn("month_key", ride.month_key_of(F.col("date_key")))
-    rows = rows.select(*FACT_STORED.names).hint("rebalance", *FACT_PARTITIONS)
-    rows = rows.sortWithinPartitions(*FACT_PARTITIONS, "date_key")
-    return replace_partitions(rows, path, FACT_PARTITIONS)
+    day = ride.date_key(F.col("start_time"))
+    rows = silver.select(*SILVER.names, "run_id", day.alias("date_key"), ride.month_key_of(day).alias("month_key"))
+    rows = rows.hint("rebalance", *FACT_PARTITIONS).sortWithinPartitions(*FACT_PARTITIONS, "date_key")
+    return replace_partitions(fact_columns(rows).select(*FACT_STORED.names), path, FACT_PARTITIONS)
 
 
 def extend_dimension(

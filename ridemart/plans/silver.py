@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ridemart.operators.incremental import dedup_first
 from ridemart.operators.ledger import IdLedger, catch_up, close_batches, write_unseen as write_new
 from ridemart.schemas import FEED, FEED_PROGRESS, UNIFIED
+from ridemart.session import small_tasks
 from ridemart.sources.commits import Lease, exclusive
 from ridemart.sources.live import RUNS, live_partitions, read_manifest
 from ridemart.sources.tables import (
@@ -46,7 +47,7 @@ def union_silver(spark: SparkSession, feeds: Sequence[str], unified: str, progre
     nothing, so that no two runs take one number or accept one id twice. Its batches wait for the next run.
     A run that died is noticed by its missing heartbeat and does not keep the next one from working.
     """
-    with exclusive(spark, unified) as lease:
+    with exclusive(spark, unified) as lease, small_tasks(spark):
         return _union_silver(spark, feeds, unified, progress, lease)
 
 

@@ -13,7 +13,7 @@ from ridemart.operators.star import Star, load_star
 from ridemart.plans import gold, report, silver
 from ridemart.plans.mart import MartPaths, compact_mart, refresh_mart
 from ridemart.schemas import DIM_DATE, DIM_GEOGRAPHY, FACT, FEED, METRICS, RAW, REJECTS, SILVER, UNIFIED
-from ridemart.session import new_folder
+from ridemart.session import new_folder, small_tasks
 from ridemart.sources import rides as ride_sources
 from ridemart.sources.tables import append_ledger, new_rows_only, read_table
 from ridemart.streaming.feeds import Feed, await_feed, land_rides, merge_new, start_feed
@@ -233,7 +233,8 @@ def build_mart(spark: SparkSession, sf_dir: str) -> MartPaths:
     """Bring the order rides through all layers into stored tables under the shared folder."""
     paths = MartPaths(new_folder(spark, "mart"))
     rides = fixtures.rides_orders(spark, sf_dir)
-    merge_new(rides, 0, paths.feed("orders", audit=False, dedup="union"), persist=False)
+    with small_tasks(spark):
+        merge_new(rides, 0, paths.feed("orders", audit=False, dedup="union"), persist=False)
     refresh_mart(spark, paths)
     return paths
 
