@@ -5,6 +5,8 @@ The grid is a quadtree over plain longitude/latitude degrees. A cell at level ``
 A parent is therefore a prefix, and all of this stays inside whole-stage code generation.
 """
 
+from functools import reduce
+
 from pyspark.sql import Column, functions as F
 
 GRID_LEVEL = 15      # about 0.9 x 0.6 km at latitude 40
@@ -18,14 +20,29 @@ def _bucket(offset: Column, span: float, level: int) -> Column:
     return F.least(F.floor(offset / F.lit(span) * F.lit(buckets)), F.lit(buckets - 1))
 
 
+# The numbers of five bits, their binary digits read as decimal ones.
+_BITS = 5
+_DECIMAL = tuple(int(f"{bits:b}") for bits in range(1 << _BITS))
+
+
+def _decimal_bits(bucket: Column, level: int) -> Column:
+    """The bucket's binary digits read as a decimal number, five at a time: sums of numbers, no text is made."""
+    digits = F.array(*[F.lit(value).cast("bigint") for value in _DECIMAL])
+    parts = [
+        F.get(digits, F.shiftright(bucket, low).bitwiseAND(F.lit((1 << _BITS) - 1)).cast("int")) * F.lit(10 ** low)
+        for low in range(0, level, _BITS)
+    ]
+    return reduce(Column.__add__, parts)
+
+
 def geo_cell(lat: Column, lon: Column, level: int = GRID_LEVEL) -> Column:
     """The cell holding a point; NULL for a NULL, NaN or out-of-range coordinate."""
     if not 1 <= level <= MAX_LEVEL:
         raise ValueError(f"level must be between 1 and {MAX_LEVEL}, not {level}")
-    # bin() read as a decimal number is 0/1 per digit, so x + 2y puts each bit pair into its own
+    # An axis bucket's bits, read as decimal digits, are 0/1 per digit, so x + 2y puts each bit pair into its own
     # decimal digit without any carry: the sum's digits are the cell.
-    x = F.bin(_bucket(lon + F.lit(180.0), 360.0, level)).cast("bigint")
-    y = F.bin(_bucket(F.lit(90.0) - lat, 180.0, level)).cast("bigint")
+    x = _decimal_bits(_bucket(lon + F.lit(180.0), 360.0, level), level)
+    y = _decimal_bits(_bucket(F.lit(90.0) - lat, 180.0, level), level)
     in_range = lat.between(-90.0, 90.0) & lon.between(-180.0, 180.0)
     return F.when(in_range, F.lpad((x + y * F.lit(2)).cast("string"), level, "0"))
 

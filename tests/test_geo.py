@@ -2,7 +2,7 @@ import math
 
 import pandas as pd
 import pytest
-from conftest import ride
+from conftest import plan_of, ride
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
@@ -54,6 +54,15 @@ def test_cells_agree_with_their_definition(spark, rows):
         assert row.of_centroid == row.cell
 
 
+def test_cells_are_made_of_numbers_at_every_level(spark):
+    rows = [(90.0, -180.0), (-90.0, 180.0), (40.7, -73.9), (-33.3, 151.2), (0.0, 0.0), (-0.0001, 0.0001)]
+    levels = range(1, geo.MAX_LEVEL + 1)
+    got = points(spark, rows).select("lat", "lon", *[cell_at(level).alias(f"at{level}") for level in levels])
+    assert "bin(" not in plan_of(got)
+    for row in got.collect():
+        assert [row[f"at{level}"] for level in levels] == [expected_cell(row.lat, row.lon, level) for level in levels]
+
+
 def test_bad_cells_give_null(spark):
     cells = spark.createDataFrame([("",), ("01x",), ("0124",), (None,), ("8a2a1072b59ffff",)], "cell string")
     cell = F.col("cell")
